@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tracewarden.config import RISK_LABELS, SEVERITIES
-from tracewarden.functions.timestamps import hour_of, iso_text
+from tracewarden.functions.timestamps import hour_of, int_div, iso_text
 
 TIMELINE_WIDTH = 78
 
@@ -22,9 +22,8 @@ def round2(value: Column) -> Column:
 
 def half_even_div(value: Column, divisor: int) -> Column:
     """Non-negative integer division rounded half to even, exact in BIGINT."""
-    rest = F.pmod(value, F.lit(divisor))
-    whole = ((value - rest) / F.lit(divisor)).cast("bigint")
-    twice = rest * 2
+    whole = int_div(value, divisor)
+    twice = F.pmod(value, F.lit(divisor)) * 2
     up = (twice > divisor) | ((twice == divisor) & (F.pmod(whole, F.lit(2)) == 1))
     return whole + F.when(up, 1).otherwise(0).cast("bigint")
 
@@ -46,8 +45,8 @@ def whole_seconds(delta_us: Column) -> Column:
 
 def human_duration(total: Column) -> Column:
     """``2h 17m 39s``; hours do not wrap into days. ``total`` is whole seconds."""
-    hours = F.floor(total / 3600)
-    minutes = F.floor(F.pmod(total, F.lit(3600)) / 60)
+    hours = int_div(total, 3600)
+    minutes = int_div(F.pmod(total, F.lit(3600)), 60)
     short = F.concat(F.pmod(total, F.lit(60)).cast("string"), F.lit("s"))
     with_minutes = F.concat(minutes.cast("string"), F.lit("m "), short)
     return (

@@ -32,7 +32,11 @@ LAYOUTS = {
     "APACHE": r"\d{1,2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:\d{2}",
     "SYSLOG": r"[A-Z][a-z]{2}\s+\d{1,2}\s+\d{2}:\d{2}:\d{2}",
 }
-MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def int_div(value: Column, divisor: int) -> Column:
+    """BIGINT division truncating toward zero."""
+    return F.call_function("div", value.cast("bigint"), F.lit(divisor).cast("bigint"))
 
 
 def first_match(text: Column, pattern: str) -> Column:
@@ -40,69 +44,49 @@ def first_match(text: Column, pattern: str) -> Column:
     return F.regexp_extract(text, pattern, 0)
 
 
-def in_range(us: Column) -> Column:
-    """NULL outside the years 1 to 9999."""
-    return F.when(us.between(MIN_US, MAX_US), us)
+def civil_us(local: Column) -> Column:
+    """Microseconds of ``yyyy-MM-dd HH:mm:ss[.ffffff]`` text (or with a T); NULL if not a real instant."""
+    instant = F.concat(local, F.lit("Z")).try_cast("timestamp")
+    return F.when(~local.startswith("0000"), F.unix_micros(instant))
 
 
-def civil_us(date: Column, clock: Column) -> Column:
-    """Microseconds of ``yyyy-MM-dd`` and ``HH:mm:ss[.ffffff]`` text; NULL if not a real instant."""
-    instant = F.concat(date, F.lit(" "), clock, F.lit("Z")).try_cast("timestamp")
-    return in_range(F.unix_micros(instant))
+def named_month_us(text: Column, pattern: str) -> Column:
+    """Microseconds of text with an English month name in any case."""
+    instant = F.try_to_timestamp(F.concat(text, F.lit("Z")), F.lit(pattern + "X"))
+    return F.unix_micros(instant)
 
 
-def month_number(name: Column) -> Column:
-    """1..12 for a three-letter English month name in any case, else NULL."""
-    at = F.instr(F.lit(MONTHS), F.lower(name))  # instr wants a str needle only
-    return F.when((at > 0) & (at % 3 == 1), ((at + 2) / 3).cast("int"))
+def clock_of(raw: Column) -> Column:
+    return F.substring(raw, -8, 8)
 
 
 def iso8601_us(raw: Column) -> Column:
-    rest = F.substr(raw, F.lit(20))
-    fraction = F.regexp_extract(rest, r"^\.\d+", 0)
-    zone = F.substr(rest, F.length(fraction) + 1)
-    sign = F.when(zone.startswith("-"), -1).otherwise(1)
-    minutes = F.substring(zone, 2, 2).cast("int") * 60 + F.right(zone, F.lit(2)).cast("int")
-    shift = F.when(zone.isin("", "Z"), F.lit(0)).when(minutes < 1440, sign * minutes)
-    local = civil_us(F.substring(raw, 1, 10), F.concat(F.substring(raw, 12, 8), fraction))
-    plain = civil_us(F.substring(raw, 1, 10), F.substring(raw, 12, 8))
-    return F.when(F.length(raw) == 19, plain).otherwise(in_range(local - shift.cast("long") * MINUTE_US))
+    zone = F.regexp_extract(raw, r"[+-]\d{2}:?\d{2}$", 0)
+    local = F.rtrim(F.substr(raw, F.lit(1), F.length(raw) - F.length(zone)), F.lit("Z"))
+    minutes = F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, -2, 2).cast("int")
+    shift = F.when(minutes < 1440, F.when(zone.startswith("-"), -minutes).otherwise(minutes))
+    return civil_us(local) - F.when(zone == "", 0).otherwise(shift).cast("long") * MINUTE_US
 
 
 def iso_space_us(raw: Column) -> Column:
     # exactly one separator character: the first ':' then sits at position 14
-    whole = civil_us(F.substring(raw, 1, 10), F.substr(raw, F.lit(12)))
+    whole = civil_us(F.concat(F.substring(raw, 1, 10), F.lit(" "), F.substr(raw, F.lit(12))))
     return F.when(F.substring(raw, 14, 1) == ":", whole)
 
 
 def slash_us(raw: Column) -> Column:
-    return civil_us(F.replace(F.substring(raw, 1, 10), F.lit("/"), F.lit("-")), F.right(raw, F.lit(8)))
-
-
-def _named_month_us(year: Column, month: Column, day: Column, clock: Column) -> Column:
-    date = F.concat(
-        year, F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"), F.lpad(day, 2, "0")
-    )
-    return civil_us(date, clock)
+    date = F.replace(F.substring(raw, 1, 10), F.lit("/"), F.lit("-"))
+    return civil_us(F.concat(date, F.lit(" "), clock_of(raw)))
 
 
 def apache_us(raw: Column) -> Column:
-    return _named_month_us(
-        F.substring(raw, -13, 4),
-        month_number(F.substring(raw, -17, 3)),
-        F.substring_index(raw, "/", 1),
-        F.right(raw, F.lit(8)),
-    )
+    return named_month_us(raw, "d/MMM/yyyy:HH:mm:ss")
 
 
 def syslog_us(raw: Column, reference_year: int) -> Column:
-    middle = F.substr(raw, F.lit(4), F.length(raw) - 11)
-    return _named_month_us(
-        F.lit(f"{reference_year:04d}"),
-        month_number(F.substring(raw, 1, 3)),
-        F.btrim(middle, F.lit(" \t\n\x0b\x0c\r")),
-        F.right(raw, F.lit(8)),
-    )
+    day = F.btrim(F.substr(raw, F.lit(4), F.length(raw) - 11), F.lit(" \t\n\x0b\x0c\r"))
+    year, month = F.lit(f"{reference_year:04d}"), F.substring(raw, 1, 3)
+    return named_month_us(F.concat_ws(" ", year, month, day, clock_of(raw)), "yyyy MMM d HH:mm:ss")
 
 
 def to_ntz(us: Column) -> Column:
@@ -120,7 +104,7 @@ def iso_text(us: Column) -> Column:
 
 def hour_of(us: Column) -> Column:
     """Hour of day, integer arithmetic only."""
-    return F.floor(F.pmod(us, F.lit(DAY_US)) / F.lit(3_600_000_000)).cast("int")
+    return int_div(F.pmod(us, F.lit(DAY_US)), 3_600_000_000).cast("int")
 
 
 def lift_year(us: Column, is_syslog: Column, previous_us: Column) -> Column:
@@ -160,11 +144,15 @@ def extract_timestamps(lines: DataFrame, config: ScanConfig, text: str = "line")
         raw, us = f"__raw_{name}", f"__us_{name}"
         out = out.withColumn(raw, F.when(~found, first_match(F.col(text), pattern)))
         out = out.withColumn(us, F.when(F.length(raw) > 0, to_us(F.col(raw))))
+        if name in ("CUSTOM", "ISO8601"):  # a zone shift can leave the years 1 to 9999
+            out = out.withColumn(us, F.when(F.col(us).between(MIN_US, MAX_US), F.col(us)))
         found = found | F.col(us).isNotNull()
     hit = [(name, F.col(f"__us_{name}").isNotNull()) for name, _, _ in steps]
-    return out.select(
-        *keep,
+    stamp = F.struct(
         F.coalesce(*[F.col(f"__us_{name}") for name, _, _ in steps]).alias("ts_us"),
         F.coalesce(*[F.when(ok, F.col(f"__raw_{name}")) for name, ok in hit]).alias("ts_raw"),
         F.coalesce(*[F.when(ok, F.lit(name)) for name, ok in hit]).alias("parser"),
     )
+    # one row in, one row out: the generator keeps filters on its columns above it, where a
+    # plain projection would have every later filter repeat the regular expressions below
+    return out.select(*keep, F.inline(F.array(stamp)))

@@ -12,9 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewarden.functions.timestamps import int_div
+
 
 def block_of(line_number: Column, block_lines: int) -> Column:
-    return F.floor((line_number - 1) / F.lit(block_lines)).cast("bigint")
+    return int_div(line_number - 1, block_lines)
 
 
 def within_block(order: str = "line_number"):

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewarden.config import ScanConfig
+from tracewarden.operators.blocks import block_of
 from tracewarden.sources.staging import stage
 
 START = "0" * 64
@@ -98,8 +99,7 @@ def sequential_chain(parsed: DataFrame, config: ScanConfig) -> DataFrame:
 
 def segment_digests(parsed: DataFrame, config: ScanConfig) -> DataFrame:
     """``source, segment, digest``: an independent chain per run of ``segment_lines`` lines."""
-    size = F.lit(config.segment_lines)
-    rows = _payload(parsed).withColumn("segment", F.floor((F.col("position") - 1) / size).cast("bigint"))
+    rows = _payload(parsed).withColumn("segment", block_of(F.col("position"), config.segment_lines))
     return _fold(rows, ["source", "segment"])
 
 

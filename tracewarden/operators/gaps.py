@@ -29,21 +29,33 @@ REPORT_COLUMNS = (
 
 def _with_predecessors(rows: DataFrame, window, text: bool) -> DataFrame:
     """Previous parsed line and both effective instants (after the year lift)."""
-    one_back, two_back = F.lag("raw_us", 1).over(window), F.lag("raw_us", 2).over(window)
-    out = rows.withColumn("__p1", one_back).withColumn("__p2", two_back)
-    out = out.withColumn("__p1_syslog", F.lag("is_syslog", 1).over(window))
-    out = out.withColumn("previous_line_number", F.lag("line_number", 1).over(window))
-    if text:
-        out = out.withColumn("previous_line", F.lag("line", 1).over(window))
-    return (
-        out.withColumn("effective_us", lift_year(F.col("raw_us"), F.col("is_syslog"), F.col("__p1")))
-        .withColumn("previous_us", lift_year(F.col("__p1"), F.col("__p1_syslog"), F.col("__p2")))
-        .drop("__p1", "__p2", "__p1_syslog")
+    before = rows.withColumns(
+        {
+            "__p1": F.lag("raw_us", 1).over(window),
+            "__p2": F.lag("raw_us", 2).over(window),
+            "__p1_syslog": F.lag("is_syslog", 1).over(window),
+            "previous_line_number": F.lag("line_number", 1).over(window),
+            **({"previous_line": F.lag("line", 1).over(window)} if text else {}),
+        }
+    )
+    lifted = before.withColumns(
+        {
+            "effective_us": lift_year(F.col("raw_us"), F.col("is_syslog"), F.col("__p1")),
+            "previous_us": lift_year(F.col("__p1"), F.col("__p1_syslog"), F.col("__p2")),
+        }
     )
+    delta = F.col("effective_us") - F.col("previous_us")
+    return lifted.drop("__p1", "__p2", "__p1_syslog").withColumn("delta_us", delta)
 
 
-def _narrow(parsed: DataFrame, config: ScanConfig, text: bool) -> DataFrame:
-    return parsed.filter(F.col("ts_us").isNotNull()).select(
+def line_steps(parsed: DataFrame, config: ScanConfig, text: bool = False) -> DataFrame:
+    """Every parsed line next to its predecessor inside its block.
+
+    ``rank`` counts from the start of the block. ``seam`` marks the first two and last two
+    lines of a block: two on each side, because lifting the year of a predecessor needs the
+    line before it.
+    """
+    narrow = parsed.filter(F.col("ts_us").isNotNull()).select(
         "source",
         block_of(F.col("line_number"), config.block_lines).alias("block"),
         "line_number",
@@ -51,62 +63,63 @@ def _narrow(parsed: DataFrame, config: ScanConfig, text: bool) -> DataFrame:
         (F.col("parser") == "SYSLOG").alias("is_syslog"),
         *(["line"] if text else []),
     )
-
-
-def _seams(narrow: DataFrame) -> DataFrame:
-    """The first two and last two parsed lines of every block, in one narrow table.
-
-    Two on each side, because the year lift of a predecessor needs the line before it.
-    """
     window = within_block()
+    after = F.lead("line_number", 2).over(window)
+    ranked = narrow.withColumn("rank", F.row_number().over(window)).withColumn("__after", after)
     return (
-        narrow.withColumn("__rank", F.row_number().over(window))
-        .withColumn("__after", F.lead("line_number", 2).over(window))
-        .filter((F.col("__rank") <= 2) | F.col("__after").isNull())
+        _with_predecessors(ranked, window, text)
+        .withColumn("seam", (F.col("rank") <= 2) | F.col("__after").isNull())
         .drop("__after")
     )
 
 
-def parsed_steps(parsed: DataFrame, config: ScanConfig, text: bool = False) -> DataFrame:
-    """Every parsed line next to its predecessor, however many blocks apart.
+def _over_threshold(config: ScanConfig) -> Column:
+    return scoring.seconds_of(F.col("delta_us")) > F.lit(config.effective_threshold)
+
 
-    Lines from the third of a block on have both predecessors inside the block; the first
-    two get theirs from the seam table. Both halves start from the same exchange on
-    ``(source, block)``, which Spark reuses.
+def gap_marks(parsed: DataFrame, config: ScanConfig, text: bool = False) -> DataFrame:
+    """Gaps that lie inside a block plus all seam lines: what one ordered pass leaves over.
+
+    This is the only step that moves every parsed line, once, as ~40-byte rows (without
+    text). ``all_steps``, ``raw_gaps`` and ``source_spans`` finish from here; stage it when
+    more than one of them is wanted.
     """
-    narrow = _narrow(parsed, config, text)
-    inside = _with_predecessors(
-        narrow.withColumn("__rank", F.row_number().over(within_block())), within_block(), text
-    ).filter(F.col("__rank") > 2)
-    by_source = Window.partitionBy("source").orderBy("line_number")
-    across = _with_predecessors(_seams(narrow), by_source, text).filter(F.col("__rank") <= 2)
-    return inside.unionByName(across).drop("__rank")
+    steps = line_steps(parsed, config, text)
+    return steps.filter(F.col("seam") | _over_threshold(config))
 
 
-def source_spans(parsed: DataFrame, config: ScanConfig) -> DataFrame:
-    """First and last timestamp per source in line order (not in time order)."""
+def _repair_seams(marks: DataFrame) -> DataFrame:
+    """Seam lines next to their true predecessors, however many blocks back those are."""
+    text = "line" in marks.columns
+    kept = ["source", "block", "line_number", "raw_us", "is_syslog", "rank", *(["line"] if text else [])]
     by_source = Window.partitionBy("source").orderBy("line_number")
-    seams = _with_predecessors(_seams(_narrow(parsed, config, False)), by_source, False)
-    return seams.groupBy("source").agg(
-        F.min_by("effective_us", "line_number").alias("first_us"),
-        F.max_by("effective_us", "line_number").alias("last_us"),
-    )
+    return _with_predecessors(marks.filter(F.col("seam")).select(*kept), by_source, text)
+
+
+def all_steps(steps: DataFrame) -> DataFrame:
+    """Complete ``line_steps`` (or marks): the first two lines of each block come from the seams."""
+    inside = steps.filter(F.col("rank") > 2).drop("seam")
+    across = _repair_seams(steps).filter(F.col("rank") <= 2)
+    return inside.unionByName(across).drop("rank")
 
 
 def step_deltas(parsed: DataFrame, config: ScanConfig, text: bool = False) -> DataFrame:
     """Signed microseconds from the previous parsed line, for every line that has one."""
-    steps = parsed_steps(parsed, config, text).filter(F.col("previous_us").isNotNull())
-    return steps.withColumn("delta_us", F.col("effective_us") - F.col("previous_us"))
+    return all_steps(line_steps(parsed, config, text)).filter(F.col("delta_us").isNotNull())
 
 
-def _over_threshold(config: ScanConfig) -> Column:
-    return scoring.seconds_of(F.col("delta_us")) > F.lit(config.effective_threshold)
+def source_spans(marks: DataFrame) -> DataFrame:
+    """First and last timestamp per source in line order (not in time order)."""
+    return _repair_seams(marks).groupBy("source").agg(
+        F.min_by("effective_us", "line_number").alias("first_us"),
+        F.max_by("effective_us", "line_number").alias("last_us"),
+    )
 
 
-def raw_gaps(parsed: DataFrame, config: ScanConfig, text: bool = False) -> DataFrame:
+def raw_gaps(marks: DataFrame, config: ScanConfig) -> DataFrame:
     """Steps strictly above the threshold, not yet numbered or scored."""
-    wide = step_deltas(parsed, config, text).filter(_over_threshold(config))
-    names = {"previous_line": "line_before_gap", "line": "line_after_gap"} if text else {}
+    wide = all_steps(marks).filter(_over_threshold(config))
+    names = {"previous_line": "line_before_gap", "line": "line_after_gap"}
     return wide.select(
         "source",
         "block",
@@ -115,7 +128,7 @@ def raw_gaps(parsed: DataFrame, config: ScanConfig, text: bool = False) -> DataF
         F.col("previous_us").alias("start_us"),
         F.col("effective_us").alias("end_us"),
         "delta_us",
-        *[F.col(old).alias(new) for old, new in names.items()],
+        *[F.col(old).alias(new) for old, new in names.items() if old in wide.columns],
     )
 
 
@@ -147,11 +160,15 @@ def score_gaps(gaps: DataFrame, config: ScanConfig) -> DataFrame:
 def detect_gaps(parsed: DataFrame, config: ScanConfig, text: bool = True) -> DataFrame:
     """All gaps, numbered per source in line order before any severity filter.
 
-    With ``text=False`` only ~40-byte rows are shuffled and the edge lines are looked up
-    later (``operators.context``); with ``text=True`` the lines travel along, one pass.
+    With ``text=False`` only narrow rows are shuffled and the edge lines are looked up later
+    (``operators.context``); with ``text=True`` the lines travel along.
     """
-    numbered = number_rows(raw_gaps(parsed, config, text), "line_number_end", "gap_number")
-    return score_gaps(numbered, config)
+    return number_gaps(raw_gaps(gap_marks(parsed, config, text), config), config)
+
+
+def number_gaps(found: DataFrame, config: ScanConfig) -> DataFrame:
+    """Number and score what ``raw_gaps`` found."""
+    return score_gaps(number_rows(found, "line_number_end", "gap_number"), config)
 
 
 def with_timestamps(gaps: DataFrame) -> DataFrame:

@@ -11,16 +11,14 @@ from tracewarden.functions.timestamps import extract_timestamps, to_ntz
 
 
 def parse_lines(lines: DataFrame, config: ScanConfig) -> DataFrame:
-    """``source, line_number, line`` plus ``ts_us, ts, ts_raw, parser, is_error``.
+    """The columns of ``lines`` plus ``ts_us, ts, ts_raw, parser, is_error``.
 
     A pure projection: no shuffle, and columns a consumer does not read are pruned, down to
     the regular expressions behind them.
     """
-    stamped = extract_timestamps(lines.select("source", "line_number", "line"), config)
+    stamped = extract_timestamps(lines, config)
     return stamped.select(
-        "source",
-        "line_number",
-        "line",
+        *lines.columns,
         "ts_us",
         to_ntz(F.col("ts_us")).alias("ts"),
         "ts_raw",

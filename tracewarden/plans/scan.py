@@ -42,13 +42,14 @@ def scan_parsed(
     ``exact_chain=False`` leaves out the serial per-source chain; the segment digests cover
     the same lines in parallel.
     """
-    every = stage(gaps.detect_gaps(parsed, config, text=False), "gaps")
+    marks = stage(gaps.gap_marks(parsed, config), "marks")
+    every = stage(gaps.number_gaps(gaps.raw_gaps(marks, config), config), "gaps")
     lookups = every.count() * (config.context_lines + max(config.context_lines, 1) + 1)
     reported = gaps.filter_by_severity(every, config.min_severity)
     detailed = context.with_context(reported, parsed, config, broadcast=lookups <= MAX_BROADCAST_LOOKUPS)
 
     totals = stats.gap_totals(every, config)
-    spans = gaps.source_spans(parsed, config)
+    spans = gaps.source_spans(marks)
     profile = stats.placement_profile(every, spans, totals, config)
     digests = chain.sequential_chain(parsed, config) if exact_chain else None
     scanned = stats.scan_stats(

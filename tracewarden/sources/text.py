@@ -10,8 +10,6 @@ change of cluster size between two passes cannot shift the splits.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +40,10 @@ def file_facts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def read_splits(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Decoded lines with the split they came from and an id that rises along each split."""
-    raw = spark.read.option("lineSep", "\n").text(_paths(paths))
+    return decode_splits(spark.read.option("lineSep", "\n").text(_paths(paths)))
+
+
+def decode_splits(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("split_start"),
@@ -69,29 +70,11 @@ def number_lines(staged: DataFrame) -> DataFrame:
     return numbered.select("source", number, *rest)
 
 
-def _scan(spark, paths, project: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    return number_lines(stage(project(read_splits(spark, paths)), name))
-
-
 def scan_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Numbered lines of the given files, folders or globs."""
-    return _scan(spark, paths, lambda rows: rows, "lines")
+    return number_lines(stage(read_splits(spark, paths), "lines"))
 
 
 def scan_parsed_text(spark: SparkSession, paths: str | list[str], config: ScanConfig) -> DataFrame:
     """Like ``parse_lines(scan_text(...))``, parsed during the one pass over the text."""
-
-    def parse(rows: DataFrame) -> DataFrame:
-        # parsing is row-local: the row id stands in for the number until it is known
-        located = rows.withColumnRenamed("source", "__file").withColumn(
-            "source", F.struct("__file", "split_start")
-        )
-        parsed = parse_lines(located.withColumnRenamed("row_id", "line_number"), config)
-        return parsed.select(
-            F.col("source.__file").alias("source"),
-            F.col("source.split_start").alias("split_start"),
-            F.col("line_number").alias("row_id"),
-            *[c for c in parsed.columns if c not in ("source", "line_number")],
-        )
-
-    return _scan(spark, paths, parse, "parsed")
+    return number_lines(stage(parse_lines(read_splits(spark, paths), config), "parsed"))
