@@ -12,15 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewarden.functions.timestamps import int_div
 
+def block_of(line_number: str, block_lines: int) -> str:
+    return f"({line_number} - 1) div {block_lines}"
 
-def block_of(line_number: Column, block_lines: int) -> Column:
-    return int_div(line_number - 1, block_lines)
 
-
-def within_block(order: str = "line_number"):
-    return Window.partitionBy("source", "block").orderBy(order)
+WITHIN_BLOCK = "PARTITION BY source, block ORDER BY line_number"
 
 
 def block_offsets(rows: DataFrame, count: Column | None = None, name: str = "offset") -> DataFrame:
@@ -40,7 +37,7 @@ def number_rows(rows: DataFrame, order: str, name: str) -> DataFrame:
 
     Ranks inside each block plus the block's offset: no task sorts more than one block.
     """
-    ranked = rows.withColumn("__rank", F.row_number().over(within_block(order)))
+    ranked = rows.withColumn("__rank", F.row_number().over(Window.partitionBy("source", "block").orderBy(order)))
     numbered = ranked.join(block_offsets(rows, name="__offset"), ["source", "block"])
     return numbered.withColumn(name, (F.col("__offset") + F.col("__rank")).cast("bigint")).drop(
         "__offset", "__rank"

@@ -99,7 +99,7 @@ def sequential_chain(parsed: DataFrame, config: ScanConfig) -> DataFrame:
 
 def segment_digests(parsed: DataFrame, config: ScanConfig) -> DataFrame:
     """``source, segment, digest``: an independent chain per run of ``segment_lines`` lines."""
-    rows = _payload(parsed).withColumn("segment", block_of(F.col("position"), config.segment_lines))
+    rows = _payload(parsed).selectExpr("*", f"{block_of('position', config.segment_lines)} AS segment")
     return _fold(rows, ["source", "segment"])
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewarden.config import SEVERITIES, ScanConfig
 from tracewarden.functions import scoring
 from tracewarden.functions.timestamps import iso_text, lift_year, to_ntz
-from tracewarden.operators.blocks import block_of, number_rows, within_block
+from tracewarden.operators.blocks import WITHIN_BLOCK, block_of, number_rows
+from tracewarden.sources.staging import stage
 
 # Report columns in report order; "source" leads because many sources share one table.
 REPORT_COLUMNS = (
@@ -27,25 +28,25 @@ REPORT_COLUMNS = (
 )
 
 
-def _with_predecessors(rows: DataFrame, window, text: bool) -> DataFrame:
-    """Previous parsed line and both effective instants (after the year lift)."""
-    before = rows.withColumns(
-        {
-            "__p1": F.lag("raw_us", 1).over(window),
-            "__p2": F.lag("raw_us", 2).over(window),
-            "__p1_syslog": F.lag("is_syslog", 1).over(window),
-            "previous_line_number": F.lag("line_number", 1).over(window),
-            **({"previous_line": F.lag("line", 1).over(window)} if text else {}),
-        }
-    )
-    lifted = before.withColumns(
-        {
-            "effective_us": lift_year(F.col("raw_us"), F.col("is_syslog"), F.col("__p1")),
-            "previous_us": lift_year(F.col("__p1"), F.col("__p1_syslog"), F.col("__p2")),
-        }
+def _with_predecessors(rows: DataFrame, window: str) -> DataFrame:
+    """Previous parsed line and both effective instants (after the year lift).
+
+    ``window`` is the SQL text of the window's definition.
+    """
+    before = rows.selectExpr(
+        "*",
+        f"lag(raw_us, 1) OVER ({window}) AS __p1",
+        f"lag(raw_us, 2) OVER ({window}) AS __p2",
+        f"lag(is_syslog, 1) OVER ({window}) AS __p1_syslog",
+        f"lag(line_number, 1) OVER ({window}) AS previous_line_number",
+        *([f"lag(line, 1) OVER ({window}) AS previous_line"] if "line" in rows.columns else []),
     )
-    delta = F.col("effective_us") - F.col("previous_us")
-    return lifted.drop("__p1", "__p2", "__p1_syslog").withColumn("delta_us", delta)
+    return before.selectExpr(
+        "*",
+        f"{lift_year('raw_us', 'is_syslog', '__p1')} AS effective_us",
+        f"{lift_year('__p1', '__p1_syslog', '__p2')} AS previous_us",
+        "effective_us - previous_us AS delta_us",
+    ).drop("__p1", "__p2", "__p1_syslog")
 
 
 def line_steps(parsed: DataFrame, config: ScanConfig, text: bool = False) -> DataFrame:
@@ -55,26 +56,25 @@ def line_steps(parsed: DataFrame, config: ScanConfig, text: bool = False) -> Dat
     lines of a block: two on each side, because lifting the year of a predecessor needs the
     line before it.
     """
-    narrow = parsed.filter(F.col("ts_us").isNotNull()).select(
+    narrow = parsed.filter("ts_us IS NOT NULL").selectExpr(
         "source",
-        block_of(F.col("line_number"), config.block_lines).alias("block"),
+        f"{block_of('line_number', config.block_lines)} AS block",
         "line_number",
-        F.col("ts_us").alias("raw_us"),
-        (F.col("parser") == "SYSLOG").alias("is_syslog"),
+        "ts_us AS raw_us",
+        "parser = 'SYSLOG' AS is_syslog",
         *(["line"] if text else []),
     )
-    window = within_block()
-    after = F.lead("line_number", 2).over(window)
-    ranked = narrow.withColumn("rank", F.row_number().over(window)).withColumn("__after", after)
-    return (
-        _with_predecessors(ranked, window, text)
-        .withColumn("seam", (F.col("rank") <= 2) | F.col("__after").isNull())
-        .drop("__after")
+    ranked = narrow.selectExpr(
+        "*",
+        f"row_number() OVER ({WITHIN_BLOCK}) AS rank",
+        f"lead(line_number, 2) OVER ({WITHIN_BLOCK}) AS __after",
     )
+    steps = _with_predecessors(ranked, WITHIN_BLOCK)
+    return steps.withColumn("seam", F.expr("rank <= 2 OR __after IS NULL")).drop("__after")
 
 
-def _over_threshold(config: ScanConfig) -> Column:
-    return scoring.seconds_of(F.col("delta_us")) > F.lit(config.effective_threshold)
+def _over_threshold(config: ScanConfig) -> str:
+    return f"{scoring.seconds_of('delta_us')} > {config.effective_threshold!r}D"
 
 
 def gap_marks(parsed: DataFrame, config: ScanConfig, text: bool = False) -> DataFrame:
@@ -85,15 +85,15 @@ def gap_marks(parsed: DataFrame, config: ScanConfig, text: bool = False) -> Data
     more than one of them is wanted.
     """
     steps = line_steps(parsed, config, text)
-    return steps.filter(F.col("seam") | _over_threshold(config))
+    return steps.filter(f"seam OR {_over_threshold(config)}")
 
 
 def _repair_seams(marks: DataFrame) -> DataFrame:
     """Seam lines next to their true predecessors, however many blocks back those are."""
     text = "line" in marks.columns
     kept = ["source", "block", "line_number", "raw_us", "is_syslog", "rank", *(["line"] if text else [])]
-    by_source = Window.partitionBy("source").orderBy("line_number")
-    return _with_predecessors(marks.filter(F.col("seam")).select(*kept), by_source, text)
+    seams = marks.filter("seam").select(*kept)
+    return _with_predecessors(seams, "PARTITION BY source ORDER BY line_number")
 
 
 def all_steps(steps: DataFrame) -> DataFrame:
@@ -134,36 +134,34 @@ def raw_gaps(marks: DataFrame, config: ScanConfig) -> DataFrame:
 
 def score_gaps(gaps: DataFrame, config: ScanConfig) -> DataFrame:
     """Severity, duration, confidence and fingerprint; row-local, no shuffle."""
-    start, end, delta = F.col("start_us"), F.col("end_us"), F.col("delta_us")
-    first, last = F.col("line_number_start"), F.col("line_number_end")
-    distance = F.greatest(F.lit(1), last - first)
-    return (
-        gaps.withColumn("severity", scoring.severity(delta))
-        .withColumn("duration_seconds", scoring.whole_seconds(delta))
-        .withColumn("duration_human", scoring.human_duration(F.col("duration_seconds")))
-        .withColumn("midpoint_hour", scoring.midpoint_hour(start, delta))
-        .withColumn("line_distance", distance)
-        .withColumn(
-            "tamper_confidence",
-            scoring.tamper_confidence(
-                delta,
-                F.col("line_distance"),
-                F.col("midpoint_hour"),
-                config.effective_threshold,
-                config.context_lines,
-            ),
-        )
-        .withColumn("fingerprint", scoring.fingerprint(start, end, first, last, F.col("duration_seconds")))
+    confidence = scoring.tamper_confidence(
+        "delta_us", "line_distance", "midpoint_hour", config.effective_threshold, config.context_lines
+    )
+    return gaps.selectExpr(
+        "*",
+        f"{scoring.severity('delta_us')} AS severity",
+        f"{scoring.whole_seconds('delta_us')} AS duration_seconds",
+        f"{scoring.midpoint_hour('start_us', 'delta_us')} AS midpoint_hour",
+        "greatest(1L, line_number_end - line_number_start) AS line_distance",
+    ).selectExpr(
+        "*",
+        f"{scoring.human_duration('duration_seconds')} AS duration_human",
+        f"{confidence} AS tamper_confidence",
+        scoring.fingerprint("start_us", "end_us", "line_number_start", "line_number_end", "duration_seconds")
+        + " AS fingerprint",
     )
 
 
 def detect_gaps(parsed: DataFrame, config: ScanConfig, text: bool = True) -> DataFrame:
     """All gaps, numbered per source in line order before any severity filter.
 
-    With ``text=False`` only narrow rows are shuffled and the edge lines are looked up later
-    (``operators.context``); with ``text=True`` the lines travel along.
+    The marks are staged first, so the lines are parsed, shuffled and sorted once however
+    often the numbering and later results read the gaps. With ``text=False`` only narrow
+    rows are shuffled and the edge lines are looked up later (``operators.context``); with
+    ``text=True`` the lines travel along.
     """
-    return number_gaps(raw_gaps(gap_marks(parsed, config, text), config), config)
+    marks = stage(gap_marks(parsed, config, text), "marks")
+    return number_gaps(raw_gaps(marks, config), config)
 
 
 def number_gaps(found: DataFrame, config: ScanConfig) -> DataFrame:
@@ -173,22 +171,22 @@ def number_gaps(found: DataFrame, config: ScanConfig) -> DataFrame:
 
 def with_timestamps(gaps: DataFrame) -> DataFrame:
     """Add ``gap_start``/``gap_end`` as TIMESTAMP_NTZ."""
-    return gaps.withColumn("gap_start", to_ntz(F.col("start_us"))).withColumn(
-        "gap_end", to_ntz(F.col("end_us"))
-    )
+    return gaps.selectExpr("*", f"{to_ntz('start_us')} AS gap_start", f"{to_ntz('end_us')} AS gap_end")
+
+
+def with_iso_times(gaps: DataFrame) -> DataFrame:
+    """``gap_start``/``gap_end`` as ISO text."""
+    plain = gaps.drop("gap_start", "gap_end")
+    return plain.selectExpr("*", f"{iso_text('start_us')} AS gap_start", f"{iso_text('end_us')} AS gap_end")
 
 
 def filter_by_severity(gaps: DataFrame, minimum: str | None) -> DataFrame:
     """Keep gaps of at least this severity; numbers stay as they were."""
     if not minimum:
         return gaps
-    rank = SEVERITIES.index(minimum) + 1
-    return gaps.filter(scoring.severity_rank(F.col("severity")) >= rank)
+    return gaps.filter(F.col("severity").isin(*SEVERITIES[SEVERITIES.index(minimum) :]))
 
 
 def report_rows(gaps: DataFrame) -> DataFrame:
     """Report columns in report order, instants as ISO text."""
-    shown = gaps.withColumn("gap_start", iso_text(F.col("start_us"))).withColumn(
-        "gap_end", iso_text(F.col("end_us"))
-    )
-    return shown.select("source", *REPORT_COLUMNS)
+    return with_iso_times(gaps).select("source", *REPORT_COLUMNS)

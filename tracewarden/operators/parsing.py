@@ -20,7 +20,7 @@ def parse_lines(lines: DataFrame, config: ScanConfig) -> DataFrame:
     return stamped.select(
         *lines.columns,
         "ts_us",
-        to_ntz(F.col("ts_us")).alias("ts"),
+        F.expr(to_ntz("ts_us")).alias("ts"),
         "ts_raw",
         "parser",
         is_error_line(F.col("line"), config.error_words).alias("is_error"),

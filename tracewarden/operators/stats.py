@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewarden.config import SEVERITIES, ScanConfig
 from tracewarden.functions import scoring
-from tracewarden.functions.timestamps import iso_text
 from tracewarden.operators.blocks import with_source_facts
 from tracewarden.operators.chain import START
-from tracewarden.operators.gaps import filter_by_severity
+from tracewarden.operators.gaps import filter_by_severity, with_iso_times
 
 
 def line_counts(parsed: DataFrame) -> DataFrame:
@@ -24,25 +23,15 @@ def line_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
-def most_critical(gaps: DataFrame) -> Column:
-    """The gap with the highest (severity, duration, confidence); the earliest on a tie."""
-    payload = F.struct(
-        F.col("gap_number"),
-        F.col("severity"),
-        iso_text(F.col("start_us")).alias("gap_start"),
-        iso_text(F.col("end_us")).alias("gap_end"),
-        F.col("duration_seconds"),
-        F.col("duration_human"),
-        F.col("fingerprint"),
-        F.col("tamper_confidence"),
+def most_critical(gaps: DataFrame) -> DataFrame:
+    """Per source the gap with the highest (severity, duration, confidence); the earliest on a tie."""
+    rank = f"struct({scoring.severity_rank('severity')}, duration_seconds, tamper_confidence, -gap_number)"
+    fields = (
+        "gap_number, severity, gap_start, gap_end, duration_seconds, duration_human, fingerprint, "
+        "tamper_confidence"
     )
-    rank = F.struct(
-        scoring.severity_rank(F.col("severity")),
-        F.col("duration_seconds"),
-        F.col("tamper_confidence"),
-        -F.col("gap_number"),
-    )
-    return F.max_by(payload, rank)
+    top = F.expr(f"max_by(struct({fields}), {rank})").alias("most_critical_gap")
+    return with_iso_times(gaps).groupBy("source").agg(top)
 
 
 def gap_totals(gaps: DataFrame, config: ScanConfig) -> DataFrame:
@@ -50,21 +39,19 @@ def gap_totals(gaps: DataFrame, config: ScanConfig) -> DataFrame:
 
     ``gap_count_all`` counts every gap, reported or not.
     """
-    rank = scoring.severity_rank(F.col("severity"))
-    reported = rank >= SEVERITIES.index(config.min_severity) + 1
+    kept = ", ".join(repr(name) for name in SEVERITIES[SEVERITIES.index(config.min_severity) :])
+    reported = f"severity IN ({kept})"
     every = gaps.groupBy("source").agg(
         F.count(F.lit(1)).alias("gap_count_all"),
-        F.count_if(reported).alias("gap_count"),
+        F.expr(f"count_if({reported})").alias("gap_count"),
         *[
-            F.count_if(reported & (F.col("severity") == name)).alias(f"{name.lower()}_count")
+            F.expr(f"count_if({reported} AND severity = '{name}')").alias(f"{name.lower()}_count")
             for name in SEVERITIES
         ],
-        F.max(F.when(reported, F.col("tamper_confidence"))).alias("highest_confidence"),
+        F.expr(f"max(if({reported}, tamper_confidence, NULL))").alias("highest_confidence"),
     )
     # the struct maximum is not a fixed-width buffer, so it gets its own aggregate
-    top = filter_by_severity(gaps, config.min_severity).groupBy("source").agg(
-        most_critical(gaps).alias("most_critical_gap")
-    )
+    top = most_critical(filter_by_severity(gaps, config.min_severity))
     return every.join(top, "source", "left")
 
 
@@ -74,26 +61,23 @@ def placement_profile(gaps: DataFrame, spans: DataFrame, totals: DataFrame, conf
     One skew-safe join gives each gap its source's span; what leaves the map-side combine is
     bounded per source by the bins and cells, not by the gaps.
     """
-    facts = spans.join(totals.select("source", "gap_count"), "source").withColumn(
-        "span_us", F.col("last_us") - F.col("first_us")
+    facts = spans.join(totals.select("source", "gap_count"), "source").selectExpr(
+        "source", "first_us", "last_us - first_us AS span_us", "gap_count"
     )
-    facts = facts.select("source", "first_us", "span_us", "gap_count").filter(F.col("span_us") > 0)
     reported = filter_by_severity(gaps, config.min_severity).select(
         "source", "line_number_end", "start_us", "end_us", "severity"
     )
-    placed = with_source_facts(reported, facts, "line_number_end").filter(F.col("span_us").isNotNull())
-    span = F.col("span_us")
-    bins = scoring.placement_bins(F.col("gap_count"))
-    begin = scoring.timeline_cell(F.col("start_us") - F.col("first_us"), span)
-    end = scoring.timeline_cell(F.col("end_us") - F.col("first_us"), span)
+    placed = with_source_facts(reported, facts.filter("span_us > 0"), "line_number_end")
+    begin, end = "start_us - first_us", "end_us - first_us"
     return (
-        placed.select(
+        placed.filter("span_us IS NOT NULL")
+        .selectExpr(
             "source",
-            bins.alias("bins"),
-            scoring.placement_bin(F.col("start_us") - F.col("first_us"), span, bins).alias("bin"),
-            begin.alias("first_cell"),
-            F.greatest(begin, end).alias("last_cell"),
-            F.when(F.col("severity") == SEVERITIES[0], 1).otherwise(2).alias("level"),
+            f"{scoring.placement_bins('gap_count')} AS bins",
+            f"{scoring.placement_bin(f'({begin})', 'span_us', 'bins')} AS bin",
+            f"{scoring.timeline_cell(f'({begin})', 'span_us')} AS first_cell",
+            f"greatest(first_cell, {scoring.timeline_cell(f'({end})', 'span_us')}) AS last_cell",
+            f"if(severity = '{SEVERITIES[0]}', 1, 2) AS level",
         )
         .groupBy("source", "bins", "bin", "first_cell", "last_cell", "level")
         .agg(F.count(F.lit(1)).alias("gap_count"))
@@ -108,10 +92,9 @@ def placement_scores(profile: DataFrame) -> DataFrame:
     """Clustered gaps score high, evenly spread ones low; 0 below two gaps."""
     histogram = placement_bins(profile)
     totals = profile.groupBy("source").agg(F.sum("gap_count").alias("__total"))
-    share = F.col("gap_count") / F.col("__total")
     scored = (
         histogram.join(totals, "source")
-        .withColumn("__term", scoring.divergence_term(share, F.col("bins")))
+        .selectExpr("*", f"{scoring.divergence_term('(gap_count / __total)', 'bins')} AS __term")
         .groupBy("source", "bins")
         .agg(
             F.sum("__term").alias("__divergence"),
@@ -119,10 +102,8 @@ def placement_scores(profile: DataFrame) -> DataFrame:
             F.first("__total").alias("__total"),
         )
     )
-    score = scoring.placement_score(F.col("__divergence"), F.col("__occupied"), F.col("bins"))
-    return scored.select(
-        "source", F.when(F.col("__total") >= 2, score).otherwise(F.lit(0.0)).alias("entropy_score")
-    )
+    score = scoring.placement_score("__divergence", "__occupied", "bins")
+    return scored.selectExpr("source", f"if(__total >= 2, {score}, 0D) AS entropy_score")
 
 
 def timeline_cells(profile: DataFrame) -> DataFrame:
@@ -132,22 +113,11 @@ def timeline_cells(profile: DataFrame) -> DataFrame:
     return cells.groupBy("source", "cell").agg(F.max("level").alias("level"))
 
 
-def empty_timeline() -> Column:
-    return F.lit("." * scoring.TIMELINE_WIDTH)
-
-
 def timelines(profile: DataFrame) -> DataFrame:
     """``source, timeline``: one character per cell, '#' where a gap lies."""
     painted = timeline_cells(profile).groupBy("source").agg(F.collect_list("cell").alias("__cells"))
-    line = F.transform(
-        F.sequence(F.lit(0), F.lit(scoring.TIMELINE_WIDTH - 1)),
-        lambda i: F.when(F.array_contains(F.col("__cells"), i), F.lit("#")).otherwise(F.lit(".")),
-    )
-    return painted.select("source", F.array_join(line, "").alias("timeline"))
-
-
-def _zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)
+    marks = f"transform(sequence(0, {scoring.TIMELINE_WIDTH - 1}), i -> if(array_contains(__cells, i), '#', '.'))"
+    return painted.selectExpr("source", f"array_join({marks}, '') AS timeline")
 
 
 def scan_stats(
@@ -170,15 +140,14 @@ def scan_stats(
     if files is not None:
         columns += ["file_name", "file_size"]
     numbers = ["total_lines", "parsed_lines", "malformed_lines", "error_lines", "error_bursts"]
-    out = out.select(
+    return out.selectExpr(
         *columns,
-        *[_zero(n) for n in numbers],
+        *[f"coalesce({n}, 0L) AS {n}" for n in numbers],
         "first_us",
         "last_us",
-        F.coalesce(F.col("gap_count_all"), F.lit(0)).cast("bigint").alias("gaps_detected"),
-        *([F.coalesce(F.col("final_hash"), F.lit(START)).alias("final_hash")] if chain is not None else []),
+        "coalesce(gap_count_all, 0L) AS gaps_detected",
+        *([f"coalesce(final_hash, '{START}') AS final_hash"] if chain is not None else []),
     )
-    return out
 
 
 def build_summary(stats: DataFrame, totals: DataFrame, profile: DataFrame) -> DataFrame:
@@ -189,35 +158,27 @@ def build_summary(stats: DataFrame, totals: DataFrame, profile: DataFrame) -> Da
         .join(timelines(profile), "source", "left")
     )
     counts = [f"{name.lower()}_count" for name in SEVERITIES]
-    rows = rows.withColumns(
-        {
-            **{name: F.coalesce(F.col(name), F.lit(0)).cast("bigint") for name in ("gap_count", *counts)},
-            "highest_confidence": F.coalesce(F.col("highest_confidence"), F.lit(0.0)),
-            "entropy_score": F.coalesce(F.col("entropy_score"), F.lit(0.0)),
-            "timeline": F.coalesce(F.col("timeline"), empty_timeline()),
-        }
-    )
-    severities = [F.col(name) for name in counts]
-    chain = [F.struct("final_hash").alias("integrity_chain")] if "final_hash" in rows.columns else []
-    return rows.select(
+    filled = rows.na.fill(0, ["gap_count", *counts]).na.fill(0.0, ["highest_confidence", "entropy_score"])
+    filled = filled.na.fill("." * scoring.TIMELINE_WIDTH, ["timeline"])
+    breakdown = ", ".join(f"'{name}', {count}" for name, count in zip(SEVERITIES, counts))
+    return filled.selectExpr(
         "source",
-        F.col("total_lines").alias("total_lines_scanned"),
+        "total_lines AS total_lines_scanned",
         "parsed_lines",
         "malformed_lines",
         "error_lines",
         "error_bursts",
-        F.col("gaps_detected").alias("gap_count_all"),
-        F.col("gap_count").alias("total_gaps_found"),
-        F.struct(*[F.col(c).alias(n) for c, n in zip(counts, SEVERITIES)]).alias("severity_breakdown"),
+        "gaps_detected AS gap_count_all",
+        "gap_count AS total_gaps_found",
+        f"named_struct({breakdown}) AS severity_breakdown",
         "most_critical_gap",
         "highest_confidence",
-        scoring.risk_level(
-            *severities, F.col("entropy_score"), F.col("highest_confidence"), F.col("error_bursts")
-        ).alias("risk_assessment"),
+        scoring.risk_level(*counts, "entropy_score", "highest_confidence", "error_bursts")
+        + " AS risk_assessment",
         "entropy_score",
         "timeline",
-        *chain,
-        scoring.status_code(*severities).alias("status_code"),
+        *(["struct(final_hash) AS integrity_chain"] if "final_hash" in rows.columns else []),
+        f"{scoring.status_code(*counts)} AS status_code",
     )
 
 

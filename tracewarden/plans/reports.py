@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewarden.config import ScanConfig
-from tracewarden.functions.timestamps import iso_text
 from tracewarden.operators.blocks import with_source_facts
-from tracewarden.operators.gaps import REPORT_COLUMNS, report_rows
+from tracewarden.operators.gaps import REPORT_COLUMNS, report_rows, with_iso_times
 from tracewarden.plans.scan import ScanResult
 
 LAST_PIECE = 9_223_372_036_854_775_807
@@ -105,9 +104,7 @@ def json_pieces(
     )
 
     firsts = result.gaps.groupBy("source").agg(F.min("gap_number").alias("__first"))
-    shown = result.gaps.withColumn("gap_start", iso_text(F.col("start_us"))).withColumn(
-        "gap_end", iso_text(F.col("end_us"))
-    )
+    shown = with_iso_times(result.gaps)
     body = _json(*[F.col(c) for c in (*REPORT_COLUMNS, "raw_context")])
     comma = F.when(F.col("gap_number") > F.col("__first"), ",").otherwise("")
     pieces = with_source_facts(shown, firsts, "gap_number").select(

@@ -51,7 +51,7 @@ def single(spark: SparkSession, folder: str, config: ScanConfig = CONFIG) -> Dat
 
 
 def instant(column: str, name: str) -> Column:
-    return iso_text(F.col(column)).alias(name)
+    return F.expr(iso_text(column)).alias(name)
 
 
 # What each statement builds on, in order.
@@ -317,8 +317,8 @@ def gap_edge_lines_shortened(spark, folder):
     return found.select(
         "source",
         "gap_number",
-        scoring.truncate_text(F.col("line_before_gap"), 40).alias("before"),
-        scoring.truncate_text(F.col("line_after_gap"), 40).alias("after"),
+        F.expr(scoring.truncate_text("line_before_gap", 40)).alias("before"),
+        F.expr(scoring.truncate_text("line_after_gap", 40)).alias("after"),
     )
 
 
@@ -468,14 +468,13 @@ def severity_breakdown(spark, folder):
 )
 def most_critical_gaps(spark, folder):
     found = gaps.detect_gaps(services(spark, folder), CONFIG, text=False)
-    best = found.groupBy("source").agg(stats.most_critical(found).alias("top"))
-    return best.select("source", "top.*")
+    return stats.most_critical(found).select("source", "most_critical_gap.*")
 
 
 def _profile(spark, folder) -> DataFrame:
     parsed = services(spark, folder)
     marks = stage(gaps.gap_marks(parsed, CONFIG), "marks")
-    found = gaps.number_gaps(gaps.raw_gaps(marks, CONFIG), CONFIG)
+    found = stage(gaps.number_gaps(gaps.raw_gaps(marks, CONFIG), CONFIG), "gaps")
     return stats.placement_profile(found, gaps.source_spans(marks), stats.gap_totals(found, CONFIG), CONFIG)
 
 
