@@ -51,6 +51,8 @@ class ScanConfig:
             raise ValueError("context_lines must be 0 or greater")
         if self.min_severity not in SEVERITIES:
             raise ValueError(f"min_severity must be one of {', '.join(SEVERITIES)}")
+        if not 1 <= self.reference_year <= 9999:
+            raise ValueError("reference_year must be between 1 and 9999")
         if not self.error_words:
             raise ValueError("error_words must not be empty")
         for name in ("block_lines", "chain_chunk_lines", "segment_lines"):

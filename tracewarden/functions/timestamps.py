@@ -78,7 +78,8 @@ def _slash(raw: str) -> str:
 
 
 def _apache(raw: str) -> str:
-    return named_month_us(raw, "d/MMM/yyyy:HH:mm:ss")
+    instant = named_month_us(raw, "d/MMM/yyyy:HH:mm:ss")
+    return f"CASE WHEN substring({raw}, -13, 4) <> '0000' THEN {instant} END"
 
 
 def _syslog(raw: str, reference_year: int) -> str:

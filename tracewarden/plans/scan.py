@@ -48,13 +48,14 @@ def scan_parsed(
     reported = gaps.filter_by_severity(every, config.min_severity)
     detailed = context.with_context(reported, parsed, config, broadcast=lookups <= MAX_BROADCAST_LOOKUPS)
 
-    totals = stats.gap_totals(every, config)
+    # small tables (rows per source, bounded rows per source) that several results read
+    totals = stage(stats.gap_totals(every, config), "totals")
     spans = gaps.source_spans(marks)
-    profile = stats.placement_profile(every, spans, totals, config)
+    profile = stage(stats.placement_profile(every, spans, totals, config), "profile")
     digests = chain.sequential_chain(parsed, config) if exact_chain else None
-    scanned = stats.scan_stats(
-        stats.line_counts(parsed), bursts.burst_counts(parsed, config), spans, totals, digests, files
-    )
+    counts = stats.line_counts(parsed)
+    errors = bursts.burst_counts(parsed, config)
+    scanned = stage(stats.scan_stats(counts, errors, spans, totals, digests, files), "stats")
     return ScanResult(
         config=config,
         parsed=parsed,
