@@ -29,12 +29,21 @@ def _paths(paths: str | list[str]) -> list[str]:
 
 
 def file_facts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``source, file_name, file_size`` of every file, empty ones included; contents are not read."""
+    """``source, file_name, file_size`` of every file; contents are not read.
+
+    Scans skip empty files, so the names come from the listing the reader holds anyway.
+    """
     files = spark.read.format("binaryFile").load(_paths(paths))
-    return files.select(
-        F.col("_metadata.file_path").alias("source"),
-        F.col("_metadata.file_name").alias("file_name"),
-        F.col("_metadata.file_size").alias("file_size"),
+    listed = spark.createDataFrame([(path,) for path in files.inputFiles()], "source string")
+    # the listing writes a missing host as "file:///", the scan as "file:/"
+    listed = listed.select(F.regexp_replace("source", "^([a-z0-9]+):///", "$1:/").alias("source"))
+    sized = files.select(
+        F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_size").alias("file_size")
+    )
+    return listed.join(sized, "source", "left").select(
+        "source",
+        F.url_decode(F.regexp_replace(F.element_at(F.split("source", "/"), -1), "[+]", "%2B")).alias("file_name"),
+        F.coalesce("file_size", F.lit(0)).cast("bigint").alias("file_size"),
     )
 
 

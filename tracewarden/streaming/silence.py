@@ -10,14 +10,14 @@ def activity_stream(parsed: DataFrame, threshold_seconds: float, watermark: str)
     """``source, first_ts, last_ts, line_count`` per stretch without a silence over the threshold.
 
     A session is final once the watermark passes it; lines later than the watermark are
-    dropped. Unlike the line-order gaps this follows time order. Sessions merge when the
-    distance is below the window gap, so one microsecond more keeps a silence of exactly the
-    threshold inside. ``operators.activity`` gives the same stretches for tables.
+    dropped. Unlike the line-order gaps this follows time order. Sessions at exactly the
+    window gap still merge, as a silence of exactly the threshold should.
+    ``operators.activity`` gives the same stretches for tables.
     """
     stamped = parsed.filter(F.col("ts_us").isNotNull()).select(
         "source", F.timestamp_micros("ts_us").alias("at")
     )
-    gap_us = int(round(threshold_seconds * 1_000_000)) + 1
+    gap_us = int(round(threshold_seconds * 1_000_000))
     window = F.session_window("at", f"{gap_us} microseconds")
     sessions = (
         stamped.withWatermark("at", watermark)
