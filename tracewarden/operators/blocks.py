@@ -44,7 +44,7 @@ def number_rows(rows: DataFrame, order: str, name: str) -> DataFrame:
     )
 
 
-def with_source_facts(rows: DataFrame, facts: DataFrame, spread_on: str, spread: int = 16) -> DataFrame:
+def with_source_facts(rows: DataFrame, facts: DataFrame, spread_on: str, spread: int = 32) -> DataFrame:
     """Left-join one-row-per-source ``facts`` to ``rows`` without one task per source.
 
     The key is ``(source, spread)``: rows of a hot source go to ``spread`` partitions and each

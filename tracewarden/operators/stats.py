@@ -150,8 +150,8 @@ def scan_stats(
     )
 
 
-def build_summary(stats: DataFrame, totals: DataFrame, profile: DataFrame) -> DataFrame:
-    """One summary row per source: reported gaps against unfiltered line statistics."""
+def with_verdict(stats: DataFrame, totals: DataFrame, profile: DataFrame) -> DataFrame:
+    """Add gap totals, score, timeline and risk of the reported gaps to the line statistics."""
     rows = (
         stats.join(totals.drop("gap_count_all"), "source", "left")
         .join(placement_scores(profile), "source", "left")
@@ -160,8 +160,22 @@ def build_summary(stats: DataFrame, totals: DataFrame, profile: DataFrame) -> Da
     counts = [f"{name.lower()}_count" for name in SEVERITIES]
     filled = rows.na.fill(0, ["gap_count", *counts]).na.fill(0.0, ["highest_confidence", "entropy_score"])
     filled = filled.na.fill("." * scoring.TIMELINE_WIDTH, ["timeline"])
-    breakdown = ", ".join(f"'{name}', {count}" for name, count in zip(SEVERITIES, counts))
+    risk = scoring.risk_level(*counts, "entropy_score", "highest_confidence", "error_bursts")
     return filled.selectExpr(
+        "*", f"{risk} AS risk_assessment", f"{scoring.status_code(*counts)} AS status_code"
+    )
+
+
+def stats_rows(per_source: DataFrame) -> DataFrame:
+    names = ["source", "file_name", "file_size", "total_lines", "parsed_lines", "malformed_lines"]
+    names += ["error_lines", "error_bursts", "first_us", "last_us", "gaps_detected", "final_hash"]
+    return per_source.select(*[name for name in names if name in per_source.columns])
+
+
+def summary_rows(per_source: DataFrame) -> DataFrame:
+    """One summary row per source: reported gaps against unfiltered line statistics."""
+    breakdown = ", ".join(f"'{name}', {name.lower()}_count" for name in SEVERITIES)
+    return per_source.selectExpr(
         "source",
         "total_lines AS total_lines_scanned",
         "parsed_lines",
@@ -173,12 +187,11 @@ def build_summary(stats: DataFrame, totals: DataFrame, profile: DataFrame) -> Da
         f"named_struct({breakdown}) AS severity_breakdown",
         "most_critical_gap",
         "highest_confidence",
-        scoring.risk_level(*counts, "entropy_score", "highest_confidence", "error_bursts")
-        + " AS risk_assessment",
+        "risk_assessment",
         "entropy_score",
         "timeline",
-        *(["struct(final_hash) AS integrity_chain"] if "final_hash" in rows.columns else []),
-        f"{scoring.status_code(*counts)} AS status_code",
+        *(["struct(final_hash) AS integrity_chain"] if "final_hash" in per_source.columns else []),
+        "status_code",
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,19 +16,77 @@ from tracewarden.sources.text import file_facts, scan_parsed_text
 MAX_BROADCAST_LOOKUPS = 200_000
 
 
-@dataclass(frozen=True)
 class ScanResult:
-    """Result tables of a scan, keyed by ``source``."""
+    """Result tables of a scan, keyed by ``source``; each is worked out when first asked for.
 
-    config: ScanConfig
-    parsed: DataFrame
-    all_gaps: DataFrame
-    gaps: DataFrame
-    bursts: DataFrame
-    stats: DataFrame
-    summary: DataFrame
-    timeline: DataFrame
-    segments: DataFrame
+    What several results share is staged once: the marks of the one ordered pass, the
+    numbered gaps, and the per-source table behind ``stats`` and ``summary``.
+    """
+
+    def __init__(
+        self, parsed: DataFrame, config: ScanConfig, files: DataFrame | None, exact_chain: bool
+    ) -> None:
+        self.parsed = parsed
+        self.config = config
+        self._files = files
+        self._exact_chain = exact_chain
+
+    @cached_property
+    def _marks(self) -> DataFrame:
+        return stage(gaps.gap_marks(self.parsed, self.config), "marks")
+
+    @cached_property
+    def all_gaps(self) -> DataFrame:
+        """Every gap, scored, without text."""
+        return stage(gaps.number_gaps(gaps.raw_gaps(self._marks, self.config), self.config), "gaps")
+
+    @cached_property
+    def gaps(self) -> DataFrame:
+        """Reported gaps with edge lines and context."""
+        lookups = self.all_gaps.count() * (self.config.context_lines + max(self.config.context_lines, 1) + 1)
+        reported = gaps.filter_by_severity(self.all_gaps, self.config.min_severity)
+        small = lookups <= MAX_BROADCAST_LOOKUPS
+        return gaps.with_timestamps(context.with_context(reported, self.parsed, self.config, broadcast=small))
+
+    @cached_property
+    def bursts(self) -> DataFrame:
+        return bursts.numbered_bursts(self.parsed, self.config)
+
+    @cached_property
+    def segments(self) -> DataFrame:
+        return chain.segment_digests(self.parsed, self.config)
+
+    @cached_property
+    def _spans(self) -> DataFrame:
+        return gaps.source_spans(self._marks)
+
+    @cached_property
+    def _totals(self) -> DataFrame:
+        return stats.gap_totals(self.all_gaps, self.config)
+
+    @cached_property
+    def _profile(self) -> DataFrame:
+        return stats.placement_profile(self.all_gaps, self._spans, self._totals, self.config)
+
+    @cached_property
+    def timeline(self) -> DataFrame:
+        return stats.timeline_cells(self._profile)
+
+    @cached_property
+    def _per_source(self) -> DataFrame:
+        digests = chain.sequential_chain(self.parsed, self.config) if self._exact_chain else None
+        counts = stats.line_counts(self.parsed)
+        errors = bursts.burst_counts(self.parsed, self.config)
+        scanned = stats.scan_stats(counts, errors, self._spans, self._totals, digests, self._files)
+        return stage(stats.with_verdict(scanned, self._totals, self._profile), "per_source")
+
+    @cached_property
+    def stats(self) -> DataFrame:
+        return stats.stats_rows(self._per_source)
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return stats.summary_rows(self._per_source)
 
 
 def scan_parsed(
@@ -42,31 +100,7 @@ def scan_parsed(
     ``exact_chain=False`` leaves out the serial per-source chain; the segment digests cover
     the same lines in parallel.
     """
-    marks = stage(gaps.gap_marks(parsed, config), "marks")
-    every = stage(gaps.number_gaps(gaps.raw_gaps(marks, config), config), "gaps")
-    lookups = every.count() * (config.context_lines + max(config.context_lines, 1) + 1)
-    reported = gaps.filter_by_severity(every, config.min_severity)
-    detailed = context.with_context(reported, parsed, config, broadcast=lookups <= MAX_BROADCAST_LOOKUPS)
-
-    # small tables (rows per source, bounded rows per source) that several results read
-    totals = stage(stats.gap_totals(every, config), "totals")
-    spans = gaps.source_spans(marks)
-    profile = stage(stats.placement_profile(every, spans, totals, config), "profile")
-    digests = chain.sequential_chain(parsed, config) if exact_chain else None
-    counts = stats.line_counts(parsed)
-    errors = bursts.burst_counts(parsed, config)
-    scanned = stage(stats.scan_stats(counts, errors, spans, totals, digests, files), "stats")
-    return ScanResult(
-        config=config,
-        parsed=parsed,
-        all_gaps=every,
-        gaps=gaps.with_timestamps(detailed),
-        bursts=bursts.numbered_bursts(parsed, config),
-        stats=scanned,
-        summary=stats.build_summary(scanned, totals, profile),
-        timeline=stats.timeline_cells(profile),
-        segments=chain.segment_digests(parsed, config),
-    )
+    return ScanResult(parsed, config, files, exact_chain)
 
 
 def scan_lines(lines: DataFrame, config: ScanConfig | None = None, exact_chain: bool = True) -> ScanResult:

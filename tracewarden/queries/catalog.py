@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tracewarden.config import ScanConfig
@@ -18,13 +18,14 @@ from tracewarden.functions import scoring
 from tracewarden.functions.timestamps import iso_text
 from tracewarden.operators import activity, bursts, chain, context, gaps, stats
 from tracewarden.operators.parsing import malformed_lines, parse_lines, parser_profile
-from tracewarden.plans import reports
+from tracewarden.plans import progress, reports
 from tracewarden.plans.scan import scan_files, scan_lines
 from tracewarden.queries import inputs, oracle
 from tracewarden.queries.inputs import CONFIG
 from tracewarden.sources.staging import new_folder, stage
 from tracewarden.sources.text import file_facts, scan_text
 from tracewarden.streaming import monitor
+from tracewarden.streaming.files import watch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -623,8 +624,7 @@ def result_tables(spark, folder):
     return counted("gaps").unionByName(counted("bursts"))
 
 
-@register(
-    "file_scan_summary",
+FILE_SOURCES = (
     f"""
 lines AS (
   SELECT 'part-' || (event_id // {inputs.FILE_EVENTS}) AS source,
@@ -641,14 +641,10 @@ lines AS (
     oracle.TIMELINE,
     oracle.RISK,
     oracle.CHAIN,
-    select="SELECT c.source, c.total_lines AS total_lines_scanned, c.parsed_lines, c.error_bursts, "
-    "r.gap_count AS total_gaps_found, r.risk_assessment, r.entropy_score, l.timeline, h.final_hash "
-    "FROM counts c JOIN risks r USING (source) JOIN timelines l USING (source) JOIN chains h USING (source)",
 )
-def file_scan_summary(spark, folder):
-    """The whole scan from text files to the summary row."""
-    path = inputs.event_files(spark, folder, new_folder(spark, "event_files"))
-    summary = scan_files(spark, f"{path}/part=*", CONFIG).summary
+
+
+def _file_summary(summary: DataFrame) -> DataFrame:
     part = F.concat(F.lit("part-"), F.regexp_extract("source", "part=([0-9]+)", 1))
     return summary.select(
         part.alias("source"),
@@ -663,6 +659,34 @@ def file_scan_summary(spark, folder):
     )
 
 
+@register(
+    "file_scan_summary",
+    *FILE_SOURCES,
+    select="SELECT c.source, c.total_lines AS total_lines_scanned, c.parsed_lines, c.error_bursts, "
+    "r.gap_count AS total_gaps_found, r.risk_assessment, r.entropy_score, l.timeline, h.final_hash "
+    "FROM counts c JOIN risks r USING (source) JOIN timelines l USING (source) JOIN chains h USING (source)",
+)
+def file_scan_summary(spark, folder):
+    """The whole scan from text files to the summary row."""
+    path = inputs.event_files(spark, folder, new_folder(spark, "event_files"))
+    return _file_summary(scan_files(spark, f"{path}/part=*", CONFIG).summary)
+
+
+@register(
+    "progress_metrics",
+    *LINES,
+    select="SELECT count(*) AS lines, count(ts) AS parsed, count(*) - count(ts) AS malformed, "
+    "count(*) FILTER (is_error) AS errors FROM parsed",
+)
+def progress_metrics(spark, folder):
+    """Counters observed while the parsed lines pass to a sink."""
+    seen = Observation("lines")
+    progress.observe_lines(services(spark, folder), seen).write.format("noop").mode("overwrite").save()
+    found = seen.get
+    row = tuple(found[name] for name in ("lines", "parsed", "malformed", "errors"))
+    return spark.createDataFrame([row], "lines bigint, parsed bigint, malformed bigint, errors bigint")
+
+
 # --- streams and event time ----------------------------------------------------------------
 
 
@@ -719,6 +743,25 @@ def stream_status(spark, folder):
     )
 
 
+@register(
+    "folder_stream_summary",
+    *FILE_SOURCES,
+    select="SELECT c.source, c.total_lines AS total_lines_scanned, c.parsed_lines, c.error_bursts, "
+    "r.gap_count AS total_gaps_found, r.risk_assessment, r.entropy_score, l.timeline, h.final_hash "
+    "FROM counts c JOIN risks r USING (source) JOIN timelines l USING (source) JOIN chains h USING (source)",
+)
+def folder_stream_summary(spark, folder):
+    """Arriving text files, scanned per micro-batch; each batch's rows are written once."""
+    inbox = inputs.event_files(spark, folder, new_folder(spark, "inbox"))
+    target = new_folder(spark, "folder_summary")
+
+    def keep(result, batch_id: int) -> None:
+        result.summary.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    watch_folder(spark, f"{inbox}/part=*", CONFIG, keep, new_folder(spark, "state")).awaitTermination()
+    return _file_summary(spark.read.parquet(target))
+
+
 @register(
     "activity_periods",
     *LINES,
