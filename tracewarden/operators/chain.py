@@ -16,7 +16,9 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,32 +38,43 @@ def _fold(rows: DataFrame, keys: list[str]) -> DataFrame:
     names = [*keys, "position", "payload"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = None
-        current, digest = None, START.encode()
+        current, digest, schema = None, b"", None
+        sha256, start = hashlib.sha256, START.encode()
+
+        def rows_of(done: list[tuple]) -> pa.RecordBatch:
+            cells = [pa.array(values, f.type) for values, f in zip(zip(*done), schema)]
+            return pa.RecordBatch.from_arrays(cells, schema=schema)
+
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
+            size = batch.num_rows
+            if not size:
+                continue
+            columns = [batch.column(i) for i in range(len(keys))]
             if schema is None:
                 fields = [batch.schema.field(i) for i in range(len(keys))]
                 schema = pa.schema([*fields, pa.field("digest", pa.string())])
-            done: list[tuple] = []
-            for *key, position, payload in zip(*columns):
+            # rows are sorted by key: cut the batch where a key column changes
+            changed = np.zeros(size, dtype=bool)
+            for column in columns:
+                differs = pc.not_equal(column.slice(1), column.slice(0, size - 1))
+                changed[1:] |= differs.to_numpy(zero_copy_only=False)
+            cuts = [0, *np.flatnonzero(changed).tolist(), size]
+            payloads = batch.column(len(keys) + 1).to_pylist()
+            done = []
+            for first, last in zip(cuts, cuts[1:]):
+                key = tuple(column[first].as_py() for column in columns)
                 if key != current:
                     if current is not None:
                         done.append((*current, digest.decode()))
-                    current, digest = key, START.encode()
-                if position == 0:
-                    digest = payload
-                else:
-                    digest = hashlib.sha256(payload + digest).hexdigest().encode()
+                    current, digest = key, start
+                    if batch.column(len(keys))[first].as_py() == 0:
+                        digest, first = payloads[first], first + 1
+                for payload in payloads[first:last]:
+                    digest = sha256(payload + digest).hexdigest().encode()
             if done:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema
-                )
+                yield rows_of(done)
         if current is not None:
-            last = (*current, digest.decode())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c], f.type) for c, f in zip(last, schema)], schema=schema
-            )
+            yield rows_of([(*current, digest.decode())])
 
     types = dict(rows.dtypes)
     ddl = ", ".join([*(f"{k} {types[k]}" for k in keys), "digest string"])
@@ -77,15 +90,16 @@ def _payload(parsed: DataFrame) -> DataFrame:
     )
 
 
-def sequential_chain(parsed: DataFrame, config: ScanConfig) -> DataFrame:
+def sequential_chain(parsed: DataFrame, config: ScanConfig, staged: bool = False) -> DataFrame:
     """``source, final_hash``: the chain over all parsed lines of each source.
 
     Malformed lines are not covered; a source without parsed lines has no row here (its
-    hash is 64 zeros, which ``operators.stats`` fills in).
+    hash is 64 zeros, which ``operators.stats`` fills in). Each round reads only its range of
+    line numbers, so lines that are not ``staged`` yet are written once first.
     """
-    rows = _payload(parsed)
+    rows = _payload(parsed) if staged else stage(_payload(parsed), "payload")
     size = config.chain_chunk_lines
-    longest = parsed.agg(F.max("line_number")).first()[0] or 0  # one number, not rows
+    longest = rows.agg(F.max("position")).first()[0] or 0  # one number, not rows
     digests = _fold(rows.filter(F.col("position") <= size), ["source"])
     for start in range(size, longest, size):
         carried = stage(digests, f"chain_{start}")

@@ -74,7 +74,9 @@ class ScanResult:
 
     @cached_property
     def _per_source(self) -> DataFrame:
-        digests = chain.sequential_chain(self.parsed, self.config) if self._exact_chain else None
+        digests = None
+        if self._exact_chain:
+            digests = chain.sequential_chain(self.parsed, self.config, staged=True)
         counts = stats.line_counts(self.parsed)
         errors = bursts.burst_counts(self.parsed, self.config)
         scanned = stats.scan_stats(counts, errors, self._spans, self._totals, digests, self._files)
