@@ -7,7 +7,7 @@ A chain is serial by definition: each digest needs the one before it. Two forms
   table, so no task holds more than one chunk of a source and a lost executor costs one
   round. Sources run side by side; a single source is as serial as its chain.
 * ``segment_digests`` / ``segmented_chain``: one chain per fixed-size segment, all in
-  parallel, then a chain over the segment digests. Another value with the same evidence,
+  parallel, then a chain over the segment digests. Another value that reveals the same changes,
   and a changed line is pinned to its segment.
 """
 
