@@ -13,9 +13,8 @@ from tracewarden.sources.staging import stage
 
 # the blanks that separate words, as one character class; bytes.split() splits at exactly these
 BLANKS = "\\x20\\x09-\\x0D"
-BLANK_CHARS = " \t\n\x0b\x0c\r"
 
-__all__ = ["BLANKS", "BLANK_CHARS", "raw_bytes", "fold", "hold_out", "stage", "table", "utf8_size"]
+__all__ = ["BLANKS", "raw_bytes", "fold", "hold_out", "stage", "table", "utf8_size"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
