@@ -115,19 +115,31 @@ SPELLED_WORD = re.compile(DIGIT, re.IGNORECASE)
 AT, DOT = "(?:at|arroba|chez)", "(?:dot|punkt|point|punto)"
 BRACKETED_AT = re.compile(rf"\s*[\[({{<]\s*(?:{AT}|@)\s*[\])}}>]\s*", re.IGNORECASE)
 BRACKETED_DOT = re.compile(rf"\s*[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*", re.IGNORECASE)
-# a bare "at" counts only before a domain whose dots are spelled
+# a bare "at" counts only before a domain whose dots are spelled and whose last label is a usual one
+ENDINGS = (
+    "(?:com|org|net|edu|gov|mil|int|info|biz|io|co|ai|app|dev|me|tv|eu|uk|de|fr|es|it|nl|be|ch|at|pl|pt|se|no|dk|fi|ie"
+    "|ru|cn|jp|in|br|mx|ar|ca|au|us|example|test)"
+)
 BARE = re.compile(
-    rf"(?<=[A-Za-z0-9_%+-])(?P<at>\s+{AT}\s+)[A-Za-z0-9-]+(?:\s+{DOT}\s+[A-Za-z0-9-]+)+", re.IGNORECASE
+    rf"(?<=[A-Za-z0-9_%+-])(?P<at>\s+{AT}\s+)[A-Za-z0-9-]+(?:\s+{DOT}\s+[A-Za-z0-9-]+)*\s+{DOT}\s+{ENDINGS}(?![A-Za-z0-9-])",
+    re.IGNORECASE,
 )
 BARE_DOT = re.compile(rf"(?<=[A-Za-z0-9])\s+{DOT}\s+(?=[A-Za-z0-9])", re.IGNORECASE)
 NUMBER_DOT = re.compile(rf"(?<=[0-9])\s+{DOT}\s+(?=[0-9])", re.IGNORECASE)
 PLUS = re.compile(r"(?<!\w)plus[\s-]+(?=[0-9])", re.IGNORECASE)
 
-_ODD = "".join([*LOOKALIKES, *MARKS, HIDDEN, BLANK_VARIANTS]) + "！-～٠-٩۰-۹०-९"
-TRIGGER = re.compile(
-    rf"[{_ODD}]|[\[({{<]\s*(?:{AT}|{DOT}|@|\.)\s*[\])}}>]|\s{DOT}\s|{DIGIT}[\s-]{{1,3}}{DIGIT}[\s-]{{1,3}}{DIGIT}",
-    re.IGNORECASE,
-)
+# what a text must hold for the transducers to change anything that matters; the last three want lower case
+ODD = re.compile("[" + "".join([*LOOKALIKES, *MARKS, HIDDEN, BLANK_VARIANTS]) + "！-～٠-٩۰-۹०-९]")
+BRACKETED = re.compile(rf"[\[({{<]\s*(?:{AT}|{DOT}|@|\.)\s*[\])}}>]")
+SPELLED_DOT = re.compile(rf"{DOT}\s")
+SPELLED_RUN = re.compile(rf"{DIGIT}[\s-]{{1,3}}{DIGIT}[\s-]{{1,3}}{DIGIT}")
+
+
+def may_hide(text: str) -> bool:
+    if not text.isascii() and ODD.search(text):
+        return True
+    low = text.lower()
+    return bool(BRACKETED.search(low) or SPELLED_DOT.search(low) or SPELLED_RUN.search(low))
 
 
 class Tape:
@@ -211,7 +223,7 @@ TRANSDUCERS = (characters, spelled_digits, signs)
 
 def disguised(text: str, base: list[Span]) -> list[Span]:
     """Spans that only the rewritten text shows; those within a base span of their kind add nothing."""
-    if not TRIGGER.search(text):
+    if not may_hide(text):
         return []
     tape = Tape(text)
     for transducer in TRANSDUCERS:
