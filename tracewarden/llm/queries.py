@@ -4,9 +4,19 @@ from __future__ import annotations
 
 from tracewarden.llm.packing import op6_packing
 from tracewarden.llm.personal_data import op10_personal_data
+from tracewarden.llm.quality_classifier import op4_quality_classifier
 from tracewarden.llm.quality_rules import op9_quality_rules
 from tracewarden.llm.sharding import op2_sharding
 
-QUERIES = {query.__name__: query for query in (op2_sharding, op6_packing, op9_quality_rules, op10_personal_data)}
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op2_sharding,
+        op4_quality_classifier,
+        op6_packing,
+        op9_quality_rules,
+        op10_personal_data,
+    )
+}
 
 ORACLE: dict[str, str] = {}
