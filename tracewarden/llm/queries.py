@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from tracewarden.llm.near_dedup import op7_near_dedup
 from tracewarden.llm.packing import op6_packing
 from tracewarden.llm.personal_data import op10_personal_data
 from tracewarden.llm.quality_classifier import op4_quality_classifier
 from tracewarden.llm.quality_rules import op9_quality_rules
 from tracewarden.llm.sharding import op2_sharding
+from tracewarden.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
     query.__name__: query
     for query in (
         op2_sharding,
+        op3_warc,
         op4_quality_classifier,
         op6_packing,
+        op7_near_dedup,
         op9_quality_rules,
         op10_personal_data,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_warc": OP3_SQL}
