@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tracewarden.llm.language_model import op5_language_model
 from tracewarden.llm.near_dedup import op7_near_dedup
 from tracewarden.llm.packing import op6_packing
 from tracewarden.llm.personal_data import op10_personal_data
@@ -16,6 +17,7 @@ QUERIES = {
         op2_sharding,
         op3_warc,
         op4_quality_classifier,
+        op5_language_model,
         op6_packing,
         op7_near_dedup,
         op9_quality_rules,
