@@ -9,6 +9,7 @@ from tracewarden.llm.personal_data import op10_personal_data
 from tracewarden.llm.quality_classifier import op4_quality_classifier
 from tracewarden.llm.quality_rules import op9_quality_rules
 from tracewarden.llm.sharding import op2_sharding
+from tracewarden.llm.substring_dedup import op8_substring_dedup
 from tracewarden.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
         op5_language_model,
         op6_packing,
         op7_near_dedup,
+        op8_substring_dedup,
         op9_quality_rules,
         op10_personal_data,
     )
