@@ -8,10 +8,12 @@ for a text of a thousand words is after the first.
 1. One pass over the texts gives the number of distinct shingles, a fingerprint of the set and
    the keys of 40 bands of 8 signature places.
 2. Texts with equal sets form a class; only the one with the smallest id goes on.
-3. Members of a band's bucket are compared with the bucket's smallest member on their full
-   sets; links are grouped by union-find.
-4. In buckets that still hold several groups, members of different groups are compared, at most
-   ``PIVOTS`` per member and round, until no such pair is untested.
+3. Members of a band's bucket are compared with one of them, the bucket's first in a random order, on
+   their full sets; links are grouped by union-find.
+4. Members of buckets that still hold several groups get longer signatures and finer bands. In a
+   finer bucket of at most ``SMALL_BUCKET`` members, those of different groups whose signatures agree
+   enough are compared. In a larger one, all those of different groups are: with one member in
+   the first round, then two, up to ``MAX_PIVOTS`` a round, until no such pair is untested.
 
 Two sets of similarity 0.85 share no band with a probability of about 1e-5.
 
@@ -28,7 +30,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewarden.llm.common import raw_bytes, stage, table
@@ -39,11 +41,24 @@ SHINGLE = 5
 PLACES, BANDS, ROWS = 128, 40, 8
 PERCENT = 85
 SALTS = 16
-PIVOTS = 64
+ORDERS = 4
+SMALL_BUCKET = 4_096
+LOOKS_ALIKE = 0.78  # of fine places; for a pair at the limit, 4.4 standard deviations below the mean
+MAX_PIVOTS = 64
 MAX_BROADCAST_IDS = 1_000_000  # 8 bytes each
 
-_draw = np.random.Generator(np.random.PCG64(1))
-BAND_PLACES = np.concatenate([_draw.permutation(PLACES) for _ in range(3)])[: BANDS * ROWS].reshape(BANDS, ROWS)
+FINE_PLACES, FINE_BANDS, FINE_ROWS = 512, 120, 12  # for what the first comparison leaves apart
+
+
+def _layout(places: int, bands: int, rows: int) -> np.ndarray:
+    """The signature places of every band, from as many random permutations as it takes."""
+    draw = np.random.Generator(np.random.PCG64(places))
+    line = np.concatenate([draw.permutation(places) for _ in range(-(-bands * rows // places))])
+    return line[: bands * rows].reshape(bands, rows)
+
+
+BAND_PLACES = _layout(PLACES, BANDS, ROWS)
+FINE_BAND_PLACES = _layout(FINE_PLACES, FINE_BANDS, FINE_ROWS)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -87,11 +102,11 @@ def signature(elements: np.ndarray, places: int = PLACES) -> np.ndarray:
     return kept
 
 
-def band_keys(kept: np.ndarray) -> np.ndarray:
+def band_keys(kept: np.ndarray, layout: np.ndarray = BAND_PLACES) -> np.ndarray:
     """One 64-bit key per band; the band's number is part of it."""
-    bits = kept.view(np.uint64)[BAND_PLACES]
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
+    bits = kept.view(np.uint64)[layout]
+    keys = np.arange(1, len(layout) + 1, dtype=np.uint64)
+    for k in range(layout.shape[1]):
         keys = mix(keys * _STEP + bits[:, k])
     return keys.view(np.int64)
 
@@ -164,29 +179,102 @@ def _representatives(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classes, bands
 
 
+def _order() -> Column:
+    """A random order of the members of a bucket, one of ``ORDERS``.
+
+    Buckets that hold the same copies thus begin with several different ones, not all with the smallest id:
+    what the first does not link with, another may. And not each with its own: that would be one
+    comparison per band.
+    """
+    return F.xxhash64(F.col("id"), F.pmod(F.col("key"), F.lit(ORDERS)))
+
+
+def _fine_members(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of coarse buckets of several groups in those of their finer buckets that hold several, too; staged.
+
+    ``key, band, id, component_id, n`` (of the bucket), ``sketch, short``. Texts that share a passage but are
+    no copies share a band now and then. Longer signatures and bands keep nearly all of them apart,
+    and pairs similar enough together. The sketch is one byte of each place,
+    ``short`` has four bytes of every fine key.
+    """
+
+    def work(batches):
+        for batch in batches:
+            kept = [signature(np.frombuffer(x.as_buffer(), np.uint64), FINE_PLACES) for x in batch.column(1)]
+            keys = [band_keys(k, FINE_BAND_PLACES) for k in kept]
+            short = [k.astype(np.int32).tobytes() for k in keys]
+            small = [(mix(k.view(np.uint64)) & np.uint64(255)).astype(np.uint8).tobytes() for k in kept]
+            lists = pa.array([k.tolist() for k in keys], pa.list_(pa.int64()))
+            columns = [batch.column(0), lists, pa.array(small, pa.binary()), pa.array(short, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "keys", "sketch", "short"])
+
+    rows = _labelled(members.select("key", "id"), groups)
+    span = rows.groupBy("key").agg(F.min("component_id").alias("a"), F.max("component_id").alias("b"))
+    ids = rows.join(span.filter("a < b").select("key"), "key", "left_semi").select("id").distinct()
+    schema = "id bigint, keys array<bigint>, sketch binary, short binary"
+    fine = stage(sets.join(ids, "id", "left_semi").mapInArrow(work, schema), "fine")
+    labelled = _labelled(fine.select(F.posexplode("keys").alias("band", "key"), "id"), groups)
+    labelled = stage(labelled, "fine_bands")
+    span = labelled.groupBy("key").agg(
+        F.min("component_id").alias("a"), F.max("component_id").alias("b"), F.count(F.lit(1)).alias("n")
+    )
+    span = stage(span.filter("a < b").select("key", "n"), "fine_buckets")
+    return stage(labelled.join(span, "key").join(fine.drop("keys"), "id"), "fine_members")
+
+
+def _pairs_in_small_buckets(fine: DataFrame) -> DataFrame:
+    """Pairs ``u, v`` of different groups in buckets of at most ``SMALL_BUCKET``, which look similar enough.
+
+    A pair comes from the first of the bands that it shares.
+    """
+
+    def work(part: pa.Table) -> pa.Table:
+        ids, group = part.column("id").to_numpy(), part.column("component_id").to_numpy()
+        band = part.column("band")[0].as_py()
+        sketch = np.frombuffer(b"".join(raw_bytes(part.column("sketch"))), np.uint8).reshape(len(ids), FINE_PLACES)
+        short = np.frombuffer(b"".join(raw_bytes(part.column("short"))), np.int32).reshape(len(ids), FINE_BANDS)[:, :band]
+        found = [np.zeros((0, 2), np.int64)]
+        for k in range(len(ids) - 1):
+            at = k + 1 + np.flatnonzero(group[k + 1 :] != group[k])
+            at = at[(sketch[at] == sketch[k]).mean(1) >= LOOKS_ALIKE]
+            other = ids[at[~(short[at] == short[k]).any(1)]]
+            found.append(np.stack([np.maximum(other, ids[k]), np.minimum(other, ids[k])], 1))
+        pairs = np.concatenate(found)
+        return pa.table({"u": pa.array(pairs[:, 0]), "v": pa.array(pairs[:, 1])})
+
+    small = fine.filter(F.col("n") <= SMALL_BUCKET).select("key", "band", "id", "component_id", "sketch", "short")
+    return small.groupBy("key").applyInArrow(work, "u bigint, v bigint").distinct()
+
+
+def _labelled(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """``members`` with the group of each."""
+    rows = members.join(groups, "id", "left")
+    return rows.withColumn("component_id", F.coalesce("component_id", "id"))
+
+
 def _shared_buckets(bands: DataFrame) -> DataFrame:
-    """``key, id, pivot`` of buckets with at least two members; the pivot is the smallest."""
-    span = bands.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
+    """``key, id, pivot`` of buckets with at least two members; the pivot is the first in the bucket's order."""
+    first = F.min(F.struct(_order(), "id"))["id"]
+    span = bands.groupBy("key").agg(first.alias("pivot"), F.min("id").alias("least"), F.max("id").alias("last"))
     # staged, so that the join below can split a bucket with very many members
-    span = stage(span.filter("pivot < last").select("key", "pivot"), "buckets")
+    span = stage(span.filter("least < last").select("key", "pivot"), "buckets")
     return stage(bands.join(span, "key").distinct(), "members")
 
 
-def _open_pivots(members: DataFrame, groups: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of buckets with several groups, and up to ``PIVOTS`` of each bucket that are to be compared next.
+def _open_pivots(members: DataFrame, groups: DataFrame, done: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Members of buckets with several groups, and up to ``most`` of each bucket that are to be compared next.
 
     Pivots lie outside the largest group of their bucket. Once compared with all members of other
     groups they are done; when none is left, every untested pair of a bucket lies within one group.
     """
-    rows = members.select("key", "id").join(groups, "id", "left")
-    rows = rows.select("key", "id", F.coalesce("component_id", "id").alias("component_id"))
+    rows = _labelled(members.select("key", "id"), groups)
     sizes = rows.groupBy("key", "component_id").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max_by("component_id", "n").alias("main"))
     mixed = stage(mixed.filter("k > 1").select("key", "main"), "mixed")
     rows = stage(rows.join(mixed, "key"), "mixed_members")
     outside = rows.filter("component_id <> main").join(done, ["key", "id"], "left_anti")
-    rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-    first = outside.withColumn("rank", rank).filter(F.col("rank") <= PIVOTS)
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(_order(), "id"))
+    first = outside.withColumn("rank", rank).filter(F.col("rank") <= most)
     return rows, stage(first.select("key", F.col("id").alias("pivot"), F.col("component_id").alias("own")), "pivots")
 
 
@@ -204,9 +292,14 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     pairs = members.filter("id <> pivot").select(F.col("id").alias("u"), F.col("pivot").alias("v")).distinct()
     edges = stage(links(pairs, sets), "links")
     groups = components(edges)
-    done = members.select("key", "id").limit(0)
+    fine = _fine_members(members, groups, sets)
+    edges = stage(edges.unionByName(links(_pairs_in_small_buckets(fine), sets)), "links")
+    groups = components(edges)
+    members = fine.filter(F.col("n") > SMALL_BUCKET).select("key", "id")
+    done = members.limit(0)
+    most = 1
     while True:
-        rows, pivots = _open_pivots(members, groups, done)
+        rows, pivots = _open_pivots(members, groups, done, most)
         if pivots.isEmpty():
             break
         met = rows.join(pivots, "key").filter("component_id <> own")
@@ -214,6 +307,7 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
         edges = stage(edges.unionByName(links(pairs, sets)), "links")
         groups = components(edges)
         done = stage(done.unionByName(pivots.select("key", F.col("pivot").alias("id"))), "done")
+        most = min(2 * most, MAX_PIVOTS)  # groups merge fast at first; later pairs rarely link
     return _per_document(sketched, classes, groups)
 
 
