@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import stage, table
+from tracewarden.llm.common import table
 from tracewarden.sources.staging import new_folder
 
 LEAST_REVISIT = 1_000
@@ -131,8 +131,8 @@ def captures(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, path: str, per_file: int = RECORDS_PER_FILE) -> None:
     """Write a request, a response or revisit, and a metadata record for every row of ``page_id, url, html``."""
     found = with_targets(with_digests(pages))
-    writer = captures(found).write.option("lineSep", END).option("maxRecordsPerFile", per_file)
-    writer.text(path)
+    writer = captures(found).write.option("lineSep", END).option("compression", "gzip")
+    writer.option("maxRecordsPerFile", per_file).text(path)
 
 
 # ---- reading ------------------------------------------------------------------------------
@@ -238,19 +238,22 @@ def assemble(records: DataFrame) -> DataFrame:
     A response, revisit or resource record is a capture. Any other record belongs to the captures it is
     concurrent to, or that are concurrent to it. Records without a partner are kept: as a capture
     without requests, or under their own id without a response. A record written twice counts once.
-    ``records`` is evaluated several times, so it should be a stored table.
+    ``records`` is evaluated several times: it should be a stored table, or archives that are read again.
     """
     is_main = F.col("warc_type").isin("response", "revisit", "resource")
     main, other = records.filter(is_main), records.filter(~is_main)
-    pointed = [
-        other.select(F.col("record_id"), F.explode("concurrent_to").alias("capture_id")),
-        main.select(F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("capture_id")),
-    ]
-    links = pointed[0].unionByName(pointed[1]).distinct()
     body = F.struct(*[F.col(c) for c in records.columns])
-    held = other.join(links, "record_id", "left").select(
-        F.coalesce("capture_id", "record_id").alias("capture_id"), "warc_type", body.alias("body")
-    )
+    own = other.withColumn("capture_id", F.explode("concurrent_to"))
+    back = main.select(F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("capture_id")).distinct()
+    if back.isEmpty():  # as most archives have it: the other records point at the response
+        alone = other.filter(F.size("concurrent_to") == 0).withColumn("capture_id", F.col("record_id"))
+        held = own.unionByName(alone)
+    else:
+        found = other.join(back, "record_id", "left")
+        pointed = found.filter(F.col("capture_id").isNotNull() | (F.size("concurrent_to") == 0))
+        pointed = pointed.withColumn("capture_id", F.coalesce("capture_id", "record_id"))
+        held = own.unionByName(pointed.select(*own.columns)).distinct()
+    held = held.select("capture_id", "warc_type", body.alias("body"))
     sides = held.groupBy("capture_id").agg(
         F.sort_array(F.collect_set(F.when(F.col("warc_type") == "request", F.col("body")))).alias("requests"),
         F.sort_array(F.collect_set(F.when(F.col("warc_type") != "request", F.col("body")))).alias("metadata"),
@@ -263,7 +266,7 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Archives of all pages, read back and assembled; payload facts of revisits come from their headers."""
     path = new_folder(spark, "archives")
     write_archives(table(spark, folder, "pages"), path)
-    whole = assemble(stage(read_records(spark, path), "records"))
+    whole = assemble(read_records(spark, path))
     about = F.decode(F.col("metadata")[0]["payload"], "UTF-8")
     number = lambda name: F.expr(f"nullif(regexp_extract({{a}}, '{name}: ([-0-9]+)', 1), '')".replace("{a}", "__about"))
     revisit = F.col("response.warc_type") == "revisit"
