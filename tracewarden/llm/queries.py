@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tracewarden.llm.decontamination import op1_decontamination
 from tracewarden.llm.language_model import op5_language_model
 from tracewarden.llm.near_dedup import op7_near_dedup
 from tracewarden.llm.packing import op6_packing
@@ -15,6 +16,7 @@ from tracewarden.llm.warc import OP3_SQL, op3_warc
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_decontamination,
         op2_sharding,
         op3_warc,
         op4_quality_classifier,
