@@ -143,19 +143,19 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text") -> Model:
     return fit(positive, unlabelled, prior)
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with a column ``score`` in [0, 1]; null texts are scored as empty ones."""
-    docs = docs.drop(*[c for c in docs.columns if c.lower() == "score"])
+def scored(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
+    """``docs`` with a column ``into`` in [0, 1], replacing one of that name; null texts are scored as empty ones."""
+    docs = docs.drop(*[c for c in docs.columns if c.lower() == into.lower()])
 
     def work(batches):
         for batch in batches:
             at = batch.schema.names.index(text)
             rows = np.array([features(t) for t in raw_bytes(batch.column(at))]).reshape(-1, WIDTH)
             score = pa.array(model.score(rows), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, score], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, score], [*batch.schema.names, into])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(work, f"{schema}, score double")
+    return docs.mapInArrow(work, f"{schema}, `{into}` double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
