@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tracewarden.llm.common import stage, table  # noqa: E402
+from tracewarden.llm.common import free_names, stage, table  # noqa: E402
 from tracewarden.llm.decontamination import contaminated  # noqa: E402
 from tracewarden.llm.near_dedup import near_duplicates  # noqa: E402
 from tracewarden.llm.packing import digest, pack, word_tokenizer_path  # noqa: E402
@@ -26,17 +26,19 @@ from tracewarden.llm.quality_classifier import CUT, learn, scored  # noqa: E402
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labels of these documents, does not reject.
 
-    Without labels for positives nothing is rejected. A column ``score`` of ``docs`` does not survive.
+    Without labels for positives nothing is rejected.
     """
     model = learn(docs, table(spark, sf_dir, "labels"))
-    return scored(docs, model).filter(F.col("score") >= CUT).drop("score")
+    (score,) = free_names(docs, ("score",))
+    return scored(docs, model, into=score).filter(F.col(score) >= CUT).drop(score)
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` but for those with an id in ``ids``; rows without an id stay. Tens of thousands of ids are broadcast."""
-    gone = stage(ids.select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    gone = stage(ids.select("doc_id").distinct(), "gone")
     few = gone.count() <= 1_000_000
-    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    left = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti")
+    return left.select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
