@@ -38,7 +38,7 @@ ORDER = 4
 SYMBOLS = 257  # bytes and the end of a text
 END, START = 256, 257
 BITS = np.uint64(9)
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 6 << 20
 PIECE = 1 << 21
 FOLDS, HELD_OUT_FOLD = 7, 2
 END_TOKEN = b""  # no word is empty
