@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from dataclasses import dataclass, field
 
 # Severity names in rising order and the risk labels.
@@ -45,8 +46,8 @@ class ScanConfig:
     segment_lines: int = 200_000
 
     def __post_init__(self) -> None:
-        if not self.threshold_seconds > 0:
-            raise ValueError("threshold_seconds must be greater than 0")
+        if not 0 < self.threshold_seconds < math.inf:
+            raise ValueError("threshold_seconds must be finite and greater than 0")
         if self.context_lines < 0:
             raise ValueError("context_lines must be 0 or greater")
         if self.min_severity not in SEVERITIES:

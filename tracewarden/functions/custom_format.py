@@ -83,10 +83,10 @@ def _tokens(fmt: str) -> list[str]:
     """Split a format into directives (``%Y``), ``%%`` and single literal characters."""
     tokens = re.findall(r"%[\s\S]|[\s\S]", fmt)
     if tokens and tokens[-1] == "%":
-        raise ValueError("custom format ends with an incomplete % token")
+        raise ValueError("no directive after the last % of the layout")
     for token in tokens:
         if len(token) == 2 and token != "%%" and token not in SEARCH:
-            raise ValueError(f"unsupported directive in custom format: {token}")
+            raise ValueError(f"the layout uses {token}, which is not known here")
     return tokens
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tracewarden.config import ScanConfig
 from tracewarden.functions import scoring
 from tracewarden.functions.timestamps import iso_text
-from tracewarden.operators import activity, bursts, chain, context, gaps, stats
+from tracewarden.operators import activity, bursts, chain, context, gaps, signals, stats
 from tracewarden.operators.parsing import malformed_lines, parse_lines, parser_profile
 from tracewarden.plans import progress, reports
 from tracewarden.plans.scan import scan_files, scan_lines
@@ -781,3 +781,105 @@ def activity_periods(spark, folder):
     return found.select(
         "source", instant("first_us", "first_ts"), instant("last_us", "last_ts"), "line_count"
     )
+
+
+# --- further signals -----------------------------------------------------------------------
+
+
+@register(
+    "backward_jumps",
+    oracle.ORDER_LINES,
+    oracle.PARSED,
+    oracle.STEPS,
+    select=f"SELECT source, prev_number AS previous_line_number, line_number, {oracle.iso('prev_ts')} AS before, "
+    f"{oracle.iso('ts')} AS after, -delta_us AS jump_us FROM steps WHERE delta_us < 0",
+)
+def backward_jumps(spark, folder):
+    config = replace(CONFIG, block_lines=500)
+    found = signals.backward_jumps(parse_lines(inputs.order_lines(spark, folder), config), config)
+    ends = instant("previous_us", "before"), instant("effective_us", "after")
+    return found.select("source", "previous_line_number", "line_number", *ends, "jump_us")
+
+
+@register(
+    "duplicate_stamp_runs",
+    oracle.ORDER_LINES,
+    oracle.PARSED,
+    oracle.STEPS,
+    select="SELECT source, min(line_number) AS first_line, max(line_number) AS last_line, count(*) AS line_count "
+    "FROM (SELECT *, sum(CASE WHEN delta_us = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY source ORDER BY line_number) AS run "
+    "FROM steps) AS numbered GROUP BY source, run HAVING count(*) >= 2",
+)
+def duplicate_stamp_runs(spark, folder):
+    """Blocks are short, so that runs cross them."""
+    config = replace(CONFIG, block_lines=7)
+    found = signals.duplicate_stamp_runs(parse_lines(inputs.order_lines(spark, folder), config), config, least=2)
+    return found.select("source", "first_line", "last_line", "line_count")
+
+
+@register(
+    "after_hours_activity",
+    *LINES,
+    select="SELECT source, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') AS hour, count(*) AS line_count, "
+    "CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_lines "
+    "FROM parsed WHERE ts IS NOT NULL AND hour(ts) BETWEEN 2 AND 4 GROUP BY ALL",
+)
+def after_hours_activity(spark, folder):
+    found = signals.after_hours_activity(services(spark, folder))
+    return found.withColumn("hour", F.date_format("hour", "yyyy-MM-dd'T'HH:mm:ss"))
+
+
+@register(
+    "dense_errors",
+    *LINES,
+    select="SELECT source, epoch_us(ts) // 3600000000 * 3600000000 AS start_us, count(*) AS error_lines, "
+    "min(line_number) AS first_line, max(line_number) AS last_line FROM parsed WHERE is_error AND ts IS NOT NULL "
+    "GROUP BY source, epoch_us(ts) // 3600000000 HAVING count(*) >= 2",
+)
+def dense_errors(spark, folder):
+    found = signals.dense_errors(services(spark, folder), seconds=3600, least=2)
+    return found.select("source", "start_us", "error_lines", "first_line", "last_line")
+
+
+@register(
+    "level_breakdown",
+    *LINES,
+    select="SELECT source, regexp_extract(line, '\\[([A-Za-z]+)\\]', 1) AS level, count(*) AS line_count, "
+    "CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_lines, "
+    "CAST(sum(CASE WHEN ts IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS malformed_lines FROM parsed GROUP BY ALL",
+)
+def level_breakdown(spark, folder):
+    return signals.breakdown(services(spark, folder))
+
+
+@register(
+    "run_comparison",
+    *GAPS,
+    select="SELECT source, fingerprint, CASE WHEN secs > 600 THEN 'persisting' ELSE 'vanished' END AS change "
+    "FROM (SELECT gaps.source, fingerprint, secs FROM gaps JOIN scored USING (source, gap_number)) AS both_runs",
+)
+def run_comparison(spark, folder):
+    """A scan at five minutes against one at ten: longer gaps persist, the others vanish."""
+    parsed = services(spark, folder)
+    strict = replace(CONFIG, threshold_seconds=600)
+    return signals.compare_runs(
+        gaps.detect_gaps(parsed, CONFIG, text=False), gaps.detect_gaps(parsed, strict, text=False)
+    )
+
+
+@register(
+    "policy_gaps",
+    *GAPS,
+    select="SELECT source, gap_number, CASE WHEN source = 'svc-3' THEN severity WHEN secs > 1200 THEN 'CRITICAL' "
+    "WHEN secs >= 600 THEN 'SUSPICIOUS' ELSE 'WARNING' END AS severity, "
+    "CASE WHEN source = 'svc-3' THEN tamper_confidence ELSE least(100.0::DOUBLE, tamper_confidence * 1.25::DOUBLE) END "
+    "AS tamper_confidence FROM (SELECT gaps.source, gap_number, gaps.severity, tamper_confidence, secs "
+    "FROM gaps JOIN scored USING (source, gap_number)) AS judged",
+)
+def policy_gaps(spark, folder):
+    """Every service but one under a stricter policy, taken from the sources found."""
+    parsed = services(spark, folder)
+    known = parsed.select("source").distinct().filter("source <> 'svc-3'")
+    policies = known.selectExpr("source", "600D AS suspicious_seconds", "1200D AS critical_seconds", "1.25D AS weight")
+    judged = signals.apply_policies(gaps.detect_gaps(parsed, CONFIG, text=False), policies)
+    return judged.select("source", "gap_number", "severity", "tamper_confidence")

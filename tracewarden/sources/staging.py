@@ -6,6 +6,7 @@ branches read only the columns they use.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -19,11 +20,11 @@ def _local_folder() -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local folder only for local sessions without it."""
+    """``spark.checkpoint.dir`` of the session; a local folder only for sessions known to be local."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_folder()
 

@@ -17,8 +17,8 @@ from tracewarden.config import ScanConfig
 from tracewarden.operators.parsing import parse_lines
 from tracewarden.sources.staging import stage
 
-# a split row is ~200 bytes, so a broadcast stays below ~60 MB
-MAX_BROADCAST_SPLITS = 300_000
+# two integers per split, ~50 bytes in a broadcast map: at most ~150 MB, and 100 TB has ~800,000 splits of 128 MB
+MAX_BROADCAST_SPLITS = 3_000_000
 
 
 def _paths(paths: str | list[str]) -> list[str]:
@@ -70,10 +70,16 @@ def number_lines(staged: DataFrame) -> DataFrame:
         Window.partitionBy("source").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
     )
     shift = F.coalesce(F.sum("__lines").over(earlier), F.lit(0)) - F.col("__first") + 1
-    offsets = stage(splits.select("source", "split_start", shift.alias("__shift")), "splits")
-    if offsets.count() <= MAX_BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
-    numbered = staged.join(offsets, ["source", "split_start"])
+    # one integer names the split; should two splits share it, their full names do
+    named = F.xxhash64("source", "split_start")
+    offsets = stage(splits.select("source", "split_start", named.alias("__split"), shift.alias("__shift")), "splits")
+    count, names = offsets.agg(F.count(F.lit(1)), F.count_distinct("__split")).first()
+    if count == names:
+        narrow = offsets.select("__split", "__shift")
+        few = F.broadcast(narrow) if count <= MAX_BROADCAST_SPLITS else narrow
+        numbered = staged.withColumn("__split", named).join(few, "__split")
+    else:
+        numbered = staged.join(offsets, ["source", "split_start"])
     rest = [c for c in staged.columns if c not in ("source", "split_start", "row_id")]
     number = (F.col("row_id") + F.col("__shift")).cast("bigint").alias("line_number")
     return numbered.select("source", number, *rest)
