@@ -240,3 +240,22 @@ def test_activity_periods(spark, lines, expected):
 def test_config_is_checked(bad):
     with pytest.raises(ValueError):
         ScanConfig(**bad)
+
+
+@pytest.mark.parametrize("first_number", [0, 1])
+@pytest.mark.parametrize("chunk", [1, 3, 7, 100])
+def test_chain_rounds_with_sources_of_unlike_length(spark, first_number, chunk):
+    """Short sources leave early, numbers may start at 0, and neither changes a digest."""
+    import hashlib
+
+    from tracewarden.operators.chain import sequential_chain
+
+    lengths = {"a": 20, "b": 1, "c": 7, "d": 8}
+    rows = [(s, n + first_number, f"{s} line {n}", 1) for s, size in lengths.items() for n in range(size)]
+    parsed = spark.createDataFrame(rows, "source string, line_number bigint, line string, ts_us bigint")
+    found = dict(map(tuple, sequential_chain(parsed, ScanConfig(chain_chunk_lines=chunk)).collect()))
+    for source, size in lengths.items():
+        digest = "0" * 64
+        for n in range(size):
+            digest = hashlib.sha256(f"{source} line {n}{digest}".encode()).hexdigest()
+        assert found[source] == digest

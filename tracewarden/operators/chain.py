@@ -33,9 +33,10 @@ def _fold(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Chain ``payload`` (BINARY) in ``position`` order per key: ``keys..., digest``.
 
     Rows are spread by key and sorted by Spark; the Python side streams Arrow batches and
-    keeps one digest. A row at position 0 carries a digest to start from.
+    keeps one digest. A ``carried`` row comes before all others of its key and holds the digest to
+    start from.
     """
-    names = [*keys, "position", "payload"]
+    names = [*keys, "position", "payload", "carried"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, digest, schema = None, b"", None
@@ -67,7 +68,7 @@ def _fold(rows: DataFrame, keys: list[str]) -> DataFrame:
                     if current is not None:
                         done.append((*current, digest.decode()))
                     current, digest = key, start
-                    if batch.column(len(keys))[first].as_py() == 0:
+                    if batch.column(len(keys) + 2)[first].as_py():
                         digest, first = payloads[first], first + 1
                 for payload in payloads[first:last]:
                     digest = sha256(payload + digest).hexdigest().encode()
@@ -78,7 +79,10 @@ def _fold(rows: DataFrame, keys: list[str]) -> DataFrame:
 
     types = dict(rows.dtypes)
     ddl = ", ".join([*(f"{k} {types[k]}" for k in keys), "digest string"])
-    ordered = rows.select(*names).repartition(*keys).sortWithinPartitions(*keys, "position")
+    if "carried" not in rows.columns:
+        rows = rows.withColumn("carried", F.lit(False))
+    order = [*keys, F.desc("carried"), "position"]
+    ordered = rows.select(*names).repartition(*keys).sortWithinPartitions(*order)
     return ordered.mapInArrow(run, ddl)
 
 
@@ -95,19 +99,29 @@ def sequential_chain(parsed: DataFrame, config: ScanConfig, staged: bool = False
 
     Malformed lines are not covered; a source without parsed lines has no row here (its
     hash is 64 zeros, which ``operators.stats`` fills in). Each round reads only its range of
-    line numbers, so lines that are not ``staged`` yet are written once first.
+    line numbers, so lines that are not ``staged`` yet are written once first. The number of rounds is
+    that of the longest source: for sources of billions of lines use ``segment_digests``.
     """
     rows = _payload(parsed) if staged else stage(_payload(parsed), "payload")
     size = config.chain_chunk_lines
     longest = rows.agg(F.max("position")).first()[0] or 0  # one number, not rows
+    ends = stage(rows.groupBy("source").agg(F.max("position").alias("end")), "chain_ends")
     digests = _fold(rows.filter(F.col("position") <= size), ["source"])
+    finished = []
     for start in range(size, longest, size):
-        carried = stage(digests, f"chain_{start}")
-        chunk = rows.filter((F.col("position") > start) & (F.col("position") <= start + size))
-        resumed = carried.select(
-            "source", F.lit(0).cast("bigint").alias("position"), F.col("digest").cast("binary").alias("payload")
+        # sources that end here leave; only the others are read and carried on
+        carried = stage(digests.join(ends, "source"), f"chain_{start}")
+        finished.append(carried.filter(F.col("end") <= start).select("source", "digest"))
+        live = carried.filter(F.col("end") > start).select(
+            "source",
+            F.lit(start).cast("bigint").alias("position"),
+            F.col("digest").cast("binary").alias("payload"),
+            F.lit(True).alias("carried"),
         )
-        digests = _fold(chunk.unionByName(resumed), ["source"])
+        chunk = rows.filter((F.col("position") > start) & (F.col("position") <= start + size))
+        digests = _fold(chunk.withColumn("carried", F.lit(False)).unionByName(live), ["source"])
+    for part in finished:
+        digests = digests.unionByName(part)
     return digests.withColumnRenamed("digest", "final_hash")
 
 

@@ -43,6 +43,13 @@ def write_csv(gaps: DataFrame, path: str, by_source: bool = True, mode: str = "e
     (writer.partitionBy("source") if by_source else writer).csv(path)
 
 
+def write_quiet_csv(sources: DataFrame, gaps: DataFrame, path: str) -> None:
+    """The report of sources without gaps: a folder with the header line alone, next to those of ``write_csv``."""
+    quiet = sources.select("source").distinct().join(gaps.select("source").distinct(), "source", "left_anti")
+    header = quiet.withColumn("value", F.lit(",".join(REPORT_COLUMNS)))
+    header.write.mode("append").partitionBy("source").text(path)
+
+
 def read_csv(spark, path: str) -> DataFrame:
     """A written gap report with its column types."""
     kinds = {
@@ -144,8 +151,11 @@ def write_json(pieces: DataFrame, path: str, mode: str = "errorifexists") -> Non
     ordered.write.mode(mode).partitionBy("source").text(path)
 
 
-def write_tables(result: ScanResult, path: str, scan_date: dt.date, mode: str = "append") -> None:
-    """Result tables as parquet, partitioned by scan date and clustered by source."""
+def write_tables(result: ScanResult, path: str, scan_date: dt.date, mode: str = "overwrite") -> None:
+    """Result tables as parquet, partitioned by scan date and clustered by source.
+
+    A second run of one date replaces that date's rows and leaves other dates alone.
+    """
     tables = {
         "gaps": result.gaps.drop("block"),
         "bursts": result.bursts,
@@ -156,9 +166,8 @@ def write_tables(result: ScanResult, path: str, scan_date: dt.date, mode: str =
     }
     for name, table in tables.items():
         dated = table.withColumn("scan_date", F.lit(scan_date))
-        dated.sortWithinPartitions("source").write.mode(mode).partitionBy("scan_date").parquet(
-            f"{path.rstrip('/')}/{name}"
-        )
+        writer = dated.sortWithinPartitions("source").write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("scan_date").parquet(f"{path.rstrip('/')}/{name}")
 
 
 def write_reports(
@@ -170,6 +179,7 @@ def write_reports(
     """Write the outputs that are switched on."""
     if outputs.csv:
         write_csv(result.gaps, outputs.csv)
+        write_quiet_csv(result.stats, result.gaps, outputs.csv)
     if outputs.json:
         write_json(json_pieces(result, scan_time, scan_seconds), outputs.json)
     if outputs.tables:
