@@ -259,3 +259,10 @@ def test_chain_rounds_with_sources_of_unlike_length(spark, first_number, chunk):
         for n in range(size):
             digest = hashlib.sha256(f"{source} line {n}{digest}".encode()).hexdigest()
         assert found[source] == digest
+
+
+@pytest.mark.parametrize("numbers", [(0, 1, 2), (1, 3, 7), (2, 3, 4)])
+def test_line_numbers_with_holes_are_refused(spark, numbers):
+    rows = [("a", n, "error") for n in numbers]
+    with pytest.raises(ValueError, match="numbered"):
+        scan_lines(spark.createDataFrame(rows, "source string, line_number bigint, line string"), CONFIG)

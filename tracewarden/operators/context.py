@@ -53,11 +53,12 @@ def with_context(gaps: DataFrame, lines: DataFrame, config: ScanConfig, broadcas
     ``broadcast`` is for callers that have counted the gaps (see ``plans.scan``).
     """
     plain = gaps.drop("line_before_gap", "line_after_gap")
-    found = _looked_up(plain, lines, config, broadcast)
+    slim = plain.select("source", "gap_number", "line_number_start", "line_number_end")
+    found = _looked_up(slim, lines, config, broadcast)
     number, start, end = F.col("line_number"), F.col("line_number_start"), F.col("line_number_end")
     entry = F.struct("line_number", "line")
     before = (number < end) & (number >= end - config.context_lines)
-    return found.groupBy(*plain.columns).agg(
+    texts = found.groupBy("source", "gap_number").agg(
         F.max(F.when(number == start, F.col("line"))).alias("line_before_gap"),
         F.max(F.when(number == end, F.col("line"))).alias("line_after_gap"),
         F.struct(
@@ -65,3 +66,5 @@ def with_context(gaps: DataFrame, lines: DataFrame, config: ScanConfig, broadcas
             F.array_sort(F.collect_list(F.when(number >= end, entry))).alias("after"),
         ).alias("raw_context"),
     )
+    joined = plain.join(texts, ["source", "gap_number"])
+    return joined.select(*plain.columns, "line_before_gap", "line_after_gap", "raw_context")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tracewarden.config import ScanConfig
 from tracewarden.operators import bursts, chain, context, gaps, stats
@@ -12,8 +13,8 @@ from tracewarden.operators.parsing import parse_lines
 from tracewarden.sources.staging import stage
 from tracewarden.sources.text import file_facts, scan_parsed_text
 
-# wanted rows are ~300 bytes, so a broadcast stays below ~60 MB
-MAX_BROADCAST_LOOKUPS = 200_000
+# a wanted row is a source and four numbers, ~100 bytes in a broadcast map: at most ~100 MB
+MAX_BROADCAST_LOOKUPS = 1_000_000
 
 
 class ScanResult:
@@ -43,8 +44,8 @@ class ScanResult:
     @cached_property
     def gaps(self) -> DataFrame:
         """Reported gaps with edge lines and context."""
-        lookups = self.all_gaps.count() * (self.config.context_lines + max(self.config.context_lines, 1) + 1)
         reported = gaps.filter_by_severity(self.all_gaps, self.config.min_severity)
+        lookups = reported.count() * (self.config.context_lines + max(self.config.context_lines, 1) + 1)
         small = lookups <= MAX_BROADCAST_LOOKUPS
         return gaps.with_timestamps(context.with_context(reported, self.parsed, self.config, broadcast=small))
 
@@ -106,9 +107,26 @@ def scan_parsed(
 
 
 def scan_lines(lines: DataFrame, config: ScanConfig | None = None, exact_chain: bool = True) -> ScanResult:
-    """Scan a table of ``source, line_number, line``."""
+    """Scan a table of ``source, line_number, line``; numbers must be 1, 2, 3, ... within each source."""
     config = config or ScanConfig()
-    return scan_parsed(stage(parse_lines(lines, config), "parsed"), config, exact_chain=exact_chain)
+    parsed = stage(parse_lines(lines, config), "parsed")
+    require_dense(parsed)
+    return scan_parsed(parsed, config, exact_chain=exact_chain)
+
+
+def require_dense(lines: DataFrame) -> None:
+    """Raise unless the line numbers of every source run from 1 without holes or repeats.
+
+    Neighbouring lines are found by their numbers; ``sources.tables`` numbers any ordered table so.
+    """
+    numbered = lines.groupBy("source").agg(
+        F.min("line_number").alias("low"), F.max("line_number").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    bad = numbered.filter("low <> 1 OR high <> n OR low IS NULL").head()
+    if bad:
+        raise ValueError(
+            f"source {bad['source']}: {bad['n']} lines are numbered {bad['low']} to {bad['high']}, not 1 to {bad['n']}"
+        )
 
 
 def scan_files(
