@@ -9,18 +9,25 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.sources.staging import stage
+from tracewarden.sources.staging import new_folder, stage
 
 # the blanks that separate words, as one character class; bytes.split() splits at exactly these
 BLANKS = "\\x20\\x09-\\x0D"
 
-__all__ = ["BLANKS", "raw_bytes", "fold", "hold_out", "stage", "table", "utf8_size"]
+__all__ = ["BLANKS", "fold", "free_names", "hold_out", "raw_bytes", "stage", "stage_small", "table", "utf8_size"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def stage_small(df: DataFrame, name: str) -> DataFrame:
+    """Like ``stage``, in a codec that takes less room for large tables."""
+    path = new_folder(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def hold_out(doc_id: str, modulus: int, remainder: int) -> Column:
     """True for rows whose CRC-32 of the id written as text leaves ``remainder``; null ids are not held out."""
     left = F.crc32(F.encode(F.col(doc_id).cast("string"), "UTF-8")) % modulus

@@ -32,13 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import hold_out, raw_bytes, stage, table
+from tracewarden.llm.common import hold_out, raw_bytes, stage_small, table
 
 ORDER = 4
 SYMBOLS = 257  # bytes and the end of a text
 END, START = 256, 257
 BITS = np.uint64(9)
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 10 << 20
 PIECE = 1 << 21
 FOLDS, HELD_OUT_FOLD = 7, 2
 END_TOKEN = b""  # no word is empty
@@ -154,7 +154,7 @@ def chunked(docs: DataFrame, text: str) -> DataFrame:
 
     out = hold_out("doc_id", FOLDS, HELD_OUT_FOLD).alias("held_out")
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), out, F.col(text).alias("text"))
-    return stage(narrow.mapInArrow(work, CHUNKED), "chunks")
+    return stage_small(narrow.mapInArrow(work, CHUNKED), "chunks")
 
 
 def probabilities(codes: np.ndarray, seen: np.ndarray, order1: np.ndarray, order0: np.ndarray) -> np.ndarray:
@@ -200,7 +200,7 @@ def probabilities(codes: np.ndarray, seen: np.ndarray, order1: np.ndarray, order
 def trie(chunks: DataFrame) -> DataFrame:
     """``string, value``: every string that occurs, with its log10 probability, staged."""
     found = chunks.filter("kind = 'string'")
-    counts = stage(found.groupBy("string").agg(F.sum("seen").alias("seen")), "strings")
+    counts = stage_small(found.groupBy("string").agg(F.sum("seen").alias("seen")), "strings")
     pair = counts.groupBy(F.expr("string & 262143").alias("pair")).agg(F.sum("seen").alias("seen"))
     order1 = np.zeros((512, SYMBOLS))
     for pair, seen in pair.collect():  # at most 258 * 257 rows
@@ -214,7 +214,7 @@ def trie(chunks: DataFrame) -> DataFrame:
 
     # grouped by the two context bytes next to the symbol
     parts = counts.groupBy(F.expr("(string >> 9) & 262143").alias("part"))
-    return stage(parts.applyInArrow(work, "string bigint, value double"), "trie")
+    return stage_small(parts.applyInArrow(work, "string bigint, value double"), "trie")
 
 
 def score(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -230,7 +230,7 @@ def score(docs: DataFrame, text: str = "text") -> DataFrame:
         "chunk", "word", "seen", F.sum("seen").over(same).alias("all"),
         F.row_number().over(same.orderBy("chunk")).alias("nth"),
     )
-    words = stage(words, "words")
+    words = stage_small(words, "words")
     known = F.sum(((F.col("nth") == 1) & (F.col("all") > 0)).cast("bigint"))
     tokens, kinds = (x or 0 for x in words.agg(F.sum("seen"), known).first())
     asked = chunks.filter("kind = 'string'").select("chunk", "string").join(trie(chunks), "string")
