@@ -19,6 +19,8 @@ A long text is tokenized in slices that end at a blank.
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -64,7 +66,10 @@ class WordTokenizer:
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        found = array("I", ids)
+        if sys.byteorder != "little":
+            found.byteswap()
+        return found.tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
         """Ids of unseen words; plain words are joined so that one call tokenizes many."""
@@ -97,9 +102,10 @@ class WordTokenizer:
         for word in words:
             core = word.rstrip(self.MARKS) if b"<|" not in word and b"'" not in word else word
             # only a letter or digit surely ends a token; some letters gain a mark in lower case
-            last = core.decode()[-1:].lower()
-            if not (len(last) == 1 and (last.isalpha() or last.isascii() and last.isdigit())):
-                core = word
+            if not core or not core[-1:].isalnum():
+                last = core[-4:].decode(errors="ignore")[-1:].lower()
+                if not (len(last) == 1 and last.isalpha()):
+                    core = word
             cut.append((word, core, word[len(core) :]))
         unseen = {x for _, core, tail in cut for x in (core, tail) if x and x not in self.parts}
         self._learn(list(unseen))
