@@ -883,3 +883,118 @@ def policy_gaps(spark, folder):
     policies = known.selectExpr("source", "600D AS suspicious_seconds", "1200D AS critical_seconds", "1.25D AS weight")
     judged = signals.apply_policies(gaps.detect_gaps(parsed, CONFIG, text=False), policies)
     return judged.select("source", "gap_number", "severity", "tamper_confidence")
+
+
+# --- rules that the usual lines do not reach ------------------------------------------------
+
+
+@register(
+    "offset_timestamps",
+    "",
+    select="SELECT CAST(event_id + 1 AS BIGINT) AS line_number, "
+    f"{oracle.iso('ts')} AS ts, 'ISO8601' AS parser FROM events",
+)
+def offset_timestamps(spark, folder):
+    """Stamps written in other zones, with their offsets, come back in UTC."""
+    events = inputs.table(spark, folder, "events")
+    turn = F.col("event_id") % 3
+    minutes = F.when(turn == 0, 330).when(turn == 1, -330).otherwise(0)
+    offset = F.when(turn == 0, "+05:30").when(turn == 1, "-0530").otherwise("Z")
+    local = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + minutes.cast("bigint") * 60_000_000)
+    stamp = F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), offset)
+    lines = events.select(
+        F.lit("zones").alias("source"),
+        (F.col("event_id") + 1).alias("line_number"),
+        F.concat(stamp, F.lit(" "), "event_type").alias("line"),
+    )
+    return parse_lines(lines, CONFIG).select("line_number", instant("ts_us", "ts"), "parser")
+
+
+@register(
+    "custom_zone_timestamps",
+    "",
+    select="SELECT CAST(event_id + 1 AS BIGINT) AS line_number, "
+    f"{oracle.iso("date_trunc('second', ts)")} AS ts, 'CUSTOM' AS parser FROM events",
+)
+def custom_zone_timestamps(spark, folder):
+    """A custom layout with a month's name, a twelve-hour clock and an offset."""
+    events = inputs.table(spark, folder, "events")
+    local = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + 7_200_000_000)
+    stamp = F.concat(F.date_format(local, "dd-MMM-yyyy hh:mm:ss a"), F.lit(" +0200"))
+    lines = events.select(
+        F.lit("zones").alias("source"),
+        (F.col("event_id") + 1).alias("line_number"),
+        F.concat(stamp, F.lit(" "), "event_type").alias("line"),
+    )
+    config = replace(CONFIG, custom_format="%d-%b-%Y %I:%M:%S %p %z")
+    return parse_lines(lines, config).select("line_number", instant("ts_us", "ts"), "parser")
+
+
+WORDS = ("Panic", "all well", "access DENIED", "failures", "Traceback:", "no terror", "quiet", "alerted", "fatal", "okay")
+
+
+@register(
+    "error_words",
+    f"""
+words AS (SELECT event_id, [{", ".join(f"'{w}'" for w in WORDS)}][event_id % {len(WORDS)} + 1] AS word FROM events)""",
+    select="SELECT word, count(*) AS line_count, "
+    "regexp_matches(lower(word), 'error|exception|traceback|critical|fatal|fail|panic|alert|denied') AS is_error "
+    "FROM words GROUP BY word",
+)
+def error_words(spark, folder):
+    """Words in any case and within longer ones."""
+    from tracewarden.functions.errors import is_error_line
+
+    words = F.array(*[F.lit(w) for w in WORDS])
+    lines = inputs.table(spark, folder, "events").select(words[(F.col("event_id") % len(WORDS)).cast("int")].alias("word"))
+    return lines.groupBy("word", is_error_line(F.col("word")).alias("is_error")).agg(F.count(F.lit(1)).alias("line_count"))
+
+
+@register(
+    "gap_context_sizes",
+    *GAPS,
+    select="SELECT n, g.source, g.gap_number, CASE WHEN l.line_number < g.line_number_end THEN 'before' "
+    "ELSE 'after' END AS side, l.line_number, l.line FROM (VALUES (0), (1), (5)) AS sizes(n), gaps g "
+    "JOIN lines l ON l.source = g.source "
+    "WHERE l.line_number BETWEEN g.line_number_end - n AND g.line_number_end + greatest(n, 1) - 1",
+)
+def gap_context_sizes(spark, folder):
+    """Context of no, one and five lines."""
+    found = stage(gaps.detect_gaps(services(spark, folder), CONFIG, text=False), "gaps")
+    lines = stage(inputs.service_lines(spark, folder), "lines")
+    sides = [
+        context.context_lines(found, lines, replace(CONFIG, context_lines=n)).withColumn("n", F.lit(n)) for n in (0, 1, 5)
+    ]
+    return sides[0].unionByName(sides[1]).unionByName(sides[2])
+
+
+@register("hash_chain_rounds", *LINES, oracle.CHAIN, select="SELECT source, final_hash FROM chains")
+def hash_chain_rounds(spark, folder):
+    """The exact chain handed on every 400 lines; sources end in different rounds."""
+    config = replace(CONFIG, chain_chunk_lines=400)
+    return chain.sequential_chain(services(spark, folder, config), config)
+
+
+@register(
+    "one_file_in_splits",
+    oracle.SINGLE_LINES,
+    select="SELECT line_number, line FROM lines",
+)
+def one_file_in_splits(spark, folder):
+    """All events as one file, read in splits of 64 kB and numbered."""
+    path = new_folder(spark, "one_file")
+    events = inputs.table(spark, folder, "events")
+    lines = events.select("event_id", inputs.event_line().alias("line"))
+    lines.repartition(1).sortWithinPartitions("event_id").select("line").write.text(path)
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    try:
+        found = scan_text(spark, path)
+    finally:
+        spark.conf.set(name, before)
+    return found.select("line_number", "line")
+
+
+for _plain in ("offset_timestamps", "custom_zone_timestamps"):
+    ORACLE[_plain] = ORACLE[_plain].removeprefix("WITH \n")
