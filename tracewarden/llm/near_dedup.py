@@ -27,6 +27,7 @@ split by adaptive execution.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,18 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return sets
 
 
+def _sets_in_groups(texts: list[bytes], group_bytes: int = 2 << 20) -> Iterator[np.ndarray]:
+    """The shingle set of each text; texts are hashed in groups of bounded size."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= group_bytes:
+            yield from shingle_sets(group)
+            group, size = [], 0
+    yield from shingle_sets(group)
+
+
 def signature(elements: np.ndarray, places: int = PLACES) -> np.ndarray:
     """SuperMinHash of a non-empty set of 64-bit values."""
     kept = np.full(places, np.inf)
@@ -116,12 +129,14 @@ def sketches(docs: DataFrame, text: str) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            sets = shingle_sets(raw_bytes(batch.column(1)))
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            bands = [band_keys(signature(s)).tolist() if len(s) else None for s in sets]
+            sizes, keys, bands = [], [], []
+            for s in _sets_in_groups(raw_bytes(batch.column(1))):
+                sizes.append(len(s))
+                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                bands.append(band_keys(signature(s)) if len(s) else None)
             columns = [
                 batch.column(0),
-                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(sizes, pa.int64()),
                 pa.array(keys, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
             ]
@@ -136,7 +151,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            items = [s.tobytes() for s in shingle_sets(raw_bytes(batch.column(1)))]
+            items = [s.tobytes() for s in _sets_in_groups(raw_bytes(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], ["id", "items"])
 
     wanted = ids.select(F.col("id").alias("doc_id")).distinct()
