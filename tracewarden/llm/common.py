@@ -17,7 +17,13 @@ BLANKS = "\\x20\\x09-\\x0D"
 __all__ = ["BLANKS", "fold", "free_names", "hold_out", "raw_bytes", "stage", "stage_small", "table", "utf8_size"]
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of a folder. Rows here are texts, so batches to Python get 1,000 of them where the session has the default of 10,000."""
+    if spark.conf.get(BATCH, "10000") == "10000":
+        spark.conf.set(BATCH, "1000")
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
