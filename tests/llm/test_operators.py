@@ -14,6 +14,7 @@ import pytest
 from tracewarden.llm import near_dedup, packing, personal_data, substring_dedup, words
 from tracewarden.llm.components import components
 from tracewarden.llm.decontamination import common_subsequence, contaminated
+from tracewarden.llm.quality_rules import apply_rules
 from tracewarden.llm.queries import ORACLE, QUERIES
 from tracewarden.llm.warc import assemble, parse_records
 
@@ -227,6 +228,22 @@ def test_rules(spark, odd, rows):
         assert not (r["kept"] and r["base_failed"])
 
 
+def test_each_group_sets_its_own_limits(spark):
+    """The same listing is usual in one group and refused in the other; nothing but the sketches tells them apart."""
+    draw = random.Random(12)
+    words = lambda n: [f"{draw.choice('abcdefg')}{draw.randrange(100, 999)}" for _ in range(n)]
+    docs = [(n, " ".join(words(60)), "en", "prose") for n in range(4_000)]
+    docs += [(4_000 + n, " ".join([*words(55), *["#" * draw.randint(10, 30)]]), "en", "code") for n in range(400)]
+    some = " ".join([*words(57), "#" * 11])  # symbols: less than 0.05 of the characters
+    loud = " ".join([*words(50), *["ABCDE"] * 6])
+    long = " ".join(f"{w}{w}" for w in words(60))  # words of 8 characters, prose of this group has 4
+    docs += [(5_000 + n, t, "en", g) for n, (t, g) in enumerate([(some, "prose"), (some, "code"), (loud, "prose"), (long, "prose")])]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string")
+    kept = {r["doc_id"]: r["kept"] for r in apply_rules(table).collect()}
+    assert [kept[5_000 + n] for n in range(4)] == [False, True, False, False]
+    assert sum(not k for d, k in kept.items() if d < 5_000) <= 20
+
+
 def test_personal_data(spark, odd, rows):
     found = result(spark, "op10_personal_data", odd)
 

@@ -1,9 +1,13 @@
 """Quality rules with adaptive thresholds instead of fixed cutoffs.
 
 One pass measures every whole text with built-in functions only. Quantile sketches of the
-measures, merged over all tasks, are taken per (language, source); each threshold is a fence
-beyond the upper quartile of its group, so that a group of, say, code listings gets another
-limit than one of prose. Documents meet their group's limits in an equi-join.
+measures, merged over all tasks, are taken per (language, source), per language and over the
+table. A fence lies beyond the upper quartile of a group; the quartiles of a small group lean on
+those of its language, and these on the table's. No limit is a constant: where most values of a
+group are zero and its quartiles tell nothing, the fence is one occurrence in a document of the
+group's median size. A document is refused when it passes the fence by more than chance explains
+for its own size, so that short texts are not refused for a single capital letter or line.
+Documents meet their group's fences in an equi-join.
 
 Scale: the text is read once and never shuffled. Sketches are combined map-side, so a source
 with a third of all rows costs one sketch per task. The joined side holds one row per language
@@ -22,11 +26,10 @@ SYMBOLS = "[#*$%&|<>]+"
 WINDOW = 8
 ACCURACY = 2_000  # of the quantile sketch: rank error 1 / ACCURACY
 REACH = 6.0  # a fence lies REACH spans (75th minus 50th percentile) beyond the 75th
+CHANCE = 3.0  # standard errors that a document may lie beyond its group's fence
+LEAN = 100.0  # documents of the wider group that count beside a group's own
 SALTS = 16
 
-# measure: the least value that may be refused, whatever the group looks like
-FLOORS = {"symbol_rate": 0.05, "dup_line_rate": 0.3, "repeat_rate": 0.3, "upper_rate": 0.3, "mean_word": 12.0}
-
 
 def words_of(text: Column) -> Column:
     """The words of a text as an array."""
@@ -92,20 +95,56 @@ def rates() -> dict[str, Column]:
     }
 
 
+def sizes() -> dict[str, Column]:
+    """How many chances a document has for an occurrence of each measure."""
+    m = lambda name: F.greatest(F.col(f"__m.{name}").cast("double"), F.lit(1.0))
+    return {
+        "symbol_rate": m("word_chars"),
+        "dup_line_rate": m("n_lines"),
+        "repeat_rate": F.greatest(m("n_words") / WINDOW, F.lit(1.0)),
+        "upper_rate": m("word_chars"),
+        "mean_word": m("n_words"),
+    }
+
+
 def thresholds(measured: DataFrame, groups: list[str]) -> DataFrame:
-    """One row per group with an upper limit for each rate; ``groups`` are null-safe keys.
+    """One row per group with a fence for each rate; ``groups`` are null-safe keys, from wide to narrow.
 
-    Limits come from the documents that hold the base rules, so that a group full of junk does not
+    Fences come from the documents that hold the base rules, so that a group full of junk does not
     raise its own limit with texts that are refused anyway.
     """
-    sound = measured.filter(~F.col("__base_failed"))
-    at = F.array(F.lit(0.5), F.lit(0.75))
-    sketches = [F.percentile_approx(rate, at, F.lit(ACCURACY)).alias(name) for name, rate in rates().items()]
-    fences = []
-    for name, floor in FLOORS.items():
-        middle, high = F.col(name)[0], F.col(name)[1]
-        fences.append(F.greatest(high + REACH * (high - middle), F.lit(floor)).alias(f"__max_{name}"))
-    return sound.groupBy(*groups).agg(*sketches).select(*groups, *fences)
+    names, size = list(rates()), sizes()
+    sound = measured.filter(~F.col("__base_failed")).select(
+        *groups, *[r.alias(n) for n, r in rates().items()], *[size[n].alias(f"__s_{n}") for n in names]
+    )
+    sketches = [F.percentile_approx(n, F.array(F.lit(0.5), F.lit(0.75)), F.lit(ACCURACY)).alias(n) for n in names]
+    sketches += [F.percentile_approx(f"__s_{n}", 0.5, F.lit(ACCURACY)).alias(f"__s_{n}") for n in names]
+    facts = [f"__n{{k}}", *[f"__{x}{{k}}_{n}" for n in names for x in "mhs"]]
+    # a row per group of every level; a level is told by its number of keys
+    found = sound.rollup(*groups).agg(F.grouping_id().alias("__level"), F.count(F.lit(1)).cast("double").alias("__n"), *sketches)
+    found = stage(found, "fences")
+    limits = None
+    for k in range(len(groups) + 1):
+        level = found.filter(F.col("__level") == 2 ** (len(groups) - k) - 1).select(
+            *groups[:k],
+            F.col("__n").alias(f"__n{k}"),
+            *[F.col(n)[i].alias(f"__{x}{k}_{n}") for n in names for i, x in enumerate("mh")],
+            *[F.col(f"__s_{n}").alias(f"__s{k}_{n}") for n in names],
+        )
+        if limits is None:
+            limits = level
+            continue
+        limits = level.join(limits, groups[: k - 1]) if k > 1 else level.crossJoin(F.broadcast(limits))
+        own, wider = F.col(f"__n{k}"), facts[1:]
+        leaned = [
+            ((own * F.col(f.format(k=k)) + LEAN * F.col(f.format(k=k - 1))) / (own + LEAN)).alias(f.format(k=k)) for f in wider
+        ]
+        limits = limits.select(*groups[:k], f"__n{k}", *leaned)
+    k, fences = len(groups), []
+    for n in names:
+        middle, high, chances = (F.col(f"__{x}{k}_{n}") for x in "mhs")
+        fences.append(F.greatest(high + REACH * (high - middle), 1 / chances).alias(f"__max_{n}"))
+    return limits.select(*groups, *fences)
 
 
 def apply_rules(docs: DataFrame, text: str = "text", groups: tuple[str, ...] = ("lang", "source")) -> DataFrame:
@@ -127,7 +166,8 @@ def apply_rules(docs: DataFrame, text: str = "text", groups: tuple[str, ...] = (
     joined = measured.withColumn("__salt", salt).join(limits, [*keys, "__salt"], "left")
     within = F.lit(True)
     for name, rate in rates().items():
-        within = within & F.coalesce(rate <= F.col(f"__max_{name}"), F.lit(True))
+        fence = F.col(f"__max_{name}")
+        within = within & F.coalesce(rate <= fence + CHANCE * F.sqrt(fence / sizes()[name]), F.lit(True))
     shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return joined.select(
         "doc_id",
