@@ -287,6 +287,33 @@ def test_disguises_map_back_to_the_source(text, hidden):
     assert set(base) <= set(every)
 
 
+@pytest.mark.parametrize(
+    "text, hidden",
+    [
+        ("call plus 49 30 1234567", "plus 49 30 1234567"),
+        ("host ๑๙๒.๑๖๘.๐.๑ is up", "๑๙๒.๑๖๘.๐.๑"),
+        ("card ৪১১১ ১১১১ ১১১১ ১১১১", "৪১১১ ১১১১ ১১১১ ১১১১"),
+        ("card 𝟒𝟏𝟏𝟏 𝟏𝟏𝟏𝟏 𝟏𝟏𝟏𝟏 𝟏𝟏𝟏𝟏", "𝟒𝟏𝟏𝟏 𝟏𝟏𝟏𝟏 𝟏𝟏𝟏𝟏 𝟏𝟏𝟏𝟏"),
+        ("write jane at example dot museum today", "jane at example dot museum"),
+        ("write jane at mail.example dot cloud today", "jane at mail.example dot cloud"),
+        ("write jane.doe at the dot agency today", "jane.doe at the dot agency"),
+        ("jane at mail dot example.com", "jane at mail dot example.com"),
+        ("plu\u017f 49 30 1234567", "plu\u017f 49 30 1234567"),
+        ("meet at example.com or at the point where it ends", None),
+        ("robbed at knife point and then left", None),
+    ],
+)
+def test_every_disguise_opens_the_gate(text, hidden):
+    """Each text alone, without a trigger of another transducer."""
+    base, every = personal_data.find_spans(text)
+    assert [text[a:b] for _, a, b in every if (_, a, b) not in base] == ([hidden] if hidden else [])
+
+
+def test_the_gate_lets_every_changed_character_pass():
+    changed = [c for c in map(chr, range(128, 0x110000)) if personal_data.character(c) != c]
+    assert len(changed) > 600 and all(personal_data.may_hide(f"x{c}y") for c in changed)
+
+
 def test_decontamination_finds_passages_and_paraphrases(spark, odd, rows):
     found = {(r["doc_id"], r["item_id"]) for r in result(spark, "op1_decontamination", odd)}
     whole = next(t for d, t in rows if d == 8)

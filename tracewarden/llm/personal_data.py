@@ -93,6 +93,8 @@ LOOKALIKES = dict(
         "ABESIJKMHOPCTYXaesijopcyxdhlABEZHIKMNOPTYXov",
     )
 )
+# what ignoring case takes for a Latin letter, though its lower case is another character
+LOOKALIKES |= {"\u017f": "s", "\u212a": "K", "\u0130": "I", "\u0131": "i"}
 MARKS = {"‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "․": ".", "。": ".", "｡": ".", "·": ".", "•": "."}
 HIDDEN = "­​‌‍⁠﻿"
 BLANK_VARIANTS = "    　"
@@ -115,31 +117,40 @@ SPELLED_WORD = re.compile(DIGIT, re.IGNORECASE)
 AT, DOT = "(?:at|arroba|chez)", "(?:dot|punkt|point|punto)"
 BRACKETED_AT = re.compile(rf"\s*[\[({{<]\s*(?:{AT}|@)\s*[\])}}>]\s*", re.IGNORECASE)
 BRACKETED_DOT = re.compile(rf"\s*[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*", re.IGNORECASE)
-# a bare "at" counts only before a domain whose dots are spelled and whose last label is a usual one
-ENDINGS = (
-    "(?:com|org|net|edu|gov|mil|int|info|biz|io|co|ai|app|dev|me|tv|eu|uk|de|fr|es|it|nl|be|ch|at|pl|pt|se|no|dk|fi|ie"
-    "|ru|cn|jp|in|br|mx|ar|ca|au|us|example|test)"
-)
+# a bare "at" counts only before a domain with a spelled dot; its other dots may be real
 BARE = re.compile(
-    rf"(?<=[A-Za-z0-9_%+-])(?P<at>\s+{AT}\s+)[A-Za-z0-9-]+(?:\s+{DOT}\s+[A-Za-z0-9-]+)*\s+{DOT}\s+{ENDINGS}(?![A-Za-z0-9-])",
-    re.IGNORECASE,
+    rf"(?<=[A-Za-z0-9_%+-])(?P<at>\s+{AT}\s+)(?P<domain>[A-Za-z0-9-]+(?:(?:\.|\s+{DOT}\s+)[A-Za-z0-9-]+)+)", re.IGNORECASE
+)
+LABELS = re.compile(rf"\.|\s+{DOT}\s+", re.IGNORECASE)
+SPELLED_LABEL = re.compile(rf"\s+{DOT}\s+([A-Za-z0-9-]+)", re.IGNORECASE)
+# these make an address of whatever comes before; other labels need two letters and no reading as prose
+ENDINGS = frozenset(
+    "com org net edu gov mil int info biz io co ai app dev me tv eu uk de fr es it nl be ch at pl pt se no dk fi ie"
+    " ru cn jp in br mx ar ca au us example test".split()
+)
+# "look at the dot matrix", "at some point we": words around a bare "at" and a spelled dot that make it prose
+PROSE = frozenset(
+    "a an the this that these those some any each every no one what which his her its our their your my such other"
+    " where when while we he she they you and or but of is was were are has had did do does to for from with by if as"
+    " than then there so le la les un une des ce cette el los las una der die das ein eine".split()
 )
 BARE_DOT = re.compile(rf"(?<=[A-Za-z0-9])\s+{DOT}\s+(?=[A-Za-z0-9])", re.IGNORECASE)
 NUMBER_DOT = re.compile(rf"(?<=[0-9])\s+{DOT}\s+(?=[0-9])", re.IGNORECASE)
 PLUS = re.compile(r"(?<!\w)plus[\s-]+(?=[0-9])", re.IGNORECASE)
 
-# what a text must hold for the transducers to change anything that matters; the last three want lower case
-ODD = re.compile("[" + "".join([*LOOKALIKES, *MARKS, HIDDEN, BLANK_VARIANTS]) + "！-～٠-٩۰-۹०-९]")
+# what a text must hold for a transducer to change anything: a pattern for each; the last four want lower case
+ODD = re.compile("[" + "".join([*LOOKALIKES, *MARKS, HIDDEN, BLANK_VARIANTS]) + r"！-～]|(?![0-9])\d")  # any decimal digit
 BRACKETED = re.compile(rf"[\[({{<]\s*(?:{AT}|{DOT}|@|\.)\s*[\])}}>]")
 SPELLED_DOT = re.compile(rf"{DOT}\s")
 SPELLED_RUN = re.compile(rf"{DIGIT}[\s-]{{1,3}}{DIGIT}[\s-]{{1,3}}{DIGIT}")
+SPELLED_PLUS = re.compile(r"plus[\s-]+[0-9]")
 
 
 def may_hide(text: str) -> bool:
     if not text.isascii() and ODD.search(text):
         return True
     low = text.lower()
-    return bool(BRACKETED.search(low) or SPELLED_DOT.search(low) or SPELLED_RUN.search(low))
+    return bool(BRACKETED.search(low) or SPELLED_DOT.search(low) or SPELLED_RUN.search(low) or SPELLED_PLUS.search(low))
 
 
 class Tape:
@@ -200,12 +211,33 @@ def spelled_digits(tape: Tape) -> Tape:
     return tape.rewrite(edits)
 
 
+def is_address(text: str, m: re.Match) -> bool:
+    """Whether a match of ``BARE`` is an address rather than prose.
+
+    A usual ending after a spelled dot makes it one. Else the last label has two or more letters, and
+    either the local part holds more than letters, or neither the first nor the last label is a word of prose.
+    """
+    after = [x.lower() for x in SPELLED_LABEL.findall(m["domain"])]
+    if not after or any(x in ENDINGS for x in after):
+        return bool(after)
+    labels = LABELS.split(m["domain"].lower())
+    if len(labels[-1]) < 2 or not labels[-1].isalpha():
+        return False
+    start = m.start()
+    while start > 0 and text[start - 1] in LOCAL:
+        start -= 1
+    return not text[start : m.start()].isalpha() or not PROSE.intersection((labels[0], labels[-1]))
+
+
 def signs(tape: Tape) -> Tape:
     """Disguised "@", ".", and "+"."""
     edits = []
-    for m in BARE.finditer(tape.text):
-        edits.append((*m.span("at"), "@"))
-        edits += [(*d.span(), ".") for d in BARE_DOT.finditer(tape.text, m.end("at"), m.end())]
+    m = BARE.search(tape.text)
+    while m:
+        if is_address(tape.text, m):
+            edits.append((*m.span("at"), "@"))
+            edits += [(*d.span(), ".") for d in BARE_DOT.finditer(tape.text, m.end("at"), m.end())]
+        m = BARE.search(tape.text, m.end() if edits and edits[-1][1] > m.start() else m.end("at"))
     tape = tape.rewrite(edits)
     tape = tape.rewrite([(*m.span(), "@") for m in BRACKETED_AT.finditer(tape.text)])
     tape = tape.rewrite([(*m.span(), ".") for m in BRACKETED_DOT.finditer(tape.text)])
