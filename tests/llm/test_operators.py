@@ -11,7 +11,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tracewarden.llm import near_dedup, packing, personal_data, substring_dedup, words
+from tracewarden.llm import decontamination, near_dedup, packing, personal_data, substring_dedup, words
 from tracewarden.llm.components import components
 from tracewarden.llm.decontamination import common_subsequence, contaminated
 from tracewarden.llm.quality_rules import apply_rules
@@ -337,6 +337,20 @@ def test_decontamination_finds_passages_and_paraphrases(spark, odd, rows):
     assert len(got & planted) >= 0.9 * len(planted) and got <= planted
 
 
+def test_no_word_of_a_large_benchmark_is_left_out(spark, monkeypatch):
+    """More distinct words than a block may hold, and an item with more by itself."""
+    draw = random.Random(8)
+    items = [[f"t{k}x{n}" for n in range(30)] for k in range(3)] + [[f"long{n}" for n in range(140)]]
+    held = {n: draw.randrange(4) for n in range(12)}
+    texts = {n: " ".join([*(f"w{draw.randrange(500)}" for _ in range(50)), *items[k], "end"]) for n, k in held.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id bigint, text string")
+    monkeypatch.setattr(decontamination, "MAX_TERMS", 80)
+    found = contaminated(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == sorted(held.items())
+    assert all(r["lcs"] == r["item_words"] for r in found)
+
+
 def test_common_subsequence():
     draw = random.Random(8)
     for _ in range(300):
