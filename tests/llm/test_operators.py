@@ -57,6 +57,22 @@ def test_archives(spark, odd):
     assert {r[3] for r in ours} == {"response", "revisit"}
 
 
+def test_archives_keep_repeated_rows(spark, tmp_path):
+    """Equal rows, null ids, null beside empty, one id with two urls, and payloads that only rows without id hold."""
+    big, own = "y" * 1200, "z" * 1500
+    pages = [(1, "a", "x"), (1, "a", "x"), (2, "b", big), (2, "b", big), (2, "c", big), (1, "b", big), (1, "b", big)]
+    pages += [(None, "u", None), (None, "u", ""), (None, None, ""), (None, "", ""), (None, "b", big)]
+    pages += [(None, "p", own), (None, "q", own), (None, "q", own)]
+    table = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
+    table.write.parquet(f"{tmp_path}/pages.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    theirs = db.execute(f"SELECT {', '.join(names)} FROM ({ORACLE['op3_warc']})").fetchall()
+    ours = [tuple(r[c] for c in names) for r in result(spark, "op3_warc", str(tmp_path))]
+    assert len(ours) == len(pages) and sorted(map(str, ours)) == sorted(map(str, theirs))
+
+
 def test_assembly_follows_pointers_both_ways(spark):
     schema = "record_id string, warc_type string, concurrent_to array<string>, payload binary"
     records = [("r1", "response", [], b"x"), ("q1", "request", ["r1"], b""), ("m1", "metadata", ["r1"], b"")]

@@ -12,7 +12,7 @@ Scale: which record of equal payloads is the response is found on digests only,
 map-side; digests that occur once take no part in the join, and the join key is salted, so one
 payload shared by a third of all pages is spread. Archives hold at most ``RECORDS_PER_FILE``
 captures, so a reading task has a bounded file. Records meet on the salt-free id of their
-capture, which few records share.
+capture, which few records share. Equal rows are numbered within the partitions of that first join.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewarden.llm.common import table
@@ -52,7 +52,8 @@ def with_digests(pages: DataFrame) -> DataFrame:
 def with_targets(pages: DataFrame) -> DataFrame:
     """Adds ``refers_to``: of equal payloads of at least ``LEAST_REVISIT`` bytes, the largest page id; else null.
 
-    The record with that id itself keeps null. Only digests and ids are grouped and joined.
+    Records with that id itself, or without an id, keep null. Only digests and ids are grouped and joined.
+    ``__nth`` tells equal rows apart.
     """
     large = pages.filter(F.col("payload_bytes") >= LEAST_REVISIT).select("page_id", "url", "payload_digest")
     large = large.withColumn("__at", F.struct("page_id", "url"))
@@ -64,17 +65,23 @@ def with_targets(pages: DataFrame) -> DataFrame:
     # payloads that cannot be revisits get a salt without a partner
     salt = F.when(small, -1 - F.pmod(F.xxhash64("page_id"), F.lit(SALTS))).otherwise(F.pmod(F.xxhash64("page_id"), F.lit(SALTS)))
     joined = pages.withColumn("__salt", salt.cast("int")).join(targets, ["payload_digest", "__salt"], "left")
-    own = F.struct("page_id", "url").eqNullSafe(F.col("__target"))
-    target = F.when(~own, F.col("__target"))
-    return joined.withColumn("__target", target).withColumn("refers_to", target["page_id"]).drop("__salt")
+    # equal rows share page id and digest, so also the salt; which of them gets which number does not matter
+    equal = Window.partitionBy("payload_digest", "__salt", "page_id", "url").orderBy(F.lit(1))
+    joined = joined.withColumn("__nth", F.row_number().over(equal))
+    other = F.col("__target.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("__target.page_id"))
+    target = F.when(other, F.col("__target"))
+    refers = F.when(F.col("page_id").isNotNull(), target["page_id"])
+    return joined.withColumn("refers_to", refers).withColumn("__target", target).drop("__salt")
 
 
 def _record_id(kind: str, within: str = ""):
-    """A stable urn:uuid made of a hash of the kind of record and the page: its id, url and payload.
+    """A stable urn:uuid made of a hash of the kind of record and the page: its id, url, payload and number among equal rows.
 
-    Pages that are equal in all of these are one capture.
+    A target is always the first of its equal rows.
     """
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (f"{within}page_id", "payload_digest", f"{within}url")]
+    nth = F.lit("1") if within else F.col("__nth").cast("string")
+    page = F.coalesce(F.concat(F.lit("v"), F.col(f"{within}page_id").cast("string")), F.lit("n"))
+    parts = [page, F.col("payload_digest"), nth, F.col(f"{within}url")]
     h = F.md5(F.concat_ws(" ", F.lit(kind), *parts))
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
