@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tracewarden.llm.decontamination import op1_decontamination
+from tracewarden.llm.exact_dedup import OP11_SQL, op11_exact_dedup
 from tracewarden.llm.language_model import op5_language_model
 from tracewarden.llm.near_dedup import op7_near_dedup
 from tracewarden.llm.packing import op6_packing
@@ -26,7 +27,8 @@ QUERIES = {
         op8_substring_dedup,
         op9_quality_rules,
         op10_personal_data,
+        op11_exact_dedup,
     )
 }
 
-ORACLE: dict[str, str] = {"op3_warc": OP3_SQL}
+ORACLE: dict[str, str] = {"op3_warc": OP3_SQL, "op11_exact_dedup": OP11_SQL}
