@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tracewarden.llm.collocations import OP12_SQL, op12_collocations
 from tracewarden.llm.decontamination import op1_decontamination
 from tracewarden.llm.exact_dedup import OP11_SQL, op11_exact_dedup
 from tracewarden.llm.language_model import op5_language_model
@@ -28,7 +29,8 @@ QUERIES = {
         op9_quality_rules,
         op10_personal_data,
         op11_exact_dedup,
+        op12_collocations,
     )
 }
 
-ORACLE: dict[str, str] = {"op3_warc": OP3_SQL, "op11_exact_dedup": OP11_SQL}
+ORACLE: dict[str, str] = {"op3_warc": OP3_SQL, "op11_exact_dedup": OP11_SQL, "op12_collocations": OP12_SQL}
