@@ -13,6 +13,7 @@ from tracewarden.llm.quality_classifier import op4_quality_classifier
 from tracewarden.llm.quality_rules import op9_quality_rules
 from tracewarden.llm.sharding import op2_sharding
 from tracewarden.llm.substring_dedup import op8_substring_dedup
+from tracewarden.llm.token_alignment import op13_token_alignment
 from tracewarden.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
@@ -30,6 +31,7 @@ QUERIES = {
         op10_personal_data,
         op11_exact_dedup,
         op12_collocations,
+        op13_token_alignment,
     )
 }
 
