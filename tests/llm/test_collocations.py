@@ -63,8 +63,8 @@ def test_odd_rows_match_sql_and_the_plain_reading(spark, odd):
 
 @pytest.mark.parametrize(
     "setting",
-    [{}, {"HOT": 20, "OWNER_ROWS": 200}, {"SLICE": 64, "GROUP_BYTES": 500, "OWNER_ROWS": 50, "HOT": 4}, {"BITS": 64}],
-    ids=["whole", "hot pairs", "slices", "full bitmap"],
+    [{}, {"HOT": 20, "OWNER_ROWS": 200}, {"SLICE": 64, "GROUP_BYTES": 500, "OWNER_ROWS": 50, "HOT": 4}, {"BITS": 64, "COMMON": 3}, {"COMMON": 0}],
+    ids=["whole", "hot pairs", "slices", "full bitmap", "no common words"],
 )
 def test_small_languages(spark, monkeypatch, setting):
     for name, value in setting.items():
@@ -79,7 +79,7 @@ def test_small_languages(spark, monkeypatch, setting):
 def test_sorting_counts_prefixes_and_abandons_rare_ones():
     draw = np.random.default_rng(2)
     for n, kinds in ((0, 3), (1, 3), (400, 2), (3_000, 9), (3_000, 4_000)):
-        rows = draw.integers(1, kinds + 1, (n, 3)).astype(np.uint64)
+        rows = draw.integers(1, kinds + 1, (n, 3)).astype(np.int32)
         rows[draw.random(n) < 0.2, 2] = 0
         times = draw.integers(1, 4, n)
         wanted: Counter = Counter()

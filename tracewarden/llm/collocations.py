@@ -14,8 +14,8 @@ with a phrase stand together when sorted, so the size of their run is the count
 4. Counts of phrases, of their parts and of longer phrases around them are joined; the scores are exact
    integers.
 
-Scale: texts do not move. A task sends each distinct suffix once per ``GROUP_BYTES`` of text, as numbers within
-the words that an owner's list uses. A pair of very frequent words may begin a third of all suffixes: such pairs
+Scale: texts do not move. A task sends each distinct suffix once per ``GROUP_BYTES`` of text. Up to ``COMMON`` of
+the most frequent words are known to all tasks by number, other words are sent along by name. A pair of very frequent words may begin a third of all suffixes: such pairs
 are counted on their own, and the suffixes behind them are routed by all their words. The words
 frequent enough for that are fewer than ``HOT``, which bounds the list that tasks get.
 """
@@ -39,6 +39,7 @@ LEAST = 10
 TOP = 2_000
 HOT = 1_000  # a word with more than one in so many of all occurrences is hot
 BITS = 1 << 25  # of the bitmap of frequent words
+COMMON = 1 << 20  # words that have a number; 8 bytes each
 GROUP_BYTES = 8 << 20
 SLICE = 1 << 18
 OWNER_ROWS = 2_000_000  # suffixes that an owner gets, about
@@ -176,13 +177,25 @@ def frequent_bitmap(words: DataFrame) -> np.ndarray:
     return bitmap
 
 
+def common_words(words: DataFrame) -> np.ndarray:
+    """Names of the most frequent words in order: all words of at least the least power of two that at most ``COMMON`` reach."""
+    power = F.floor(F.log2("n")).cast("int").alias("power")
+    sizes = dict(words.groupBy(power).agg(F.count(F.lit(1))).collect())  # at most 64 rows
+    total, least = 0, 64
+    while least and total + sizes.get(least - 1, 0) <= COMMON:
+        least -= 1
+        total += sizes.get(least, 0)
+    found = words.filter(F.floor(F.log2("n")) >= least).select("h").toArrow().column("h").to_numpy()
+    return np.sort(found.view(np.uint64))
+
+
 def _in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     place = hashes.view(np.int64) % BITS  # as pmod
     return (bitmap[place >> 6] >> (place & 63)) & 1 == 1
 
 
-def _suffixes(parts: list[tuple[np.ndarray, np.ndarray]], bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct suffixes as rows of ``DEPTH`` names, 0 beyond their end, and how often each occurs."""
+def _suffixes(parts: list[tuple[np.ndarray, np.ndarray]], bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names, distinct suffixes as rows of ``DEPTH`` places in them, and how often each occurs; name 0 is beyond the end."""
     hashes = np.concatenate([p[0] for p in parts])
     tops = np.cumsum([0, *[int(p[1][-1]) + 2 if len(p[1]) else 0 for p in parts]])
     piece = np.concatenate([p[1] + top for p, top in zip(parts, tops)])
@@ -205,35 +218,54 @@ def _suffixes(parts: list[tuple[np.ndarray, np.ndarray]], bitmap: np.ndarray) ->
             key = key << width | column
         key, times = np.unique(key[columns[1] > 0], return_counts=True)
         kept = np.stack([key >> (width * (DEPTH - 1 - k)) & ((1 << width) - 1) for k in range(DEPTH)], 1)
-    return np.concatenate([np.zeros(1, np.uint64), names])[kept], times
+    return np.concatenate([np.zeros(1, np.uint64), names]), kept, times
 
 
-def _blob(rows: np.ndarray, times: np.ndarray) -> bytes:
-    """Rows of names with counts: the names used, and numbers of them column by column."""
-    names, number = np.unique(rows, return_inverse=True)
-    head = np.array([len(names), len(rows)], np.int64).tobytes()
-    columns = number.reshape(rows.shape).astype(np.int32).T.copy()
-    body = names.tobytes() + columns.tobytes() + times.astype(np.int32).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + body)
+def _numbered(names: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Numbers of common names from 1 on, 0 for name 0 at the first place, and minus the place of others."""
+    at = np.minimum(np.searchsorted(common, names), max(len(common) - 1, 0))
+    known = common[at] == names if len(common) else np.zeros(len(names), bool)
+    numbers = np.where(known, at + 1, -np.arange(len(names)))
+    numbers[0] = 0
+    return numbers
 
 
-def _unblob(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    n_names, n = np.frombuffer(data, np.int64, 2).tolist()
-    names = np.frombuffer(data, np.uint64, n_names, 16)
-    at = 16 + 8 * n_names
-    number = np.frombuffer(data, np.int32, DEPTH * n, at).reshape(DEPTH, n)
-    return names[number.T], np.frombuffer(data, np.int32, n, at + 4 * DEPTH * n).astype(np.int64)
+def _blob(rows: np.ndarray, times: np.ndarray, names: np.ndarray, n_common: int) -> bytes:
+    """Rows of numbers column by column with counts, and the names of those that are not common, numbered after these."""
+    own = np.unique(rows[rows < 0])
+    columns = np.where(rows < 0, n_common + 1 + np.searchsorted(own, rows), rows).astype(np.int32).T.copy()
+    head = np.array([len(own), len(rows)], np.int64).tobytes()
+    body = names[-own].tobytes() + columns.tobytes() + times.astype(np.int32).tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + body)
 
 
-def routed_suffixes(docs: DataFrame, bitmap: np.ndarray, hot: np.ndarray, owners: int) -> DataFrame:
+def _unblobbed(blobs: list[bytes], n_common: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of numbers and their counts from all lists, and the names of the numbers after the common ones."""
+    rows, times, names = [], [], []
+    for blob in blobs:
+        data = zstandard.ZstdDecompressor().decompress(blob)
+        n_names, n = np.frombuffer(data, np.int64, 2).tolist()
+        names.append(np.frombuffer(data, np.uint64, n_names, 16))
+        at = 16 + 8 * n_names
+        rows.append(np.frombuffer(data, np.int32, DEPTH * n, at).reshape(DEPTH, n))
+        times.append(np.frombuffer(data, np.int32, n, at + 4 * DEPTH * n))
+    every = np.unique(np.concatenate(names))
+    for k, own in enumerate(names):
+        if len(own):
+            renamed = np.concatenate([np.zeros(1, np.int64), np.searchsorted(every, own)]) + n_common + 1
+            beyond = np.maximum(rows[k] - n_common, 0)
+            rows[k] = np.where(beyond > 0, renamed[beyond], rows[k]).astype(np.int32)
+    return np.concatenate(rows, axis=1).T.copy(), np.concatenate(times).astype(np.int64), every
+
+
+def routed_suffixes(docs: DataFrame, bitmap: np.ndarray, common: np.ndarray, hot: np.ndarray, owners: int) -> DataFrame:
     """Suffixes of at least two words as ``owner, deep, blob``.
 
     Those that begin with two words in ``hot`` are sent twice: cut to the two words, which count the pair, and, as
     ``deep``, by all of their words.
     """
     deal = np.uint64(owners)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = docs.sparkSession.sparkContext.broadcast((bitmap, common))
 
     def work(batches):
         for batch in batches:
@@ -241,22 +273,24 @@ def routed_suffixes(docs: DataFrame, bitmap: np.ndarray, hot: np.ndarray, owners
                 parts = [found[:4:3] for lang, buffer in zip(names, buffers) for found in _joined(lang, buffer)]
                 if not parts:
                     continue
-                rows, times = _suffixes(parts, shared.value)
-                is_hot = np.isin(rows[:, 0], hot) & np.isin(rows[:, 1], hot)
+                known, numbered = shared.value
+                named, rows, times = _suffixes(parts, known)
+                numbers, heated = _numbered(named, numbered), np.isin(named, hot)
+                is_hot = heated[rows[:, 0]] & heated[rows[:, 1]]
                 cut = rows[is_hot].copy()
                 cut[:, 2:] = 0
                 deep = is_hot & (rows[:, 2] > 0)
                 kinds = [(False, rows[~is_hot], times[~is_hot]), (False, cut, times[is_hot]), (True, rows[deep], times[deep])]
                 for is_deep, own, n in kinds:
-                    lead = mix(own[:, 0] * _STEP + own[:, 1])
+                    lead = mix(named[own[:, 0]] * _STEP + named[own[:, 1]])
                     for k in range(2, DEPTH if is_deep else 2):
-                        lead = mix(lead * _STEP + own[:, k])
+                        lead = mix(lead * _STEP + named[own[:, k]])
                     owner = (lead % deal).astype(np.int64)
                     order = np.argsort(owner, kind="stable")
-                    own, n, owner = own[order], n[order], owner[order]
+                    own, n, owner = numbers[own[order]], n[order], owner[order]
                     starts = np.flatnonzero(np.diff(owner, prepend=-1))
                     ends = np.append(starts[1:], len(owner))
-                    blobs = [_blob(own[a:b], n[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                    blobs = [_blob(own[a:b], n[a:b], named, len(numbered)) for a, b in zip(starts.tolist(), ends.tolist())]
                     columns = [
                         pa.array(owner[starts].astype(np.int32)),
                         pa.array([is_deep] * len(starts), pa.bool_()),
@@ -346,15 +380,16 @@ def _pointers(order: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 PREFIXES = "h1 bigint, h2 bigint, h3 bigint, a bigint"
 
 
-def phrase_counts(suffixes: DataFrame, least: int) -> DataFrame:
+def phrase_counts(suffixes: DataFrame, common: np.ndarray, least: int) -> DataFrame:
     """``h1, h2, h3, a`` of all phrases of two (``h3`` is 0) or three words that occur ``least`` times; staged."""
+    shared = suffixes.sparkSession.sparkContext.broadcast(common)
 
     def work(part: pa.Table) -> pa.Table:
-        lists = [_unblob(b) for b in part.column("blob").to_pylist()]
-        rows, times = np.concatenate([x[0] for x in lists]), np.concatenate([x[1] for x in lists])
+        rows, times, names = _unblobbed(part.column("blob").to_pylist(), len(shared.value))
         first = DEPTH if part.column("deep")[0].as_py() else 2
         found, n = frequent_prefixes(rows, times, least, first)
-        columns = [pa.array(np.ascontiguousarray(found[:, k]).view(np.int64)) for k in range(DEPTH)]
+        names = np.concatenate([np.zeros(1, np.uint64), shared.value, names])
+        columns = [pa.array(names[found[:, k]].view(np.int64)) for k in range(DEPTH)]
         return pa.table([*columns, pa.array(n)], names=["h1", "h2", "h3", "a"])
 
     return stage(suffixes.groupBy("owner", "deep").applyInArrow(lambda part: work(part), PREFIXES), "phrases")
@@ -411,8 +446,10 @@ def collocations(docs: DataFrame, text: str = "text", least: int = LEAST, top: i
     total = totals.agg(F.sum("n")).first()[0] or 0
     often = words.filter(F.col("n") > total / HOT).select("h").toArrow().column("h").to_numpy()  # less than HOT rows
     owners = max(1, total // OWNER_ROWS)
-    suffixes = routed_suffixes(narrow.filter(F.col("text").isNotNull()), frequent_bitmap(words), often.view(np.uint64), owners)
-    found = scored_phrases(phrase_counts(suffixes, least), words)
+    common = common_words(words)
+    told = narrow.filter(F.col("text").isNotNull())
+    suffixes = routed_suffixes(told, frequent_bitmap(words), common, often.view(np.uint64), owners)
+    found = scored_phrases(phrase_counts(suffixes, common, least), words)
     best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     salt = F.pmod(F.xxhash64("phrase"), F.lit(OPEN_SALTS)).alias("salt")
     place = F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*best))
