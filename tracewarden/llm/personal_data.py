@@ -18,6 +18,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,17 +118,18 @@ SPELLED_WORD = re.compile(DIGIT, re.IGNORECASE)
 AT, DOT = "(?:at|arroba|chez)", "(?:dot|punkt|point|punto)"
 BRACKETED_AT = re.compile(rf"\s*[\[({{<]\s*(?:{AT}|@)\s*[\])}}>]\s*", re.IGNORECASE)
 BRACKETED_DOT = re.compile(rf"\s*[\[({{<]\s*(?:{DOT}|\.)\s*[\])}}>]\s*", re.IGNORECASE)
-# a bare "at" counts only before a domain with a spelled dot; its other dots may be real
+# a bare "at" needs a domain with a dot, spelled or real; ``is_address`` tells addresses from prose
 BARE = re.compile(
     rf"(?<=[A-Za-z0-9_%+-])(?P<at>\s+{AT}\s+)(?P<domain>[A-Za-z0-9-]+(?:(?:\.|\s+{DOT}\s+)[A-Za-z0-9-]+)+)", re.IGNORECASE
 )
 LABELS = re.compile(rf"\.|\s+{DOT}\s+", re.IGNORECASE)
-SPELLED_LABEL = re.compile(rf"\s+{DOT}\s+([A-Za-z0-9-]+)", re.IGNORECASE)
-# these make an address of whatever comes before; other labels need two letters and no reading as prose
+SPELLED_LABEL = re.compile(rf"\s+({DOT})\s+([A-Za-z0-9-]+)", re.IGNORECASE)
+# usual endings, and those of them that are also words of a sentence
 ENDINGS = frozenset(
     "com org net edu gov mil int info biz io co ai app dev me tv eu uk de fr es it nl be ch at pl pt se no dk fi ie"
     " ru cn jp in br mx ar ca au us example test".split()
 )
+WORD_ENDINGS = frozenset("in it no at es de be me us se ch co ai is as or an on so do am to my by".split())
 # "look at the dot matrix", "at some point we": words around a bare "at" and a spelled dot that make it prose
 PROSE = frozenset(
     "a an the this that these those some any each every no one what which his her its our their your my such other"
@@ -136,12 +138,17 @@ PROSE = frozenset(
 )
 BARE_DOT = re.compile(rf"(?<=[A-Za-z0-9])\s+{DOT}\s+(?=[A-Za-z0-9])", re.IGNORECASE)
 NUMBER_DOT = re.compile(rf"(?<=[0-9])\s+{DOT}\s+(?=[0-9])", re.IGNORECASE)
+FOUR_PARTS = re.compile(rf"(?<![0-9.])[0-9]+(?:(?:\.|\s+{DOT}\s+)[0-9]+){{3}}(?!\.?[0-9])", re.IGNORECASE)
+# what stands before four numbers: these make them a version or a section, those an address
+VERSION = re.compile(r"(?:version|release|build|chapter|section|kapitel|abschnitt|chapitre|capítulo|sección|v|rev)\W*$", re.IGNORECASE)
+ADDRESS = re.compile(r"(?:\bip(?:v4)?|address|adresse|dirección|host|server|serveur|servidor|ping|gateway)(?:\s+(?:is|ist|est|es|at))?\W*$", re.IGNORECASE)
 PLUS = re.compile(r"(?<!\w)plus[\s-]+(?=[0-9])", re.IGNORECASE)
 
 # what a text must hold for a transducer to change anything: a pattern for each; the last four want lower case
 ODD = re.compile("[" + "".join([*LOOKALIKES, *MARKS, HIDDEN, BLANK_VARIANTS]) + r"！-～]|(?![0-9])\d")  # any decimal digit
 BRACKETED = re.compile(rf"[\[({{<]\s*(?:{AT}|{DOT}|@|\.)\s*[\])}}>]")
 SPELLED_DOT = re.compile(rf"{DOT}\s")
+BARE_AT = re.compile(rf"[a-z0-9_%+-]\s+{AT}\s+[a-z0-9-]+\.[a-z0-9]")
 SPELLED_RUN = re.compile(rf"{DIGIT}[\s-]{{1,3}}{DIGIT}[\s-]{{1,3}}{DIGIT}")
 SPELLED_PLUS = re.compile(r"plus[\s-]+[0-9]")
 
@@ -150,32 +157,40 @@ def may_hide(text: str) -> bool:
     if not text.isascii() and ODD.search(text):
         return True
     low = text.lower()
-    return bool(BRACKETED.search(low) or SPELLED_DOT.search(low) or SPELLED_RUN.search(low) or SPELLED_PLUS.search(low))
+    return any(p.search(low) for p in (BRACKETED, SPELLED_DOT, BARE_AT, SPELLED_RUN, SPELLED_PLUS))
 
 
 class Tape:
-    """A rewritten text; every character knows the source characters it stands for."""
+    """A rewritten text; every character knows the source characters it stands for, in eight bytes."""
 
-    def __init__(self, text: str, start: list[int] | None = None, end: list[int] | None = None):
+    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None):
         self.text = text
-        self.start = list(range(len(text))) if start is None else start
-        self.end = list(range(1, len(text) + 1)) if end is None else end
+        kind = np.int32 if len(text) < 1 << 31 else np.int64
+        self.start = np.arange(len(text), dtype=kind) if start is None else start
+        self.end = np.arange(1, len(text) + 1, dtype=kind) if end is None else end
 
     def rewrite(self, edits: list[tuple[int, int, str]]) -> Tape:
         """Replace ``[a, b)`` by a text; a replacement stands for the whole replaced part."""
         if not edits:
             return self
-        text, start, end, at = [], [], [], 0
+        text, at = [], 0
         for a, b, new in edits:
             text += [self.text[at:a], new]
-            start += self.start[at:a] + [self.start[a]] * len(new)
-            end += self.end[at:a] + [self.end[b - 1]] * len(new)
             at = b
         text.append(self.text[at:])
-        return Tape("".join(text), start + self.start[at:], end + self.end[at:])
+        low, high = (np.array(x) for x in list(zip(*edits))[:2])
+        edge = np.zeros(len(self.text) + 1, np.int64)
+        np.add.at(edge, low, 1)
+        np.add.at(edge, high, -1)
+        # kept characters are taken over once, the first of an edit as often as the replacement is long
+        times = (np.cumsum(edge[:-1]) == 0).astype(np.int64)
+        times[low] = [len(new) for _, _, new in edits]
+        ends = self.end.copy()
+        ends[low] = self.end[high - 1]
+        return Tape("".join(text), np.repeat(self.start, times), np.repeat(ends, times))
 
     def source(self, a: int, b: int) -> tuple[int, int]:
-        return self.start[a], self.end[b - 1]
+        return int(self.start[a]), int(self.end[b - 1])
 
 
 def character(c: str) -> str:
@@ -214,19 +229,33 @@ def spelled_digits(tape: Tape) -> Tape:
 def is_address(text: str, m: re.Match) -> bool:
     """Whether a match of ``BARE`` is an address rather than prose.
 
-    A usual ending after a spelled dot makes it one. Else the last label has two or more letters, and
-    either the local part holds more than letters, or neither the first nor the last label is a word of prose.
+    A local part that no word has, with a letter and a digit, underscore or inner dot, needs a last label of two or more
+    letters, and so do others. They need a spelled dot, too, and no label that is a word of prose. An ending
+    that is a word itself counts only after "dot": "point", "punkt" and "punto" stand in sentences.
     """
-    after = [x.lower() for x in SPELLED_LABEL.findall(m["domain"])]
-    if not after or any(x in ENDINGS for x in after):
-        return bool(after)
     labels = LABELS.split(m["domain"].lower())
     if len(labels[-1]) < 2 or not labels[-1].isalpha():
         return False
     start = m.start()
     while start > 0 and text[start - 1] in LOCAL:
         start -= 1
-    return not text[start : m.start()].isalpha() or not PROSE.intersection((labels[0], labels[-1]))
+    local = text[start : m.start()].strip(".-")
+    spelled = [(sign.lower(), x.lower()) for sign, x in SPELLED_LABEL.findall(m["domain"])]
+    if any(c.isalpha() for c in local) and any(c in "0123456789_%+." for c in local):
+        return bool(spelled) or labels[-1] in ENDINGS
+    if not spelled or local.lower() in PROSE or PROSE.intersection(labels[:-1]):
+        return False
+    if labels[-1] in WORD_ENDINGS:
+        return all(sign == "dot" for sign, _ in spelled)
+    return labels[-1] not in PROSE
+
+
+def is_numbered_host(text: str, m: re.Match) -> bool:
+    """Whether four numbers with spelled dots are an address: not after a word such as "version", and not four digits alone without a cue."""
+    before = text[max(0, m.start() - 40) : m.start()]
+    if VERSION.search(before):
+        return False
+    return bool(ADDRESS.search(before)) or any(len(n) > 1 for n in re.findall("[0-9]+", m.group()))
 
 
 def signs(tape: Tape) -> Tape:
@@ -246,7 +275,11 @@ def signs(tape: Tape) -> Tape:
     for m in re.finditer(rf"@[A-Za-z0-9-]+(?:(?:\.|\s+{DOT}\s+)[A-Za-z0-9-]+)+", tape.text, re.IGNORECASE):
         edits += [(*d.span(), ".") for d in BARE_DOT.finditer(tape.text, m.start(), m.end())]
     tape = tape.rewrite(edits)
-    tape = tape.rewrite([(*m.span(), ".") for m in NUMBER_DOT.finditer(tape.text)])
+    edits = []
+    for m in FOUR_PARTS.finditer(tape.text):
+        if is_numbered_host(tape.text, m):
+            edits += [(*d.span(), ".") for d in NUMBER_DOT.finditer(tape.text, m.start(), m.end())]
+    tape = tape.rewrite(edits)
     return tape.rewrite([(*m.span(), "+") for m in PLUS.finditer(tape.text)])
 
 
