@@ -10,6 +10,9 @@ A worker ends with some bins not full. In a second round the leftover pieces of
 ``WORKERS`` workers are laid end to end and cut at the capacity, which leaves one open
 sequence for so many workers.
 
+Ids are looked up by word. Learning a word costs as much as tokenizing it, so each worker process keeps its table from
+task to task: the words seen lately in two generations of bounded size, of which the older one goes.
+
 Scale: documents are not shuffled; only leftovers are, at most one open bin per class and
 worker, and a group of the second round is a fixed number of workers. The packed pieces are
 staged once, so tokenization is not repeated for the second round or after a lost executor.
@@ -23,6 +26,7 @@ import sys
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -34,7 +38,7 @@ from tracewarden.llm.common import raw_bytes, stage, table
 CAPACITY = 4096
 SMALL = 8  # what is left of a document is cut while it exceeds capacity / SMALL
 WORKERS = 16
-CACHE_WORDS = 400_000
+GENERATION = 250_000  # words; a process holds two generations
 SLICE = 1 << 20
 END_ID = 2
 
@@ -58,6 +62,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
         self.split_at = self._encode(["\x01"])[0]
 
@@ -95,11 +100,12 @@ class WordTokenizer:
             self.parts[word] = self._packed(ids)
 
     def _add(self, words: set[bytes]) -> None:
-        if len(self.ids) > CACHE_WORDS:
-            self.ids.clear()
-            self.parts.clear()
         cut = []
         for word in words:
+            known = self.older.get(word)
+            if known is not None:
+                self.ids[word] = known
+                continue
             core = word.rstrip(self.MARKS) if b"<|" not in word and b"'" not in word else word
             # only a letter or digit surely ends a token; some letters gain a mark in lower case
             if not core or not core[-1:].isalnum():
@@ -122,16 +128,28 @@ class WordTokenizer:
                 end = min(blanks, default=len(text))
             part = text[at:end]
             words = (part if b"<|" in part else part.lower()).split()
+            if len(self.ids) > GENERATION:
+                self.ids, self.older = {}, self.ids
+                self.parts.clear()
             unseen = set(words).difference(self.ids)
             if unseen:
                 self._add(unseen)
-                if any(w not in self.ids for w in words):  # the cache was emptied
-                    self._add(set(words))
             out.append(b"".join(map(self.ids.__getitem__, words)))
             at = end
         return b"".join(out)
 
 
+_KEPT = "tracewarden_worker_tables"
+
+
+def kept_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this process. This package travels by value, so a module made here holds it between tasks."""
+    tables = sys.modules.setdefault(_KEPT, ModuleType(_KEPT)).__dict__
+    if path not in tables:
+        tables[path] = WordTokenizer(path)
+    return tables[path]
+
+
 def cuts(length: int, capacity: int) -> Iterator[int]:
     """Lengths of the pieces of a document, in order."""
     while length:
@@ -145,7 +163,7 @@ def cuts(length: int, capacity: int) -> Iterator[int]:
 
 def fill_bins(batches, path: str, capacity: int, worker: int):
     """Pieces of one worker: rows of full bins have a sequence, those of open bins have none."""
-    tokenizer = WordTokenizer(path)
+    tokenizer = kept_tokenizer(path)
     end = END_ID.to_bytes(4, "little")
     open_bins: dict[int, list[tuple]] = defaultdict(list)
     made = 0
