@@ -379,7 +379,7 @@ def test_common_subsequence():
         assert common_subsequence(masks, len(a), b) == table[-1][-1]
 
 
-@pytest.mark.parametrize("slice_bytes", [16, 1 << 21])
+@pytest.mark.parametrize("slice_bytes", [16, 1 << 18])
 def test_word_hashes_do_not_depend_on_slices(monkeypatch, slice_bytes):
     monkeypatch.setattr(words, "SLICE", slice_bytes)
     draw = random.Random(0)

@@ -14,16 +14,23 @@ from tracewarden.sources.staging import new_folder, stage
 # the blanks that separate words, as one character class; bytes.split() splits at exactly these
 BLANKS = "\\x20\\x09-\\x0D"
 
-__all__ = ["BLANKS", "fold", "free_names", "hold_out", "raw_bytes", "stage", "stage_small", "table", "utf8_size"]
+__all__ = ["BLANKS", "bounded_batches", "fold", "free_names", "hold_out", "raw_bytes", "stage", "stage_small", "table", "utf8_size"]
 
 
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let batches to Python hold 4 MB instead of Spark's 64 where the session does not say otherwise.
+
+    Rows of this package are texts, and two workers of an executor hold a few batches each. This is the only setting
+    of a session that the package makes; the registered queries and the pipeline's stages call it, operators do not.
+    """
+    if spark.conf.get(BATCH_BYTES) in ("64MB", "67108864", "67108864b"):
+        spark.conf.set(BATCH_BYTES, "4MB")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of a folder. Rows here are texts, so batches to Python get 1,000 of them where the session has the default of 10,000."""
-    if spark.conf.get(BATCH, "10000") == "10000":
-        spark.conf.set(BATCH, "1000")
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -78,7 +78,7 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return sets
 
 
-def _sets_in_groups(texts: list[bytes], group_bytes: int = 2 << 20) -> Iterator[np.ndarray]:
+def _sets_in_groups(texts: list[bytes], group_bytes: int = 1 << 18) -> Iterator[np.ndarray]:
     """The shingle set of each text; texts are hashed in groups of bounded size."""
     group, size = [], 0
     for text in texts:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from tracewarden.llm.collocations import OP12_SQL, op12_collocations
+from tracewarden.llm.common import bounded_batches
 from tracewarden.llm.decontamination import op1_decontamination
 from tracewarden.llm.exact_dedup import OP11_SQL, op11_exact_dedup
 from tracewarden.llm.language_model import op5_language_model
@@ -16,8 +19,19 @@ from tracewarden.llm.substring_dedup import op8_substring_dedup
 from tracewarden.llm.token_alignment import op13_token_alignment
 from tracewarden.llm.warc import OP3_SQL, op3_warc
 
+
+
+def _bounded(query):
+    @wraps(query)
+    def run(spark, folder):
+        bounded_batches(spark)
+        return query(spark, folder)
+
+    return run
+
+
 QUERIES = {
-    query.__name__: query
+    query.__name__: _bounded(query)
     for query in (
         op1_decontamination,
         op2_sharding,

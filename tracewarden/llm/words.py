@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-SLICE = 1 << 21
+SLICE = 1 << 18
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
