@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import os
 import sys
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tracewarden.llm.common import free_names, stage, table  # noqa: E402
+from tracewarden.llm.common import bounded_batches, free_names, stage, table  # noqa: E402
 from tracewarden.llm.decontamination import contaminated  # noqa: E402
 from tracewarden.llm.near_dedup import near_duplicates  # noqa: E402
 from tracewarden.llm.packing import digest, pack, word_tokenizer_path  # noqa: E402
@@ -65,12 +66,23 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return digest(pack(docs, word_tokenizer_path()))
 
 
+
+
+def _bounded(step):
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return step(spark, docs, sf_dir)
+
+    return run_step
+
+
 STAGES = [
-    ("quality_classifier", quality),
-    ("near_dedup", near_dedup),
-    ("decontamination", decontaminate),
-    ("personal_data", personal_data),
-    ("packing", packing),
+    ("quality_classifier", _bounded(quality)),
+    ("near_dedup", _bounded(near_dedup)),
+    ("decontamination", _bounded(decontaminate)),
+    ("personal_data", _bounded(personal_data)),
+    ("packing", _bounded(packing)),
 ]
 
 # a learned model, a verified similarity join and a tokenizer are beyond SQL; tests compare with brute force
