@@ -26,8 +26,10 @@ import sys
 from array import array
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 from types import ModuleType
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -65,6 +67,8 @@ class WordTokenizer:
         self.older: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
         self.split_at = self._encode(["\x01"])[0]
+        self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -77,10 +81,25 @@ class WordTokenizer:
         return found.tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        """Ids of unseen words; plain words are joined so that one call tokenizes many."""
-        plain, odd = [], []
+        """Ids of unseen words; words are joined so that one call tokenizes many.
+
+        A run of letters has one token that ends a word, so blanks between such words will do.
+        """
+        letters, plain, odd = [], [], []
         for word in words:
-            (odd if b"\x01" in word or b"<|" in word else plain).append(word)
+            if word.isalpha() or word.decode().isalpha() and word.decode().lower().isalpha():
+                letters.append(word)
+            else:
+                (odd if b"\x01" in word or b"<|" in word else plain).append(word)
+        for at in range(0, len(letters), 500):
+            some = letters[at : at + 500]
+            ids = np.array(self._encode([b" ".join(some).decode()])[0], np.uint32)
+            ends = 4 * (np.flatnonzero(self.is_end[ids]) + 1)
+            if len(ends) != len(some) or ends[-1] != 4 * len(ids):
+                plain += some
+                continue
+            data, ends = ids.astype("<u4").tobytes(), ends.tolist()
+            self.parts.update(zip(some, [data[a:b] for a, b in zip([0, *ends], ends)]))
         for at in range(0, len(plain), 500):
             some = plain[at : at + 500]
             (ids,) = self._encode([self.SEPARATOR.join(w.decode() for w in some)])
@@ -126,18 +145,21 @@ class WordTokenizer:
             if end < len(text):  # move on to the next blank
                 blanks = [p for p in (text.find(b, end) for b in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) if p >= 0]
                 end = min(blanks, default=len(text))
-            part = text[at:end]
-            words = (part if b"<|" in part else part.lower()).split()
-            if len(self.ids) > GENERATION:
-                self.ids, self.older = {}, self.ids
-                self.parts.clear()
-            unseen = set(words).difference(self.ids)
-            if unseen:
-                self._add(unseen)
-            out.append(b"".join(map(self.ids.__getitem__, words)))
+            out += self.encode_all([text[at:end]])
             at = end
         return b"".join(out)
 
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """``encode`` of texts that are not long; their new words are learned together."""
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        if len(self.ids) > GENERATION:
+            self.ids, self.older = {}, self.ids
+            self.parts.clear()
+        unseen = set(chain.from_iterable(words)).difference(self.ids)
+        if unseen:
+            self._add(unseen)
+        return [b"".join(map(self.ids.__getitem__, w)) for w in words]
+
 
 _KEPT = "tracewarden_worker_tables"
 
@@ -179,10 +201,25 @@ def fill_bins(batches, path: str, capacity: int, worker: int):
         rows.clear()
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    for batch in batches:
-        ids, texts = batch.column(0).to_pylist(), raw_bytes(batch.column(1))
-        for doc_id, text in zip(ids, texts):
-            tokens = tokenizer.encode(text) + end
+    def tokenized():
+        """Ids of documents and their tokens, in groups of about half a slice."""
+        for batch in batches:
+            ids, texts, size = [], [], 0
+            for doc_id, text in zip(batch.column(0).to_pylist(), raw_bytes(batch.column(1))):
+                if len(text) > SLICE:
+                    yield [doc_id], [tokenizer.encode(text)]
+                    continue
+                ids.append(doc_id)
+                texts.append(text)
+                size += len(text)
+                if 2 * size > SLICE:
+                    yield ids, tokenizer.encode_all(texts)
+                    ids, texts, size = [], [], 0
+            yield ids, tokenizer.encode_all(texts)
+
+    for ids, found in tokenized():
+        for doc_id, own_ids in zip(ids, found):
+            tokens = own_ids + end
             total, start = len(tokens) // 4, 0
             for length in cuts(total, capacity):
                 kind = capacity // length
