@@ -94,19 +94,31 @@ def _payload(parsed: DataFrame) -> DataFrame:
     )
 
 
-def sequential_chain(parsed: DataFrame, config: ScanConfig, staged: bool = False) -> DataFrame:
+def sequential_chain(
+    parsed: DataFrame, config: ScanConfig, staged: bool = False, before: DataFrame | None = None
+) -> DataFrame:
     """``source, final_hash``: the chain over all parsed lines of each source.
 
     Malformed lines are not covered; a source without parsed lines has no row here (its
     hash is 64 zeros, which ``operators.stats`` fills in). Each round reads only its range of
     line numbers, so lines that are not ``staged`` yet are written once first. The number of rounds is
-    that of the longest source: for sources of billions of lines use ``segment_digests``.
+    that of the longest source: for sources of billions of lines use ``segment_digests``. With ``before``
+    (``source, digest``) the chains of these sources go on from those digests.
     """
     rows = _payload(parsed) if staged else stage(_payload(parsed), "payload")
     size = config.chain_chunk_lines
     longest = rows.agg(F.max("position")).first()[0] or 0  # one number, not rows
     ends = stage(rows.groupBy("source").agg(F.max("position").alias("end")), "chain_ends")
-    digests = _fold(rows.filter(F.col("position") <= size), ["source"])
+    first = rows.filter(F.col("position") <= size)
+    if before is not None:
+        begun = before.join(ends.select("source"), "source", "left_semi").select(
+            "source",
+            F.lit(0).cast("bigint").alias("position"),
+            F.col("digest").cast("binary").alias("payload"),
+            F.lit(True).alias("carried"),
+        )
+        first = first.withColumn("carried", F.lit(False)).unionByName(begun)
+    digests = _fold(first, ["source"])
     finished = []
     for start in range(size, longest, size):
         # sources that end here leave; only the others are read and carried on
