@@ -25,6 +25,9 @@ ERROR_WORDS = (
     "traceback",
 )
 
+# how year-less stamps pass a New Year: only the first January line moves on, or all lines after it
+ROLLOVERS = ("reference", "sticky")
+
 
 @dataclass(frozen=True)
 class ScanConfig:
@@ -40,6 +43,7 @@ class ScanConfig:
     min_severity: str = "WARNING"
     custom_format: str | None = None
     reference_year: int = field(default_factory=lambda: _dt.datetime.now().year)
+    rollover: str = "reference"
     error_words: tuple[str, ...] = ERROR_WORDS
     block_lines: int = 200_000
     chain_chunk_lines: int = 5_000_000
@@ -54,6 +58,8 @@ class ScanConfig:
             raise ValueError(f"min_severity must be one of {', '.join(SEVERITIES)}")
         if not 1 <= self.reference_year <= 9999:
             raise ValueError("reference_year must be between 1 and 9999")
+        if self.rollover not in ROLLOVERS:
+            raise ValueError(f"rollover must be one of {', '.join(ROLLOVERS)}")
         if not self.error_words:
             raise ValueError("error_words must not be empty")
         for name in ("block_lines", "chain_chunk_lines", "segment_lines"):

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewarden.config import ScanConfig
+from tracewarden.operators.activity import activity_periods
 from tracewarden.operators.blocks import WITHIN_BLOCK, block_offsets
 from tracewarden.operators.gaps import all_steps, line_steps, step_deltas
 from tracewarden.sources.staging import stage
 
+DENSITY_BLOCK = 256  # widths of a window in a time block
+
 # Layout of a bracketed level and of name=value fields within a line.
 LEVEL = r"\[([A-Za-z]+)\]"
 
@@ -65,6 +68,44 @@ def dense_errors(parsed: DataFrame, seconds: int = 60, least: int = 3) -> DataFr
     return counted.filter(F.col("error_lines") >= least).withColumn("start_us", F.col("slot") * width).drop("slot")
 
 
+def error_density(parsed: DataFrame, seconds: int = 60, least: int = 3) -> DataFrame:
+    """Moments up to which a source has had at least ``least`` error lines within ``seconds`` seconds, wherever these begin.
+
+    ``source, end_us, error_lines, first_line, last_line`` of the window that ends at each such moment; its start is exclusive.
+    Error lines of one instant are combined before the shuffle. Windows slide within time blocks of ``DENSITY_BLOCK``
+    times their width; the last width of a block is repeated in the next one, so no window is cut.
+    """
+    width = seconds * 1_000_000
+    block = width * DENSITY_BLOCK
+    moments = (
+        parsed.filter("is_error AND ts_us IS NOT NULL")
+        .groupBy("source", "ts_us")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("line_number").alias("low"), F.max("line_number").alias("high"))
+    )
+    own = f"CAST(floor(ts_us / {block}D) AS BIGINT)"
+    near_end = f"ts_us - {own} * {block} >= {block - width}"
+    dealt = moments.selectExpr(
+        "*", f"{own} AS own", f"explode(if({near_end}, array({own}, {own} + 1), array({own}))) AS block"
+    )
+    frame = f"(PARTITION BY source, block ORDER BY ts_us RANGE BETWEEN {width - 1} PRECEDING AND CURRENT ROW)"
+    slid = dealt.selectExpr(
+        "source",
+        "ts_us AS end_us",
+        f"sum(n) OVER {frame} AS error_lines",
+        f"min(low) OVER {frame} AS first_line",
+        f"max(high) OVER {frame} AS last_line",
+        "own = block AS kept",
+    )
+    return slid.filter(f"kept AND error_lines >= {least}").drop("kept")
+
+
+def dense_stretches(parsed: DataFrame, seconds: int = 60, least: int = 3) -> DataFrame:
+    """``source, first_us, last_us, moments``: first and last end of dense windows that overlap one another."""
+    ends = error_density(parsed, seconds, least).select("source", F.col("end_us").alias("ts_us"))
+    # windows with exclusive starts overlap when their ends are less than a width apart
+    return activity_periods(ends, seconds - 1e-6).withColumnRenamed("line_count", "moments")
+
+
 def breakdown(parsed: DataFrame, field: str = LEVEL, name: str = "level") -> DataFrame:
     """Lines per source and what the first group of the pattern ``field`` finds in them; none: the empty text."""
     found = F.regexp_extract(F.coalesce("line", F.lit("")), field, 1).alias(name)

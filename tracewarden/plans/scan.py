@@ -8,14 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewarden.config import ScanConfig
-from tracewarden.operators import bursts, chain, context, gaps, stats
+from tracewarden.operators import bursts, chain, context, gaps, rollover, stats
 from tracewarden.operators.parsing import parse_lines
 from tracewarden.sources.staging import stage
 from tracewarden.sources.text import file_facts, scan_parsed_text
 
-# a wanted row is a source and four numbers, ~100 bytes in a broadcast map: at most ~100 MB
-MAX_BROADCAST_LOOKUPS = 1_000_000
-
 
 class ScanResult:
     """Result tables of a scan, keyed by ``source``; each is worked out when first asked for.
@@ -45,9 +42,7 @@ class ScanResult:
     def gaps(self) -> DataFrame:
         """Reported gaps with edge lines and context."""
         reported = gaps.filter_by_severity(self.all_gaps, self.config.min_severity)
-        lookups = reported.count() * (self.config.context_lines + max(self.config.context_lines, 1) + 1)
-        small = lookups <= MAX_BROADCAST_LOOKUPS
-        return gaps.with_timestamps(context.with_context(reported, self.parsed, self.config, broadcast=small))
+        return gaps.with_timestamps(context.with_context(reported, self.parsed, self.config))
 
     @cached_property
     def bursts(self) -> DataFrame:
@@ -111,21 +106,33 @@ def scan_lines(lines: DataFrame, config: ScanConfig | None = None, exact_chain:
     config = config or ScanConfig()
     parsed = stage(parse_lines(lines, config), "parsed")
     require_dense(parsed)
-    return scan_parsed(parsed, config, exact_chain=exact_chain)
+    return scan_parsed(rollover.applied(parsed, config), config, exact_chain=exact_chain)
 
 
 def require_dense(lines: DataFrame) -> None:
     """Raise unless the line numbers of every source run from 1 without holes or repeats.
 
-    Neighbouring lines are found by their numbers; ``sources.tables`` numbers any ordered table so.
+    Neighbouring lines are found by their numbers; ``sources.tables`` numbers any ordered table so. Each 64 numbers
+    of a source become a bitmap and a count, combined before the shuffle: they agree unless a number is repeated,
+    and without repeats as many numbers as the largest one are all numbers up to it.
     """
-    numbered = lines.groupBy("source").agg(
-        F.min("line_number").alias("low"), F.max("line_number").alias("high"), F.count(F.lit(1)).alias("n")
+    bit = F.expr("shiftleft(1L, CAST(pmod(line_number - 1, 64) AS INT))")
+    cells = lines.groupBy("source", F.expr("(line_number - 1) div 64").alias("cell")).agg(
+        F.min("line_number").alias("low"),
+        F.max("line_number").alias("high"),
+        F.count(F.lit(1)).alias("n"),
+        F.bit_or(bit).alias("bits"),
+    )
+    numbered = cells.groupBy("source").agg(
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.sum("n").alias("n"),
+        F.max(F.coalesce(F.expr("n <> bit_count(bits)"), F.lit(True))).alias("repeats"),
     )
-    bad = numbered.filter("low <> 1 OR high <> n OR low IS NULL").head()
+    bad = numbered.filter("low <> 1 OR high <> n OR repeats OR low IS NULL").head()
     if bad:
         raise ValueError(
-            f"source {bad['source']}: {bad['n']} lines are numbered {bad['low']} to {bad['high']}, not 1 to {bad['n']}"
+            f"source {bad['source']}: {bad['n']} lines are numbered {bad['low']} to {bad['high']}, not 1 to {bad['n']} once each"
         )
 
 
@@ -137,5 +144,5 @@ def scan_files(
 ) -> ScanResult:
     """Scan text logs; every file is one source."""
     config = config or ScanConfig()
-    parsed = scan_parsed_text(spark, paths, config)
+    parsed = rollover.applied(scan_parsed_text(spark, paths, config), config)
     return scan_parsed(parsed, config, file_facts(spark, paths), exact_chain)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tracewarden.config import ScanConfig
 from tracewarden.functions import scoring
 from tracewarden.functions.timestamps import iso_text
-from tracewarden.operators import activity, bursts, chain, context, gaps, signals, stats
+from tracewarden.operators import activity, bursts, chain, context, gaps, rollover, signals, stats
 from tracewarden.operators.parsing import malformed_lines, parse_lines, parser_profile
 from tracewarden.plans import progress, reports
 from tracewarden.plans.scan import scan_files, scan_lines
@@ -24,7 +24,7 @@ from tracewarden.queries import inputs, oracle
 from tracewarden.queries.inputs import CONFIG
 from tracewarden.sources.staging import new_folder, stage
 from tracewarden.sources.text import file_facts, scan_text
-from tracewarden.streaming import monitor
+from tracewarden.streaming import carry, monitor
 from tracewarden.streaming.files import watch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,6 +171,30 @@ def syslog_year_rollover(spark, folder):
     return steps.select("source", "line_number", instant("effective_us", "ts"), "delta_us")
 
 
+@register(
+    "sticky_year_rollover",
+    oracle.ORDER_LINES,
+    oracle.PARSED,
+    """
+stepped AS (
+  SELECT *, lag(ts) OVER (PARTITION BY source ORDER BY line_number) AS p1 FROM parsed WHERE ts IS NOT NULL),
+counted AS (
+  SELECT *, sum(CASE WHEN parser = 'SYSLOG' AND ts < p1 AND month(p1) = 12 AND month(ts) = 1 THEN 1 ELSE 0 END)
+              OVER (PARTITION BY source ORDER BY line_number) AS years FROM stepped),
+moved AS (SELECT source, line_number, ts + to_years(CAST(years AS INTEGER)) AS ts FROM counted),
+steps AS (
+  SELECT source, line_number, ts, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY source ORDER BY line_number)) AS delta_us
+  FROM moved)""",
+    select=f"SELECT source, line_number, {oracle.iso('ts')} AS ts, delta_us FROM steps WHERE delta_us IS NOT NULL",
+)
+def sticky_year_rollover(spark, folder):
+    """Year-less stamps that stay in the new year; several New Years per source, over many blocks."""
+    config = replace(CONFIG, rollover="sticky", block_lines=500)
+    parsed = rollover.applied(parse_lines(inputs.order_lines(spark, folder), config), config)
+    steps = gaps.step_deltas(parsed, config)
+    return steps.select("source", "line_number", instant("effective_us", "ts"), "delta_us")
+
+
 @register(
     "malformed_lines", *LINES, select="SELECT source, line_number, line FROM parsed WHERE ts IS NULL"
 )
@@ -253,7 +277,8 @@ def step_deltas(spark, folder):
 
 @register("gap_report", *GAPS, select=f"SELECT {oracle.REPORT} FROM gaps")
 def gap_report(spark, folder):
-    return gaps.report_rows(gaps.detect_gaps(services(spark, folder), CONFIG))
+    """Gaps found without text; edge lines are looked up for the gaps alone."""
+    return gaps.report_rows(scan_lines(inputs.service_lines(spark, folder), CONFIG, exact_chain=False).gaps)
 
 
 @register("gap_report_small_blocks", *GAPS, select=f"SELECT {oracle.REPORT} FROM gaps")
@@ -273,7 +298,7 @@ def gap_report_small_blocks(spark, folder):
 def gap_report_one_source(spark, folder):
     """All events as one source, spread over blocks."""
     config = replace(CONFIG, block_lines=2_000)
-    return gaps.report_rows(gaps.detect_gaps(single(spark, folder, config), config))
+    return gaps.report_rows(scan_lines(inputs.single_source_lines(spark, folder), config, exact_chain=False).gaps)
 
 
 @register(
@@ -334,29 +359,24 @@ def gap_edge_lines_shortened(spark, folder):
     "AND l.line_number BETWEEN g.line_number_end - 2 AND g.line_number_end + 1",
 )
 def gap_context_lines(spark, folder):
-    parsed = services(spark, folder)
-    found = gaps.detect_gaps(parsed, CONFIG, text=False)
-    return context.context_lines(found, inputs.service_lines(spark, folder), CONFIG)
+    result = scan_lines(inputs.service_lines(spark, folder), CONFIG, exact_chain=False)
+    return context.context_lines(result.all_gaps, result.parsed, CONFIG)
 
 
-@register(
-    "gap_context_arrays",
-    *GAPS,
-    """
+CONTEXT = """
 around AS (
   SELECT g.source, g.gap_number, g.line_before_gap, g.line_after_gap, g.line_number_end AS e, l.line_number AS n, l.line
   FROM gaps g JOIN lines l ON l.source = g.source
-   AND l.line_number BETWEEN g.line_number_end - 2 AND g.line_number_end + 1)""",
-    select="SELECT source, gap_number, line_before_gap, line_after_gap, "
+   AND l.line_number BETWEEN g.line_number_end - 2 AND g.line_number_end + 1)"""
+CONTEXT_SELECT = (
+    "SELECT source, gap_number, line_before_gap, line_after_gap, "
     "coalesce(string_agg(n || ':' || line, '|' ORDER BY n) FILTER (n < e), '') AS before, "
     "coalesce(string_agg(n || ':' || line, '|' ORDER BY n) FILTER (n >= e), '') AS after "
-    "FROM around GROUP BY ALL",
+    "FROM around GROUP BY ALL"
 )
-def gap_context_arrays(spark, folder):
-    parsed = services(spark, folder)
-    found = gaps.detect_gaps(parsed, CONFIG, text=False)
-    rich = context.with_context(found, inputs.service_lines(spark, folder), CONFIG)
 
+
+def _context_texts(rich: DataFrame) -> DataFrame:
     def joined(side: str) -> Column:
         texts = F.transform(F.col(f"raw_context.{side}"), lambda x: F.concat_ws(":", x.line_number, x.line))
         return F.array_join(texts, "|").alias(side)
@@ -366,6 +386,11 @@ def gap_context_arrays(spark, folder):
     )
 
 
+@register("gap_context_arrays", *GAPS, CONTEXT, select=CONTEXT_SELECT)
+def gap_context_arrays(spark, folder):
+    return _context_texts(scan_lines(inputs.service_lines(spark, folder), CONFIG, exact_chain=False).gaps)
+
+
 # --- chain ---------------------------------------------------------------------------------
 
 
@@ -567,7 +592,7 @@ def scorecard(spark, folder):
 def csv_report(spark, folder):
     """The CSV report written and read back."""
     target = new_folder(spark, "csv")
-    reports.write_csv(gaps.detect_gaps(services(spark, folder), CONFIG), target)
+    reports.write_csv(scan_lines(inputs.service_lines(spark, folder), CONFIG, exact_chain=False).gaps, target)
     return reports.read_csv(spark, target)
 
 
@@ -743,6 +768,34 @@ def stream_status(spark, folder):
     )
 
 
+def _run_blocks(spark: SparkSession, folder: str, slices: int = 3) -> carry.CarryLog:
+    """Feed the service lines to the block-wise monitor in slices, each by a query of its own."""
+    feed, kept = new_folder(spark, "feed"), new_folder(spark, "state")
+    log = carry.CarryLog(spark, new_folder(spark, "carry"), CONFIG, exact_chain=False)
+    lines = stage(inputs.service_lines(spark, folder), "lines")
+    longest = lines.agg(F.max("line_number")).first()[0] or 1
+    size = -(-longest // slices)
+    for part in range(slices):
+        lines.filter(F.floor((F.col("line_number") - 1) / F.lit(size)) == part).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(lines.schema).parquet(feed)
+        carry.monitor_blocks(stream, log, kept).awaitTermination()
+    return log
+
+
+@register("stream_gap_context", *GAPS, CONTEXT, select=CONTEXT_SELECT)
+def stream_gap_context(spark, folder):
+    """Gaps with context from a stream whose slices cut contexts."""
+    return _context_texts(_run_blocks(spark, folder).gaps())
+
+
+@register("stream_bursts", *LINES, oracle.BURSTS, select=BURST_SELECT)
+def stream_bursts(spark, folder):
+    """Error bursts from a stream whose slices cut bursts."""
+    found = _run_blocks(spark, folder).bursts()
+    ends = instant("first_us", "first_ts"), instant("last_us", "last_ts")
+    return found.select("source", "burst_number", "line_number_start", "line_number_end", "line_count", *ends)
+
+
 @register(
     "folder_stream_summary",
     *FILE_SOURCES,
@@ -841,6 +894,38 @@ def dense_errors(spark, folder):
     return found.select("source", "start_us", "error_lines", "first_line", "last_line")
 
 
+DENSITY = """
+moments AS (
+  SELECT source, epoch_us(ts) AS end_us, count(*) AS n, min(line_number) AS low, max(line_number) AS high
+  FROM parsed WHERE is_error AND ts IS NOT NULL GROUP BY ALL),
+density AS (
+  SELECT source, end_us, CAST(sum(n) OVER w AS BIGINT) AS error_lines, min(low) OVER w AS first_line, max(high) OVER w AS last_line
+  FROM moments
+  WINDOW w AS (PARTITION BY source ORDER BY end_us RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW)
+  QUALIFY error_lines >= 3)"""
+
+
+@register("error_density", *LINES, DENSITY, select="SELECT source, end_us, error_lines, first_line, last_line FROM density")
+def error_density(spark, folder):
+    """Three errors within any hour, not only within clock hours."""
+    return signals.error_density(services(spark, folder), seconds=3600, least=3)
+
+
+@register(
+    "dense_stretches",
+    *LINES,
+    DENSITY,
+    """
+opened AS (
+  SELECT *, CASE WHEN end_us - lag(end_us) OVER w < 3600000000 THEN 0 ELSE 1 END AS opens FROM density
+  WINDOW w AS (PARTITION BY source ORDER BY end_us)),
+stretched AS (SELECT *, sum(opens) OVER (PARTITION BY source ORDER BY end_us) AS stretch FROM opened)""",
+    select="SELECT source, min(end_us) AS first_us, max(end_us) AS last_us, count(*) AS moments FROM stretched GROUP BY source, stretch",
+)
+def dense_stretches(spark, folder):
+    return signals.dense_stretches(services(spark, folder), seconds=3600, least=3)
+
+
 @register(
     "level_breakdown",
     *LINES,
@@ -977,23 +1062,23 @@ def hash_chain_rounds(spark, folder):
 
 @register(
     "one_file_in_splits",
-    oracle.SINGLE_LINES,
-    select="SELECT line_number, line FROM lines",
+    f"""
+files AS (SELECT event_id // {inputs.FILE_EVENTS} AS part, event_id, {oracle.EVENT_LINE} AS line FROM events)""",
+    select="SELECT 'part-' || part AS source, "
+    "row_number() OVER (PARTITION BY part ORDER BY event_id) AS line_number, line FROM files",
 )
 def one_file_in_splits(spark, folder):
-    """All events as one file, read in splits of 64 kB and numbered."""
-    path = new_folder(spark, "one_file")
-    events = inputs.table(spark, folder, "events")
-    lines = events.select("event_id", inputs.event_line().alias("line"))
-    lines.repartition(1).sortWithinPartitions("event_id").select("line").write.text(path)
+    """Files that are each read in several splits, of 64 kB, and numbered."""
+    path = inputs.event_files(spark, folder, new_folder(spark, "event_files"))
     name = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(name)
     spark.conf.set(name, "64k")
     try:
-        found = scan_text(spark, path)
+        found = scan_text(spark, f"{path}/part=*")
     finally:
         spark.conf.set(name, before)
-    return found.select("line_number", "line")
+    part = F.concat(F.lit("part-"), F.regexp_extract("source", "part=([0-9]+)", 1))
+    return found.select(part.alias("source"), "line_number", "line")
 
 
 for _plain in ("offset_timestamps", "custom_zone_timestamps"):
