@@ -115,3 +115,22 @@ def test_bad_formats_are_refused_before_any_job():
 def test_a_repeated_directive_never_matches(spark):
     row = _parse(spark, ["2024 2024 x 2026-01-01 10:00:00"], ScanConfig(custom_format="%Y %Y"))[0]
     assert row.parser == "ISO_SPACE"
+
+
+def test_strict_pattern_runs_once_per_line(spark):
+    """All directives come out of one match, and a private mark in the text is no field."""
+    fmt = "%d-%b-%Y %I:%M:%S %p %z"
+    texts = ["x 05-Mar-2024 01:02:03 PM +0100", "\ue000 05-Mar-2024 01:02:03 AM +0000"]
+    rows = [("a", n, text) for n, text in enumerate(texts, 1)]
+    lines = spark.createDataFrame(rows, "source string, line_number bigint, line string").repartition(1)
+    found = parse_lines(lines, ScanConfig(custom_format=fmt))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    strict = compile_format(fmt).strict_pattern
+    assert plan.count(strict) == 1
+    assert [r.parser for r in found.collect()] == ["CUSTOM", "CUSTOM"]
+    wild = compile_format("%x~")
+    mark = wild.mark
+    texts = [f"04/10/26{mark}~", "04/10/26~", "04/10/26~~", f"{mark}04{mark}10{mark}26{mark}", ""]
+    raw = spark.createDataFrame([(text,) for text in texts], "raw string")
+    got = [r.us is not None for r in raw.select(wild.micros(wild.fields(F.col("raw"))).alias("us")).collect()]
+    assert got == [False, True, False, False, False]

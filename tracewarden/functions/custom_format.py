@@ -2,8 +2,10 @@
 
 A format gives two patterns. ``search_pattern`` finds the stamp in a line. ``strict_pattern``
 re-reads the found text the way a date parser does (value ranges, names, one capture group
-per directive) and must consume all of it. The fields are then combined with integer
-arithmetic on the JVM side. Month and day names are the English ones.
+per directive) and must consume all of it. One replacement takes all groups out at once, with
+a mark between them, so the strict pattern runs once per stamp however many directives it has.
+The fields are then combined with integer arithmetic on the JVM side. Month and day names are
+the English ones.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ SEARCH = {
     "%w": r"\d",
     "%U": r"\d{1,2}",
     "%W": r"\d{1,2}",
+    # not ".": in Java it also stops at carriage returns and the Unicode line ends
     "%c": r"[^\n]+?",
     "%x": r"[^\n]+?",
     "%X": r"[^\n]+?",
@@ -99,16 +102,27 @@ class CompiledFormat:
     search_pattern: str
     strict_pattern: str
     directives: tuple[str, ...]
+    mark: str  # a character that no accepted text holds
 
     @property
     def convertible(self) -> bool:
         """A directive used twice never converts, so such a format never matches a line."""
         return len(set(self.directives)) == len(self.directives)
 
-    def micros(self, raw: Column) -> Column:
-        """``ts_us`` of the found text, NULL where it is not a valid date."""
+    def fields(self, raw: Column) -> Column:
+        """The text before the match (empty), that of every directive, and the rest of ``raw`` behind it.
+
+        The rest matches anything, so the strict pattern takes what it would take alone. Text that does not
+        match has one field; text that holds the mark cannot be a date and has none.
+        """
+        groups = range(1, len(self.directives) + 2)
+        marked = F.regexp_replace(raw, self.strict_pattern + r"([\s\S]*)$", "".join(f"{self.mark}${n}" for n in groups))
+        return F.when((F.length(raw) > 0) & ~raw.contains(self.mark), F.split(marked, self.mark))
+
+    def micros(self, fields: Column) -> Column:
+        """``ts_us`` from the ``fields`` of the found text, NULL where it is not a valid date."""
         def field(name: str) -> Column:
-            return F.regexp_extract(raw, self.strict_pattern, self.directives.index(name) + 1)
+            return F.get(fields, self.directives.index(name) + 1)
 
         def number(name: str, default: int) -> Column:
             if name not in self.directives:
@@ -175,7 +189,8 @@ class CompiledFormat:
             sign = F.when(zone.startswith("-"), -1).otherwise(1)
             us = F.when(minutes < 1440, us - (sign * minutes).cast("long") * 60_000_000)
 
-        whole = F.length(F.regexp_extract(raw, self.strict_pattern, 0)) == F.length(raw)
+        last = len(self.directives) + 1
+        whole = (F.size(fields) == last + 1) & (F.get(fields, last) == "")
         return F.when(whole & (second <= 59) & year.between(1, 9999), us)
 
 
@@ -198,4 +213,5 @@ def compile_format(fmt: str) -> CompiledFormat:
         search_pattern=search,
         strict_pattern="(?i)^" + "".join(expanded_text),
         directives=tuple(t for t in expanded if t in STRICT),
+        mark=next(c for c in map(chr, range(0xE000, 0xF8FF)) if c not in fmt),
     )

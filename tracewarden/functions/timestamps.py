@@ -128,7 +128,8 @@ def extract_timestamps(lines: DataFrame, config: ScanConfig, text: str = "line")
         names.insert(0, "CUSTOM")
         raw = F.regexp_extract(F.col(text), custom.search_pattern, 0)
         lines = lines.withColumn("__raw_CUSTOM", raw)
-        lines = lines.withColumn("__any", F.when(F.length("__raw_CUSTOM") > 0, custom.micros(F.col("__raw_CUSTOM"))))
+        lines = lines.withColumn("__fields", custom.fields(F.col("__raw_CUSTOM")))
+        lines = lines.withColumn("__any", custom.micros(F.col("__fields")))
         lines = lines.withColumn("__us_CUSTOM", F.when(F.col("__any").between(MIN_US, MAX_US), F.col("__any")))
 
     convert = {
