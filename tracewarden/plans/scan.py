@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewarden.config import ScanConfig
-from tracewarden.operators import bursts, chain, context, gaps, rollover, stats
+from tracewarden.operators import bursts, chain, context, fleet, gaps, rollover, stats
 from tracewarden.operators.parsing import parse_lines
 from tracewarden.sources.staging import stage
 from tracewarden.sources.text import file_facts, scan_parsed_text
@@ -86,6 +86,10 @@ class ScanResult:
     def summary(self) -> DataFrame:
         return stats.summary_rows(self._per_source)
 
+    def fleet(self, group: Column) -> DataFrame:
+        """Counters per source, per group of sources and in all; see ``operators.fleet``."""
+        return fleet.fleet_rollup(self._per_source, group)
+
 
 def scan_parsed(
     parsed: DataFrame,

@@ -473,6 +473,37 @@ def scan_stats(spark, folder):
     )
 
 
+FLEET_SUMS = "total_lines parsed_lines malformed_lines error_lines error_bursts gap_count".split()
+FLEET_SUMS += "warning_count suspicious_count critical_count".split()
+
+
+@register(
+    "fleet_rollup",
+    *PLACED,
+    oracle.RISK,
+    """
+sources AS (
+  SELECT 'pair-' || (CAST(substr(c.source, 5) AS BIGINT) // 2) AS source_group, c.source, c.total_lines, c.parsed_lines,
+         c.malformed_lines, c.error_lines, c.error_bursts, r.gap_count, r.warning_count, r.suspicious_count,
+         r.critical_count, t.highest_confidence, s.first_ts, s.last_ts, r.risk_assessment
+  FROM counts c JOIN risks r USING (source) JOIN totals t USING (source) LEFT JOIN spans s USING (source))""",
+    select="SELECT CASE grouping(source_group, source) WHEN 0 THEN 'source' WHEN 1 THEN 'group' ELSE 'fleet' END AS level, "
+    "source_group, source, count(total_lines) AS source_count, "
+    + ", ".join(f"CAST(sum({name}) AS BIGINT) AS {name}" for name in FLEET_SUMS)
+    + f", max(highest_confidence) AS highest_confidence, {oracle.iso('min(first_ts)')} AS first_timestamp, "
+    f"{oracle.iso('max(last_ts)')} AS last_timestamp, "
+    "count(*) FILTER (risk_assessment IN ('HIGH RISK', 'COMPROMISED')) AS sources_at_risk, "
+    "first(source ORDER BY gap_count DESC, source) FILTER (gap_count > 0) AS worst_source "
+    "FROM sources GROUP BY ROLLUP (source_group, source)",
+)
+def fleet_rollup(spark, folder):
+    """Eight services in pairs: counters per service, per pair and in all."""
+    result = scan_lines(inputs.service_lines(spark, folder), CONFIG, exact_chain=False)
+    pair = F.concat(F.lit("pair-"), F.floor(F.substr("source", F.lit(5)).cast("bigint") / 2).cast("bigint"))
+    ends = instant("first_us", "first_timestamp"), instant("last_us", "last_timestamp")
+    return result.fleet(pair).select("*", *ends).drop("first_us", "last_us")
+
+
 @register(
     "severity_breakdown",
     *SOURCES,
