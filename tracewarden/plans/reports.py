@@ -17,6 +17,7 @@ from tracewarden.operators.blocks import with_source_facts
 from tracewarden.operators.gaps import REPORT_COLUMNS, report_rows, with_iso_times
 from tracewarden.plans.scan import ScanResult
 
+LINE_COLUMNS = ("source", "line_number", "line", "ts_us", "parser", "is_error")
 LAST_PIECE = 9_223_372_036_854_775_807
 CSV_OPTIONS = {
     "header": True,
@@ -50,8 +51,8 @@ def write_quiet_csv(sources: DataFrame, gaps: DataFrame, path: str) -> None:
     header.write.mode("append").partitionBy("source").text(path)
 
 
-def read_csv(spark, path: str) -> DataFrame:
-    """A written gap report with its column types."""
+def csv_ddl() -> str:
+    """Columns and types of the gap report."""
     kinds = {
         "gap_number": "bigint",
         "duration_seconds": "bigint",
@@ -59,8 +60,13 @@ def read_csv(spark, path: str) -> DataFrame:
         "line_number_end": "bigint",
         "tamper_confidence": "double",
     }
-    ddl = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in REPORT_COLUMNS)
-    return spark.read.options(**{**CSV_OPTIONS, "multiLine": True}).schema(f"{ddl}, source string").csv(path)
+    return ", ".join(f"{c} {kinds.get(c, 'string')}" for c in REPORT_COLUMNS)
+
+
+def read_csv(spark, path: str, source_first: bool = False) -> DataFrame:
+    """A written gap report with its column types; the source is in the folders' names or the first column."""
+    ddl = f"source string, {csv_ddl()}" if source_first else f"{csv_ddl()}, source string"
+    return spark.read.options(**{**CSV_OPTIONS, "multiLine": True}).schema(ddl).csv(path)
 
 
 def _json(*fields: Column) -> Column:
@@ -157,6 +163,7 @@ def write_tables(result: ScanResult, path: str, scan_date: dt.date, mode: str =
     A second run of one date replaces that date's rows and leaves other dates alone.
     """
     tables = {
+        "lines": result.parsed.select(*LINE_COLUMNS),
         "gaps": result.gaps.drop("block"),
         "bursts": result.bursts,
         "stats": result.stats,

@@ -19,6 +19,7 @@ from tracewarden.functions.timestamps import iso_text
 from tracewarden.operators import activity, bursts, chain, context, gaps, rollover, signals, stats
 from tracewarden.operators.parsing import malformed_lines, parse_lines, parser_profile
 from tracewarden.plans import progress, reports
+from tracewarden.plans.report_store import ReportStore
 from tracewarden.plans.scan import scan_files, scan_lines
 from tracewarden.queries import inputs, oracle
 from tracewarden.queries.inputs import CONFIG
@@ -660,24 +661,92 @@ def json_report(spark, folder):
     return rows.join(heads, "source").join(tails, "source")
 
 
+DOCUMENT = (
+    "file_info struct<filename: string, total_lines: bigint, parsed_lines: bigint, malformed_lines: bigint, "
+    "error_lines: bigint, error_bursts: bigint>, configuration struct<threshold_seconds: double, severity_filter: string, "
+    "context_lines: bigint>"
+)
+DOCUMENT_GAP = reports.csv_ddl()
+DOCUMENT_END = (
+    "summary struct<total_gaps_found: bigint, severity_breakdown: struct<WARNING: bigint, SUSPICIOUS: bigint, "
+    "CRITICAL: bigint>, most_critical_gap: struct<gap_number: bigint, fingerprint: string>, risk_assessment: string, "
+    "scan_duration_seconds: double, entropy_score: double, timeline: string, total_lines_scanned: bigint>"
+)
+
+
+@register(
+    "report_documents",
+    *PLACED,
+    oracle.TIMELINE,
+    oracle.RISK,
+    """
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE severity WHEN 'CRITICAL' THEN 3 WHEN 'SUSPICIOUS' THEN 2
+         ELSE 1 END DESC, duration_seconds DESC, tamper_confidence DESC, gap_number) AS nth FROM gaps)""",
+    select="SELECT g.*, CAST(row_number() OVER (PARTITION BY g.source ORDER BY g.gap_number) + 1 AS BIGINT) AS place, "
+    "c.total_lines, c.parsed_lines, c.malformed_lines, c.error_lines, c.error_bursts, 300.0::DOUBLE AS threshold_seconds, "
+    "2::BIGINT AS context_lines, r.gap_count AS total_gaps_found, r.warning_count, r.suspicious_count, r.critical_count, "
+    "t.gap_number AS top_gap, t.fingerprint AS top_fingerprint, r.risk_assessment, r.entropy_score, l.timeline, "
+    "1.5::DOUBLE AS scan_duration_seconds "
+    f"FROM (SELECT {oracle.REPORT} FROM gaps) g JOIN counts c USING (source) JOIN risks r USING (source) "
+    "JOIN timelines l USING (source) JOIN top t ON t.source = g.source AND t.nth = 1",
+)
+def report_documents(spark, folder):
+    """JSON documents in buckets and short parts: every field read back, pieces placed by the manifest."""
+    store = ReportStore(spark, new_folder(spark, "store"), sources_per_bucket=3, rows_per_part=50)
+    store.write(scan_lines(inputs.service_lines(spark, folder), CONFIG, exact_chain=False), dt.datetime(2024, 1, 31), scan_seconds=1.5)
+    pieces = stage(store.json(), "pieces")
+    opened = F.concat(F.regexp_replace("piece", ',"gaps":\\[$', ""), F.lit("}"))
+    heads = pieces.filter(F.col("place") == 1).select("source", F.from_json(opened, DOCUMENT).alias("d"))
+    tails = pieces.filter(F.col("piece").startswith("],")).select(
+        "source", F.from_json(F.concat(F.lit("{"), F.substr("piece", F.lit(3))), DOCUMENT_END)["summary"].alias("s")
+    )
+    gap = F.from_json(F.ltrim("piece", F.lit(",")), DOCUMENT_GAP).alias("g")
+    found = pieces.filter((F.col("place") > 1) & ~F.col("piece").startswith("],")).select("source", "place", gap)
+    facts = heads.join(tails, "source").selectExpr(
+        "source",
+        *[f"d.file_info.{name}" for name in ("total_lines", "parsed_lines", "malformed_lines", "error_lines", "error_bursts")],
+        "d.configuration.threshold_seconds",
+        "d.configuration.context_lines",
+        "s.total_gaps_found",
+        *[f"s.severity_breakdown.{name.upper()} AS {name}_count" for name in ("warning", "suspicious", "critical")],
+        "s.most_critical_gap.gap_number AS top_gap",
+        "s.most_critical_gap.fingerprint AS top_fingerprint",
+        "s.risk_assessment",
+        "s.entropy_score",
+        "s.timeline",
+        "s.scan_duration_seconds",
+    )
+    return found.select("source", "place", "g.*").join(facts, "source")
+
+
 @register(
     "result_tables",
-    *GAPS,
-    oracle.BURSTS,
-    select="SELECT 'gaps' AS result, source, count(*) AS row_count FROM gaps GROUP BY source "
-    "UNION ALL SELECT 'bursts', source, count(*) FROM bursts GROUP BY source",
+    *PLACED,
+    oracle.TIMELINE,
+    oracle.segments(SEGMENT),
+    select="SELECT 'lines' AS result, source, count(*) AS row_count FROM parsed GROUP BY source "
+    "UNION ALL SELECT 'gaps', source, count(*) FROM gaps GROUP BY source "
+    "UNION ALL SELECT 'bursts', source, count(*) FROM bursts GROUP BY source "
+    "UNION ALL SELECT 'stats', source, 1 FROM counts UNION ALL SELECT 'summary', source, 1 FROM counts "
+    "UNION ALL SELECT 'timeline', source, count(*) FROM cells GROUP BY source "
+    "UNION ALL SELECT 'segments', source, count(*) FROM segments GROUP BY source",
 )
 def result_tables(spark, folder):
     """Result tables written as parquet and read back by scan date."""
     target = new_folder(spark, "tables")
-    result = scan_lines(inputs.service_lines(spark, folder), CONFIG, exact_chain=False)
+    config = replace(CONFIG, segment_lines=SEGMENT)
+    result = scan_lines(inputs.service_lines(spark, folder), config, exact_chain=False)
     reports.write_tables(result, target, dt.date(2024, 1, 31))
 
     def counted(name: str) -> DataFrame:
         rows = spark.read.parquet(f"{target}/{name}").filter(F.col("scan_date") == dt.date(2024, 1, 31))
         return rows.groupBy(F.lit(name).alias("result"), "source").agg(F.count(F.lit(1)).alias("row_count"))
 
-    return counted("gaps").unionByName(counted("bursts"))
+    found = counted("lines")
+    for name in ("gaps", "bursts", "stats", "summary", "timeline", "segments"):
+        found = found.unionByName(counted(name))
+    return found
 
 
 FILE_SOURCES = (
