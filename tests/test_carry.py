@@ -8,6 +8,7 @@ from brute import random_log, scan
 from tracewarden import ScanConfig, scan_lines
 from tracewarden.operators import bursts, gaps
 from tracewarden.streaming.carry import BURST_NAMES, CarryLog, monitor_blocks
+from tracewarden.streaming.metrics import StreamMetrics
 
 CONFIG = ScanConfig(reference_year=2024, block_lines=7)
 SCHEMA = "source string, line_number bigint, line string"
@@ -69,3 +70,32 @@ def test_restart_after_a_failure_and_late_lines(spark, tmp_path):
     status = {r.source: r for r in log.status().collect()}
     assert status["log-2"].final_hash == scan(LOGS["log-2"])["chain"]
     assert status["log-1"].total_lines == len(LOGS["log-1"])
+    progress = log.progress().collect()
+    assert sum(r.lines for r in progress) == sum(map(len, LOGS.values()))
+    assert {(r.batch, r.late) for r in progress if r.late} == {(2, 3)}
+
+
+def test_listener_hears_every_batch(spark, tmp_path):
+    """A batch that failed and was run again has one row; its sums are those of the input."""
+    seen, log, feed = StreamMetrics(), CarryLog(spark, f"{tmp_path}/log", CONFIG, exact_chain=False), f"{tmp_path}/feed"
+    spark.streams.addListener(seen)
+    try:
+        for n, (low, high) in enumerate(((0, 40), (40, 1_000))):
+            rows = [r for r in ROWS if low < r[1] <= high]
+            spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(feed)
+            stream = spark.readStream.schema(SCHEMA).parquet(feed)
+            if n:
+                broken = CarryLog(spark, f"{tmp_path}/log", CONFIG, exact_chain=False)
+                broken.run = lambda lines, batch: (lines.count(), 1 / 0)
+                with pytest.raises(Exception):
+                    monitor_blocks(stream, broken, f"{tmp_path}/state").awaitTermination()
+            query = monitor_blocks(spark.readStream.schema(SCHEMA).parquet(feed), log, f"{tmp_path}/state")
+            query.awaitTermination()
+            seen.wait_for(query.runId)
+    finally:
+        spark.streams.removeListener(seen)
+    heard = sorted(seen.table(spark).collect(), key=lambda r: r.batch)
+    assert [r.batch for r in heard] == [0, 1] and len({r.query for r in heard}) == 1
+    assert sum(r.lines for r in heard) == len(ROWS)
+    assert sum(r.bytes for r in heard) == sum(len(text.encode()) for _, _, text in ROWS)
+    assert all(r.seconds > 0 and r.lines_per_second > 0 for r in heard)

@@ -25,9 +25,5 @@ def observe_lines(parsed: DataFrame, observation: Observation | str) -> DataFram
     return parsed.observe(observation, *_metrics())
 
 
-def observe_gaps(gaps: DataFrame, observation: Observation | str) -> DataFrame:
-    return gaps.observe(observation, F.count(F.lit(1)).alias("gaps"))
-
-
 def lines_per_second(lines: int, elapsed_seconds: float) -> float:
     return lines / max(0.001, elapsed_seconds)

@@ -25,8 +25,9 @@ from tracewarden.queries import inputs, oracle
 from tracewarden.queries.inputs import CONFIG
 from tracewarden.sources.staging import new_folder, stage
 from tracewarden.sources.text import file_facts, scan_text
-from tracewarden.streaming import carry, monitor
+from tracewarden.streaming import carry, monitor, silence
 from tracewarden.streaming.files import watch_folder
+from tracewarden.streaming.metrics import StreamMetrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -868,7 +869,9 @@ def stream_status(spark, folder):
     )
 
 
-def _run_blocks(spark: SparkSession, folder: str, slices: int = 3) -> carry.CarryLog:
+def _run_blocks(
+    spark: SparkSession, folder: str, slices: int = 3, seen: StreamMetrics | None = None
+) -> carry.CarryLog:
     """Feed the service lines to the block-wise monitor in slices, each by a query of its own."""
     feed, kept = new_folder(spark, "feed"), new_folder(spark, "state")
     log = carry.CarryLog(spark, new_folder(spark, "carry"), CONFIG, exact_chain=False)
@@ -878,7 +881,10 @@ def _run_blocks(spark: SparkSession, folder: str, slices: int = 3) -> carry.Carr
     for part in range(slices):
         lines.filter(F.floor((F.col("line_number") - 1) / F.lit(size)) == part).write.mode("append").parquet(feed)
         stream = spark.readStream.schema(lines.schema).parquet(feed)
-        carry.monitor_blocks(stream, log, kept).awaitTermination()
+        query = carry.monitor_blocks(stream, log, kept)
+        query.awaitTermination()
+        if seen:
+            seen.wait_for(query.runId)
     return log
 
 
@@ -896,6 +902,34 @@ def stream_bursts(spark, folder):
     return found.select("source", "burst_number", "line_number_start", "line_number_end", "line_count", *ends)
 
 
+@register(
+    "stream_progress",
+    *GAPS,
+    """
+sizes AS (SELECT CAST(ceil(max(line_number) / 3.0) AS BIGINT) AS size FROM lines),
+per_source AS (
+  SELECT (line_number - 1) // size AS batch, source, count(*) AS lines, count(ts) AS parsed,
+         count(*) - count(ts) AS malformed, count(*) FILTER (is_error) AS errors, CAST(sum(octet_length(encode(line))) AS BIGINT) AS bytes
+  FROM parsed CROSS JOIN sizes GROUP BY ALL),
+gaps_by AS (
+  SELECT (line_number_end - 1) // size AS batch, source, count(*) AS gaps FROM gaps CROSS JOIN sizes GROUP BY ALL)""",
+    select="SELECT batch, source, lines, parsed, malformed, errors, coalesce(gaps, 0) AS gaps, "
+    "CAST(sum(lines) OVER (PARTITION BY batch) AS BIGINT) AS batch_lines, "
+    "CAST(sum(bytes) OVER (PARTITION BY batch) AS BIGINT) AS batch_bytes FROM per_source LEFT JOIN gaps_by USING (batch, source)",
+)
+def stream_progress(spark, folder):
+    """Three micro-batches: counts per source from the carry, per batch as a listener heard them."""
+    seen = StreamMetrics()
+    spark.streams.addListener(seen)
+    try:
+        log = _run_blocks(spark, folder, seen=seen)
+    finally:
+        spark.streams.removeListener(seen)
+    per_source = log.progress().withColumn("batch", F.col("batch").cast("bigint")).drop("late")
+    heard = seen.table(spark).selectExpr("batch", "lines AS batch_lines", "bytes AS batch_bytes")
+    return per_source.join(F.broadcast(heard), "batch")
+
+
 @register(
     "folder_stream_summary",
     *FILE_SOURCES,
@@ -936,6 +970,33 @@ def activity_periods(spark, folder):
     )
 
 
+@register("activity_stream", "", select="")
+def activity_stream(spark, folder):
+    """The same stretches from a stream of four slices of time that arrive out of order, within the watermark.
+
+    A last line far ahead lets the watermark pass every session.
+    """
+    feed, sink, kept = (new_folder(spark, name) for name in ("feed", "sessions", "state"))
+    parsed = stage(services(spark, folder).select("source", "ts_us"), "parsed")
+    low, high = parsed.agg(F.min("ts_us"), F.max("ts_us")).first()
+    width = (high - low) // 4 + 1
+    last = spark.createDataFrame([("", high + 4 * width + 86_400_000_000)], parsed.schema)
+    slices = [parsed.filter(F.expr(f"(ts_us - {low}) div {width}") == part) for part in (1, 0, 3, 2)]
+    for rows in (*slices, last):
+        rows.write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(parsed.schema).parquet(feed)
+        sessions = silence.activity_stream(stream, CONFIG.threshold_seconds, f"{2 * width // 1_000_000 + 1} seconds")
+        writer = sessions.writeStream.format("parquet").option("path", sink).option("checkpointLocation", kept)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.schema(sessions.schema).parquet(sink).filter("source <> ''")
+    ends = [F.unix_micros(name).alias(name.replace("_ts", "_us")) for name in ("first_ts", "last_ts")]
+    exact = found.select("source", *ends, "line_count")
+    return exact.select("source", instant("first_us", "first_ts"), instant("last_us", "last_ts"), "line_count")
+
+
+ORACLE["activity_stream"] = ORACLE["activity_periods"]
+
+
 # --- further signals -----------------------------------------------------------------------
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,6 +25,7 @@ from tracewarden.operators.blocks import block_of, number_rows, with_source_fact
 from tracewarden.operators.chain import START
 from tracewarden.operators.parsing import parse_lines
 from tracewarden.sources.staging import stage
+from tracewarden.streaming.metrics import observe_arrivals
 
 LINE = "source string, line_number bigint, line string, ts_us bigint, parser string, is_error boolean"
 SOURCE = (
@@ -274,6 +275,30 @@ class CarryLog:
     def late(self) -> DataFrame:
         return self._written("late")
 
+    def progress(self) -> DataFrame:
+        """What each micro-batch added to each of its sources: ``batch, source, lines, parsed, malformed, errors, gaps, late``.
+
+        The difference of two versions of the counters, so a batch that was run again counts once.
+        """
+        versions = self.spark.read.parquet(f"{self.folder}/sources").filter(F.col("batch") <= self.last_batch())
+        along = Window.partitionBy("source").orderBy("batch")
+
+        def added(counter: str) -> Column:
+            return F.col(counter) - F.coalesce(F.lag(counter).over(along), F.lit(0))
+
+        steps = versions.select(
+            "batch",
+            "source",
+            added("total_lines").alias("lines"),
+            added("parsed_lines").alias("parsed"),
+            (added("total_lines") - added("parsed_lines")).alias("malformed"),
+            added("error_lines").alias("errors"),
+            added("gap_count").alias("gaps"),
+        )
+        late = self.spark.read.parquet(f"{self.folder}/late").groupBy("batch", "source").agg(F.count(F.lit(1)).alias("late"))
+        joined = steps.join(late, ["batch", "source"], "left").na.fill(0, ["late"])
+        return joined.filter("lines > 0 OR late > 0")
+
     def status(self) -> DataFrame:
         """Counters, span and digest of every source."""
         return self.carry(self.last_batch()).sources.selectExpr(
@@ -294,5 +319,5 @@ def monitor_blocks(
     stream: DataFrame, log: CarryLog, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Run ``log`` over a stream of ``source, line_number, line``: what is there now, or, with ``every``, again and again at that interval."""
-    writer = stream.writeStream.foreachBatch(log.run).option("checkpointLocation", checkpoint)
+    writer = observe_arrivals(stream).writeStream.foreachBatch(log.run).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
