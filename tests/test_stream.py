@@ -1,4 +1,5 @@
 import os
+import time
 
 from brute import random_log, scan
 
@@ -79,6 +80,28 @@ def test_watched_folder_scans_each_file_once(spark, tmp_path):
     assert found == {name: (len(w["gaps"]), w["chain"]) for name, w in ((n, scan(x)) for n, x in LOGS.items())}
 
 
+def test_folder_is_watched_until_stopped(spark, tmp_path):
+    """Files that come while the query runs are scanned without a new start."""
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    found = {}
+
+    def handle(result, batch_id):
+        found.update({os.path.basename(r.source): r.total_gaps_found for r in result.summary.collect()})
+
+    query = files.watch_folder(spark, str(inbox), CONFIG, handle, str(tmp_path / "state"), every="1 second")
+    try:
+        for name in ("log-1", "log-3"):
+            (tmp_path / name).write_text("\n".join(LOGS[name]))
+            os.rename(tmp_path / name, inbox / name)  # arrives whole
+            end = time.monotonic() + 90
+            while name not in found and time.monotonic() < end:
+                time.sleep(0.2)
+            assert query.isActive and found[name] == len(scan(LOGS[name])["gaps"])
+    finally:
+        query.stop()
+
+
 def test_activity_stream_closes_sessions_behind_the_watermark(spark, tmp_path):
     base = str(tmp_path)
     texts = ["2024-01-01 00:00:00", "2024-01-01 00:05:00", "2024-01-01 00:10:00.000001", "2024-01-02 00:00:00"]

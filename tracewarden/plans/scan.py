@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewarden.config import ScanConfig
-from tracewarden.operators import bursts, chain, context, fleet, gaps, rollover, stats
+from tracewarden.operators import bursts, chain, context, fleet, gaps, rollover, signals, stats
 from tracewarden.operators.parsing import parse_lines
 from tracewarden.sources.staging import stage
 from tracewarden.sources.text import file_facts, scan_parsed_text
@@ -22,12 +22,18 @@ class ScanResult:
     """
 
     def __init__(
-        self, parsed: DataFrame, config: ScanConfig, files: DataFrame | None, exact_chain: bool
+        self,
+        parsed: DataFrame,
+        config: ScanConfig,
+        files: DataFrame | None,
+        exact_chain: bool,
+        policies: DataFrame | None = None,
     ) -> None:
         self.parsed = parsed
         self.config = config
         self._files = files
         self._exact_chain = exact_chain
+        self._policies = policies
 
     @cached_property
     def _marks(self) -> DataFrame:
@@ -35,8 +41,11 @@ class ScanResult:
 
     @cached_property
     def all_gaps(self) -> DataFrame:
-        """Every gap, scored, without text."""
-        return stage(gaps.number_gaps(gaps.raw_gaps(self._marks, self.config), self.config), "gaps")
+        """Every gap, scored and judged by the policy of its source, without text."""
+        scored = gaps.number_gaps(gaps.raw_gaps(self._marks, self.config), self.config)
+        if self._policies is not None:
+            scored = signals.apply_policies(scored, self._policies)
+        return stage(scored, "gaps")
 
     @cached_property
     def gaps(self) -> DataFrame:
@@ -96,21 +105,28 @@ def scan_parsed(
     config: ScanConfig,
     files: DataFrame | None = None,
     exact_chain: bool = True,
+    policies: DataFrame | None = None,
 ) -> ScanResult:
     """Scan parsed lines that are cheap to re-read (staged, or a table of their own).
 
     ``exact_chain=False`` leaves out the serial per-source chain; the segment digests cover
-    the same lines in parallel.
+    the same lines in parallel. ``policies`` (``signals.apply_policies``) decide on severity and
+    confidence, and with them on the severity filter, the summary and the risk level.
     """
-    return ScanResult(parsed, config, files, exact_chain)
+    return ScanResult(parsed, config, files, exact_chain, policies)
 
 
-def scan_lines(lines: DataFrame, config: ScanConfig | None = None, exact_chain: bool = True) -> ScanResult:
+def scan_lines(
+    lines: DataFrame,
+    config: ScanConfig | None = None,
+    exact_chain: bool = True,
+    policies: DataFrame | None = None,
+) -> ScanResult:
     """Scan a table of ``source, line_number, line``; numbers must be 1, 2, 3, ... within each source."""
     config = config or ScanConfig()
     parsed = stage(parse_lines(lines, config), "parsed")
     require_dense(parsed)
-    return scan_parsed(rollover.applied(parsed, config), config, exact_chain=exact_chain)
+    return scan_parsed(rollover.applied(parsed, config), config, exact_chain=exact_chain, policies=policies)
 
 
 def require_dense(lines: DataFrame) -> None:
@@ -145,8 +161,9 @@ def scan_files(
     paths: str | list[str],
     config: ScanConfig | None = None,
     exact_chain: bool = True,
+    policies: DataFrame | None = None,
 ) -> ScanResult:
     """Scan text logs; every file is one source."""
     config = config or ScanConfig()
     parsed = rollover.applied(scan_parsed_text(spark, paths, config), config)
-    return scan_parsed(parsed, config, file_facts(spark, paths), exact_chain)
+    return scan_parsed(parsed, config, file_facts(spark, paths), exact_chain, policies)

@@ -902,6 +902,25 @@ def stream_bursts(spark, folder):
     return found.select("source", "burst_number", "line_number_start", "line_number_end", "line_count", *ends)
 
 
+@register(
+    "stream_late_lines",
+    *LINES,
+    select="SELECT source, line_number, line, 'late' AS reason FROM lines WHERE line_number % 7 = 3",
+)
+def stream_late_lines(spark, folder):
+    """All lines, and then every seventh once more: the second copies are late and change no counter."""
+    feed, kept = new_folder(spark, "feed"), new_folder(spark, "state")
+    log = carry.CarryLog(spark, new_folder(spark, "carry"), CONFIG, exact_chain=False)
+    lines = stage(inputs.service_lines(spark, folder), "lines")
+    for arriving in (lines, lines.filter("line_number % 7 = 3")):
+        arriving.write.mode("append").parquet(feed)
+        carry.monitor_blocks(spark.readStream.schema(lines.schema).parquet(feed), log, kept).awaitTermination()
+    counted = log.status().agg(F.sum("total_lines")).first()[0]
+    if counted != lines.count():
+        raise AssertionError(f"{counted} lines were counted")
+    return log.late()
+
+
 @register(
     "stream_progress",
     *GAPS,
@@ -1131,6 +1150,45 @@ def policy_gaps(spark, folder):
     return judged.select("source", "gap_number", "severity", "tamper_confidence")
 
 
+POLICY = (
+    *[part.replace("\ngaps AS (", "\nplain_gaps AS (") for part in GAPS],
+    """
+gaps AS (
+  SELECT p.* REPLACE (
+      CASE WHEN p.source = 'svc-3' THEN p.severity WHEN secs > 600 * (k + 1) * (k + 1) THEN 'CRITICAL'
+           WHEN secs >= 600 THEN 'SUSPICIOUS' ELSE 'WARNING' END AS severity,
+      CASE WHEN p.source = 'svc-3' THEN tamper_confidence ELSE least(100.0::DOUBLE, tamper_confidence * (0.5::DOUBLE + k / 16.0::DOUBLE)) END
+        AS tamper_confidence)
+  FROM plain_gaps p JOIN (SELECT source, gap_number, secs, CAST(substr(source, 5) AS BIGINT) AS k FROM scored) USING (source, gap_number))""",
+    oracle.BURSTS,
+    oracle.COUNTS,
+    oracle.TOTALS,
+    oracle.PLACEMENT,
+    oracle.RISK,
+)
+
+
+@register(
+    "policy_summary",
+    *POLICY,
+    select="SELECT source, gap_count AS total_gaps_found, warning_count, suspicious_count, critical_count, "
+    "highest_confidence, entropy_score, risk_assessment, status_code FROM risks",
+)
+def policy_summary(spark, folder):
+    """Risk levels and status under a policy per service; one service keeps the rules of the scan."""
+    lines = inputs.service_lines(spark, folder)
+    number = F.substr("source", F.lit(5)).cast("bigint")
+    known = lines.select("source").distinct().filter("source <> 'svc-3'").withColumn("k", number)
+    policies = known.selectExpr(
+        "source", "600D AS suspicious_seconds", "600D * (k + 1) * (k + 1) AS critical_seconds", "0.5D + k / 16D AS weight"
+    )
+    summary = scan_lines(lines, CONFIG, exact_chain=False, policies=policies).summary
+    counts = [F.col(f"severity_breakdown.{name.upper()}").alias(f"{name}_count") for name in ("warning", "suspicious", "critical")]
+    return summary.select(
+        "source", "total_gaps_found", *counts, "highest_confidence", "entropy_score", "risk_assessment", "status_code"
+    )
+
+
 # --- rules that the usual lines do not reach ------------------------------------------------
 
 

@@ -22,9 +22,11 @@ def watch_folder(
     handle: Callable[[ScanResult, int], None],
     checkpoint: str,
     max_files_per_batch: int = 1000,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Scan each arriving file as one source and hand the results to ``handle(result, batch_id)``.
 
+    Without ``every`` the query ends after the files that are there now; with an interval it keeps watching.
     The file source delivers whole files, so numbering inside a micro-batch is complete. A
     batch may be replayed after a failure: write per ``batch_id`` with overwrite.
     """
@@ -42,9 +44,5 @@ def watch_folder(
         parsed = number_lines(stage(parse_lines(rows, config), "parsed"))
         handle(scan_parsed(parsed, config), batch_id)
 
-    return (
-        located.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    writer = located.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
