@@ -693,7 +693,7 @@ top AS (
     "JOIN timelines l USING (source) JOIN top t ON t.source = g.source AND t.nth = 1",
 )
 def report_documents(spark, folder):
-    """JSON documents in buckets and short parts: every field read back, pieces placed by the manifest."""
+    """JSON documents in buckets and short parts: gaps, counters and verdict read back, pieces placed by the manifest."""
     store = ReportStore(spark, new_folder(spark, "store"), sources_per_bucket=3, rows_per_part=50)
     store.write(scan_lines(inputs.service_lines(spark, folder), CONFIG, exact_chain=False), dt.datetime(2024, 1, 31), scan_seconds=1.5)
     pieces = stage(store.json(), "pieces")
