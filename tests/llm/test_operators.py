@@ -224,6 +224,44 @@ def test_repeats_in_small_alphabets(spark, tmp_path, alphabet):
     assert sorted(map(tuple, found)) == sorted(brute.without_repeats(docs))
 
 
+@pytest.mark.parametrize("alphabet", [3, 40, 5_000])
+def test_long_repeats_settled_by_symbols(spark, tmp_path, alphabet):
+    """Repeats of 26 to 600 words, cut, joined and nested, so that settled symbols and windows at their ends mix."""
+    draw = random.Random(alphabet)
+    word = lambda n: [f"w{draw.randrange(alphabet)}" for _ in range(n)]
+    passages = [word(draw.choice([26, 60, 200, 600])) for _ in range(8)]
+    docs = []
+    for n in range(60):
+        own = word(draw.randrange(40))
+        for _ in range(draw.randrange(4)):
+            p = draw.choice(passages)
+            a = draw.choice([0, 0, draw.randrange(len(p))])
+            own += p[a : a + draw.choice([15, 100, 600])] + word(draw.choice([0, 0, 1, 30]))
+        docs.append((draw.randrange(10**6) if n % 10 else n, " ".join(own)))
+    spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    found = result(spark, "op8_substring_dedup", str(tmp_path))
+    assert sorted(map(tuple, found)) == sorted(brute.without_repeats(docs))
+
+
+def test_a_repeat_of_500_words_is_settled_by_long_symbols(spark):
+    draw = random.Random(10)
+    word = lambda n: [f"w{draw.randrange(10_000)}" for _ in range(n)]
+    repeat = word(500)
+    docs = [(n, " ".join(word(draw.randrange(100, 300)) + repeat + word(200))) for n in range(3)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    names = {(r["doc_id"], r["name"]) for r in substring_dedup.shared_names(frame).filter("settled").collect()}
+    for doc_id, text in docs:
+        hashes, offsets = words.word_hashes([text.encode()])
+        symbols = substring_dedup.Symbols(hashes, offsets)
+        settled = np.array([n for d, n in names if d == doc_id], np.int64).view(np.uint64)
+        starts, ends = symbols.inside(0, settled)
+        if doc_id == 0:
+            assert not len(starts)
+            continue
+        covered = {w for a, b in zip(starts, ends) for w in range(a, b)}
+        assert len(covered) >= 400 and (ends - starts).max() >= 60 and (ends - starts).min() > substring_dedup.WIDTH
+
+
 def test_chosen_symbols_are_the_same_wherever_a_window_stands():
     draw = random.Random(9)
     window = [draw.choice("abcd") for _ in range(substring_dedup.WIDTH)]
