@@ -325,16 +325,21 @@ def repeated_windows(docs: DataFrame, names: DataFrame) -> DataFrame:
     return _lists(covered.unionByName(names.filter("settled")), "repeated")
 
 
-def cut_words(text: bytes, repeated: np.ndarray, settled: np.ndarray) -> tuple[int, str, bytes]:
-    """Number of words removed, hash of all words and what is left, joined by blanks."""
-    words = text.split()
-    hashes, offsets = word_hashes([text])
-    at = np.flatnonzero(np.isin(windows(hashes, WIDTH), repeated))
-    covered = _between(len(words), at, at + WIDTH)
-    if len(settled):
-        covered |= _between(len(words), *Symbols(hashes, offsets).inside(0, settled))
-    left = b" ".join([w for w, out in zip(words, covered.tolist()) if not out])
-    return int(covered.sum()), hashlib.sha256(b" ".join(words)).hexdigest(), left
+def cut_words(texts: list[bytes], repeated: list[np.ndarray], settled: list[np.ndarray]):
+    """Per text the number of words removed, the hash of all words and what is left, joined by blanks.
+
+    ``repeated`` are hashes of windows and ``settled`` names of symbols of each text.
+    """
+    hashes, offsets = word_hashes(texts)
+    every, symbols = windows(hashes, WIDTH), Symbols(hashes, offsets)
+    for number, (text, a, b) in enumerate(zip(texts, offsets[:-1], offsets[1:])):
+        words = text.split()
+        at = np.flatnonzero(np.isin(every[a : max(a, b - WIDTH + 1)], repeated[number]))
+        covered = _between(b - a, at, at + WIDTH)
+        starts, ends = symbols.inside(number, settled[number])
+        covered |= _between(b - a, starts - a, ends - a)
+        left = b" ".join([w for w, out in zip(words, covered.tolist()) if not out])
+        yield int(covered.sum()), hashlib.sha256(b" ".join(words)).hexdigest(), left
 
 
 def remove_repeats(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -355,10 +360,9 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> tuple[DataFrame, Data
 
     def work(batches):
         for batch in batches:
-            found = [
-                cut_words(t, items, symbols)
-                for t, items, symbols in zip(raw_bytes(batch.column(1)), _names(batch.column(2)), _names(batch.column(3)))
-            ]
+            items, symbols, found = _names(batch.column(2)), _names(batch.column(3)), []
+            for some, texts in _groups(list(range(batch.num_rows)), raw_bytes(batch.column(1))):
+                found += cut_words(texts, [items[n] for n in some], [symbols[n] for n in some])
             columns = [
                 batch.column(0),
                 pa.array([f[1] for f in found], pa.string()),
