@@ -100,3 +100,32 @@ def test_table_source_numbers_across_buckets(spark):
         got = lines.filter(F.col("source") == key).orderBy("line_number").collect()
         assert [r.line_number for r in got] == list(range(1, len(got) + 1))
         assert [r.line for r in got] == [t for _, k, t in rows if k == key]
+
+
+def test_byte_order_marks_stay_in_line_one(spark, tmp_path):
+    """With and without a last line end, over several splits, doubled, and files that only look as if."""
+    mark = b"\xef\xbb\xbf"
+    body = b"\r\n".join(b"2024-01-01 00:00:%02d ERROR x%d" % (n % 60, n) for n in range(300))
+    logs = {
+        "a.log": mark + body,
+        "b.log": mark + body + b"\n",
+        "c.log": body + b"\n",
+        "d.log": mark + mark + body,
+        "e.log": body + b"\n" + mark + b"tail\n\n\n",
+        "f.log": mark + b"\n",
+        "g.log": b"\n\n\n",
+        "h.log": b"one \xff\xfe\xfd",
+    }
+    for name, data in logs.items():
+        _write(tmp_path, name, data)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        found = scan_text(spark, str(tmp_path))
+        for name, data in logs.items():
+            want = [raw.decode("utf-8", errors="replace").rstrip("\r") for raw in data.split(b"\n")]
+            assert _lines(found, name) == (want[:-1] if data.endswith(b"\n") else want)
+        parsed = scan_parsed_text(spark, str(tmp_path / "a.log"), ScanConfig()).orderBy("line_number").head()
+        assert parsed.parser == "ISO_SPACE" and parsed.is_error and parsed.line.startswith("﻿2024")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

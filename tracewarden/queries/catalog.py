@@ -24,7 +24,7 @@ from tracewarden.plans.scan import scan_files, scan_lines
 from tracewarden.queries import inputs, oracle
 from tracewarden.queries.inputs import CONFIG
 from tracewarden.sources.staging import new_folder, stage
-from tracewarden.sources.text import file_facts, scan_text
+from tracewarden.sources.text import BYTE_ORDER_MARK, file_facts, scan_text
 from tracewarden.streaming import carry, monitor, silence
 from tracewarden.streaming.files import watch_folder
 from tracewarden.streaming.metrics import StreamMetrics
@@ -1300,5 +1300,23 @@ def one_file_in_splits(spark, folder):
     return found.select(part.alias("source"), "line_number", "line")
 
 
+@register(
+    "marked_text_lines",
+    f"""
+files AS (
+  SELECT event_id // {inputs.FILE_EVENTS} AS part, event_id,
+    CASE WHEN event_id % {2 * inputs.FILE_EVENTS} = 0 THEN chr(65279) ELSE '' END || {oracle.EVENT_LINE} AS line
+  FROM events
+)""",
+    select="SELECT 'part-' || part AS source, "
+    "row_number() OVER (PARTITION BY part ORDER BY event_id) AS line_number, line FROM files",
+)
+def marked_text_lines(spark, folder):
+    """Text files of which every second starts with a byte-order mark, which is part of line 1."""
+    path = inputs.event_files(spark, folder, new_folder(spark, "event_files"), BYTE_ORDER_MARK)
+    part = F.concat(F.lit("part-"), F.regexp_extract("source", "part=([0-9]+)", 1))
+    return scan_text(spark, f"{path}/part=*").select(part.alias("source"), "line_number", "line")
+
+
 for _plain in ("offset_timestamps", "custom_zone_timestamps"):
     ORACLE[_plain] = ORACLE[_plain].removeprefix("WITH \n")

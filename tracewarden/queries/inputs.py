@@ -71,12 +71,15 @@ def custom_lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def event_files(spark: SparkSession, folder: str, target: str) -> str:
-    """Events written as text log files of ``FILE_EVENTS`` lines each, in event order."""
+def event_files(spark: SparkSession, folder: str, target: str, mark: str = "") -> str:
+    """Events written as text log files of ``FILE_EVENTS`` lines each, in event order; every second starts with ``mark``."""
     events = table(spark, folder, "events")
     lines = events.select(
         F.floor(F.col("event_id") / FILE_EVENTS).cast("bigint").alias("part"), "event_id", event_line().alias("line")
     )
+    if mark:
+        starts = F.col("event_id") % (2 * FILE_EVENTS) == 0
+        lines = lines.withColumn("line", F.concat(F.when(starts, mark).otherwise(""), "line"))
     ordered = lines.repartition("part").sortWithinPartitions("part", "event_id")
     ordered.select("part", "line").write.partitionBy("part").text(target)
     return target

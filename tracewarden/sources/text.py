@@ -6,6 +6,9 @@ scan is staged once with each line's split and a rising id, the lines of earlier
 the same file are added up on a table of one row per split, and the number follows by
 arithmetic. The ids are read back from the staged table rather than computed twice, so a
 change of cluster size between two passes cannot shift the splits.
+
+The reader swallows a byte-order mark at the start of a file. It is given back to line 1 of files that have three bytes
+more than their lines and line ends add up to; sizes of compressed files do not tell, so theirs stay dropped.
 """
 
 from __future__ import annotations
@@ -17,8 +20,10 @@ from tracewarden.config import ScanConfig
 from tracewarden.operators.parsing import parse_lines
 from tracewarden.sources.staging import stage
 
-# two integers per split, ~50 bytes in a broadcast map: at most ~150 MB, and 100 TB has ~800,000 splits of 128 MB
+# two integers and a flag per split, ~60 bytes in a broadcast map: at most ~180 MB, and 100 TB has ~800,000 splits of 128 MB
 MAX_BROADCAST_SPLITS = 3_000_000
+BYTE_ORDER_MARK = "\ufeff"
+COMPRESSED = r"\.(gz|bz2|zst|lz4|snappy|deflate)$"
 
 
 def _paths(paths: str | list[str]) -> list[str]:
@@ -52,37 +57,55 @@ def read_splits(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return decode_splits(spark.read.option("lineSep", "\n").text(_paths(paths)))
 
 
-def decode_splits(raw: DataFrame) -> DataFrame:
+def located_lines(raw: DataFrame) -> DataFrame:
+    """Decoded lines with their file, its size, their split and their length in bytes with one line end."""
     return raw.select(
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("row_id"),
+        F.col("_metadata.file_size").alias("file_size"),
+        (F.octet_length("value") + 1).alias("line_bytes"),
         F.rtrim(F.make_valid_utf8(F.col("value")), F.lit("\r")).alias("line"),
     )
 
 
+def decode_splits(raw: DataFrame) -> DataFrame:
+    return located_lines(raw).withColumn("row_id", F.monotonically_increasing_id())
+
+
 def number_lines(staged: DataFrame) -> DataFrame:
-    """Replace split and row id of a staged scan by a dense 1-based ``line_number`` per source."""
+    """Replace place, size and row id of a staged scan by a dense 1-based ``line_number`` per source."""
     splits = staged.groupBy("source", "split_start").agg(
-        F.min("row_id").alias("__first"), F.count(F.lit(1)).alias("__lines")
+        F.min("row_id").alias("__first"),
+        F.count(F.lit(1)).alias("__lines"),
+        F.sum(F.col("line_bytes").cast("bigint")).alias("__bytes"),
+        F.max("file_size").alias("__size"),
     )
     earlier = (
         Window.partitionBy("source").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
     )
-    shift = F.coalesce(F.sum("__lines").over(earlier), F.lit(0)) - F.col("__first") + 1
+    before = F.sum("__lines").over(earlier)
+    shift = F.coalesce(before, F.lit(0)) - F.col("__first") + 1
+    # a last line without an end counts one byte too many here
+    unread = F.col("__size") - F.sum("__bytes").over(Window.partitionBy("source"))
+    marked = before.isNull() & unread.isin(2, 3) & ~F.lower("source").rlike(COMPRESSED)
     # one integer names the split; should two splits share it, their full names do
     named = F.xxhash64("source", "split_start")
-    offsets = stage(splits.select("source", "split_start", named.alias("__split"), shift.alias("__shift")), "splits")
+    offsets = splits.select(
+        "source", "split_start", named.alias("__split"), shift.alias("__shift"), marked.alias("__marked")
+    )
+    offsets = stage(offsets, "splits")
     count, names = offsets.agg(F.count(F.lit(1)), F.count_distinct("__split")).first()
     if count == names:
-        narrow = offsets.select("__split", "__shift")
+        narrow = offsets.select("__split", "__shift", "__marked")
         few = F.broadcast(narrow) if count <= MAX_BROADCAST_SPLITS else narrow
         numbered = staged.withColumn("__split", named).join(few, "__split")
     else:
         numbered = staged.join(offsets, ["source", "split_start"])
-    rest = [c for c in staged.columns if c not in ("source", "split_start", "row_id")]
-    number = (F.col("row_id") + F.col("__shift")).cast("bigint").alias("line_number")
-    return numbered.select("source", number, *rest)
+    number = (F.col("row_id") + F.col("__shift")).cast("bigint")
+    line = F.when(F.col("__marked") & (number == 1), F.concat(F.lit(BYTE_ORDER_MARK), "line")).otherwise(F.col("line"))
+    placed = ("source", "split_start", "file_size", "line_bytes", "row_id")
+    rest = [line.alias(c) if c == "line" else F.col(c) for c in staged.columns if c not in placed]
+    return numbered.select("source", number.alias("line_number"), *rest)
 
 
 def scan_text(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from tracewarden.config import ScanConfig
 from tracewarden.operators.parsing import parse_lines
 from tracewarden.plans.scan import ScanResult, scan_parsed
 from tracewarden.sources.staging import stage
-from tracewarden.sources.text import number_lines
+from tracewarden.sources.text import located_lines, number_lines
 
 
 def watch_folder(
@@ -33,16 +33,10 @@ def watch_folder(
     stream = (
         spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", max_files_per_batch).text(folder)
     )
-    located = stream.select(
-        F.col("_metadata.file_path").alias("source"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.rtrim(F.make_valid_utf8(F.col("value")), F.lit("\r")).alias("line"),
-    )
-
     def run(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select("*", F.monotonically_increasing_id().alias("row_id"))
         parsed = number_lines(stage(parse_lines(rows, config), "parsed"))
         handle(scan_parsed(parsed, config), batch_id)
 
-    writer = located.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    writer = located_lines(stream).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
