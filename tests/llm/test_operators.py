@@ -1,5 +1,6 @@
 """The registered queries on odd rows and empty tables, against plain readings of their contracts."""
 
+import gzip
 import hashlib
 import importlib.util
 import os
@@ -11,7 +12,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tracewarden.llm import decontamination, near_dedup, packing, personal_data, substring_dedup, words
+from tracewarden.llm import decontamination, near_dedup, packing, personal_data, substring_dedup, warc, words
 from tracewarden.llm.components import components
 from tracewarden.llm.decontamination import common_subsequence, contaminated
 from tracewarden.llm.quality_rules import apply_rules
@@ -94,6 +95,22 @@ def test_broken_archive_is_an_error():
             list(parse_records(bad))
 
 
+def test_archives_are_unpacked_record_by_record():
+    """Members and pieces end anywhere in a record; what is held stays near one record."""
+    draw = random.Random(3)
+    bodies = [b"", b"x", bytes(3_000_000), *[draw.randbytes(draw.randrange(200_000)) for _ in range(40)]]
+    record = b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+    plain = b"".join(record % (len(b), b) for b in bodies)
+    cuts = sorted(draw.randrange(len(plain)) for _ in range(30))
+    members = b"".join(gzip.compress(plain[a:b]) for a, b in zip([0, *cuts], [*cuts, len(plain)]))
+    for archive in (plain, gzip.compress(plain), members):
+        assert [r["payload"] for r in parse_records(archive)] == bodies
+        with pytest.raises(ValueError):
+            list(parse_records(archive[: len(archive) * 2 // 3]))
+    rest = warc._Bytes(gzip.compress(record % (10, b"a" * 10) * 1_000_000))
+    assert rest.fill(100) and len(rest.held) < 80 << 20
+
+
 def test_classifier_on_odd_rows(spark, odd, rows):
     found = result(spark, "op4_quality_classifier", odd)
     assert Counter(r["doc_id"] for r in found) == Counter(d for d, _ in rows)

@@ -6,18 +6,17 @@ either direction with equi-joins and emits one nested row per capture.
 
 Writing uses Spark's text writer: the text of a capture's records, with the two line ends that
 close a record as the line separator. Archives therefore land wherever Spark can write. Reading
-parses the bytes of whole archives (also gzip members) by their content lengths.
+takes records out of archives (also of gzip members) by their content lengths, unpacking a piece at a time.
 
 Scale: which record of equal payloads is the response is found on digests only, combined
 map-side; digests that occur once take no part in the join, and the join key is salted, so one
 payload shared by a third of all pages is spread. Archives hold at most ``RECORDS_PER_FILE``
-captures, so a reading task has a bounded file. Records meet on the salt-free id of their
+captures and are unpacked record by record, so a reading task holds a packed file and a few records. Records meet on the salt-free id of their
 capture, which few records share. Equal rows are numbered within the partitions of that first join.
 """
 
 from __future__ import annotations
 
-import io
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -33,6 +32,8 @@ RECORDS_PER_FILE = 2_000
 SALTS = 32
 END = "\r\n\r\n"
 DATE = "2026-01-01T00:00:00Z"
+GZIP = b"\x1f\x8b"
+PIECE = 1 << 16  # bytes of an archive that are unpacked at a time
 
 # ---- writing ------------------------------------------------------------------------------
 
@@ -150,16 +151,57 @@ RECORDS = (
 )
 
 
-def _inflated(data: bytes) -> bytes:
-    """Bytes of an archive; gzip members one after the other are unpacked."""
-    if data[:2] != b"\x1f\x8b":
-        return data
-    out, rest = io.BytesIO(), data
-    while rest[:2] == b"\x1f\x8b":
-        member = zlib.decompressobj(wbits=31)
-        out.write(member.decompress(rest) + member.flush())
-        rest = member.unused_data
-    return out.getvalue()
+class _Bytes:
+    """Bytes of an archive in order, a piece at a time; gzip members one after the other are unpacked.
+
+    ``held`` has what is read and not yet dropped: about a record, never the whole unpacked archive.
+    """
+
+    def __init__(self, data: bytes):
+        self.data, self.at, self.member = data, 0, None
+        self.packed = data[:2] == GZIP
+        self.held, self.dropped = bytearray(), 0
+
+    def more(self) -> bool:
+        """Read another piece; false at the end. A member that breaks off ends the archive."""
+        if self.packed and self.member is None:
+            if self.data[self.at : self.at + 2] != GZIP:
+                return False
+            self.member = zlib.decompressobj(wbits=31)
+        piece = self.data[self.at : self.at + PIECE]
+        if not piece:
+            return False
+        self.at += len(piece)
+        if self.packed:
+            self.held += self.member.decompress(piece)
+            if self.member.eof:
+                self.at -= len(self.member.unused_data)
+                self.member = None
+        else:
+            self.held += piece
+        return True
+
+    def fill(self, size: int) -> bool:
+        """Whether ``size`` bytes are held, after reading what that takes."""
+        while len(self.held) < size:
+            if not self.more():
+                return False
+        return True
+
+    def find(self, mark: bytes) -> int:
+        """Where ``mark`` is in what is held, after reading on as far as it."""
+        start = 0
+        while (found := self.held.find(mark, start)) < 0:
+            start = max(0, len(self.held) - len(mark) + 1)
+            if not self.more():
+                raise ValueError(f"record at byte {self.dropped} is cut off")
+        return found
+
+    def take(self, size: int) -> bytes:
+        taken = bytes(self.held[:size])
+        del self.held[:size]
+        self.dropped += size
+        return taken
 
 
 def _fields(head: bytes) -> list[tuple[str, str]]:
@@ -175,24 +217,27 @@ def _fields(head: bytes) -> list[tuple[str, str]]:
 
 
 def parse_records(data: bytes) -> Iterator[dict]:
-    """Records of one archive. Parsing stops with an error at anything that is no record."""
-    data = _inflated(data)
-    at = 0
+    """Records of one archive, of any size. Parsing stops with an error at anything that is no record or breaks off.
+
+    Null, empty and very long bodies are records like any other; repeated records are all returned (``assemble``
+    counts them once).
+    """
+    rest = _Bytes(data)
     while True:
-        while data[at : at + 2] == b"\r\n":
-            at += 2
-        if at >= len(data):
+        while rest.fill(2) and rest.held.startswith(b"\r\n"):
+            rest.take(2)
+        if not rest.fill(1):
             return
-        if data[at : at + 5] != b"WARC/":
+        at = rest.dropped
+        if not rest.fill(5) or not rest.held.startswith(b"WARC/"):
             raise ValueError(f"no WARC record at byte {at}")
-        stop = data.index(b"\r\n\r\n", at)
-        fields = _fields(data[data.index(b"\r\n", at) + 2 : stop + 2])
+        lines = rest.take(rest.find(b"\r\n\r\n") + 4)
+        fields = _fields(lines[lines.index(b"\r\n") + 2 : -2])
         named = dict(fields)
         length = int(named["content-length"])
-        block = data[stop + 4 : stop + 4 + length]
-        if len(block) < length:
+        if not rest.fill(length):
             raise ValueError(f"record at byte {at} is cut off")
-        at = stop + 4 + length
+        block = rest.take(length)
         head, payload, declared = b"", block, None
         if named.get("content-type", "").startswith("application/http"):
             head, _, payload = block.partition(b"\r\n\r\n")
