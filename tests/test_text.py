@@ -102,6 +102,15 @@ def test_table_source_numbers_across_buckets(spark):
         assert [r.line for r in got] == [t for _, k, t in rows if k == key]
 
 
+def test_table_source_with_ties_and_rows_without_order(spark):
+    rows = [(n // 4 if n % 10 else None, f"text {n:03}") for n in range(200)]
+    want = [t for _, t in sorted(rows, key=lambda r: (-1 if r[0] is None else r[0], r[1]))]
+    for parts in (1, 7):
+        table = spark.createDataFrame(rows, "id bigint, text string").repartition(parts)
+        got = lines_from_table(table, "text", F.lit("k"), "id", bucket_width=5).orderBy("line_number").collect()
+        assert [(r.line_number, r.line) for r in got] == list(enumerate(want, 1))
+
+
 def test_byte_order_marks_stay_in_line_one(spark, tmp_path):
     """With and without a last line end, over several splits, doubled, and files that only look as if."""
     mark = b"\xef\xbb\xbf"

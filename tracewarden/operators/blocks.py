@@ -32,12 +32,13 @@ def block_offsets(rows: DataFrame, count: Column | None = None, name: str = "off
     )
 
 
-def number_rows(rows: DataFrame, order: str, name: str) -> DataFrame:
-    """Dense 1..n per source in ``order``; rows must carry ``block``, rising with ``order``.
+def number_rows(rows: DataFrame, order: str | list[str], name: str) -> DataFrame:
+    """Dense 1..n per source in ``order``, a column or several; rows must carry ``block``, rising with ``order``.
 
     Ranks inside each block plus the block's offset: no task sorts more than one block.
     """
-    ranked = rows.withColumn("__rank", F.row_number().over(Window.partitionBy("source", "block").orderBy(order)))
+    within = Window.partitionBy("source", "block").orderBy(*([order] if isinstance(order, str) else order))
+    ranked = rows.withColumn("__rank", F.row_number().over(within))
     numbered = ranked.join(block_offsets(rows, name="__offset"), ["source", "block"])
     return numbered.withColumn(name, (F.col("__offset") + F.col("__rank")).cast("bigint")).drop(
         "__offset", "__rank"

@@ -18,6 +18,7 @@ DENSITY_BLOCK = 256  # widths of a window in a time block
 
 # Layout of a bracketed level and of name=value fields within a line.
 LEVEL = r"\[([A-Za-z]+)\]"
+SERVICE = r"\[[A-Za-z]+\] \[([^\]]+)\]"  # the second bracket, behind the level
 
 
 def backward_jumps(parsed: DataFrame, config: ScanConfig) -> DataFrame:

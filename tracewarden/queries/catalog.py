@@ -1117,6 +1117,34 @@ def level_breakdown(spark, folder):
     return signals.breakdown(services(spark, folder))
 
 
+@register(
+    "service_breakdown",
+    oracle.LABELLED_LINES,
+    oracle.PARSED,
+    select="SELECT source, regexp_extract(line, '\\[[A-Za-z]+\\] \\[([^\\]]+)\\]', 1) AS service, count(*) AS line_count, "
+    "CAST(sum(CASE WHEN is_error THEN 1 ELSE 0 END) AS BIGINT) AS error_lines, "
+    "CAST(sum(CASE WHEN ts IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS malformed_lines FROM parsed GROUP BY ALL",
+)
+def service_breakdown(spark, folder):
+    """Lines, errors and malformed lines per source and service; lines without one under the empty text."""
+    parsed = parse_lines(inputs.labelled_lines(spark, folder), CONFIG)
+    return signals.breakdown(parsed, signals.SERVICE, "service")
+
+
+@register(
+    "tied_table_lines",
+    """
+texts AS (
+  SELECT 'dock-' || (l_orderkey % 3) AS source, l_orderkey,
+    strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') || ' ' || l_orderkey || ' ' || l_linenumber AS line FROM lineitem
+)""",
+    select="SELECT source, row_number() OVER (PARTITION BY source ORDER BY l_orderkey, line) AS line_number, line FROM texts",
+)
+def tied_table_lines(spark, folder):
+    """A table whose order column has ties: equal numbers on every reading."""
+    return inputs.shipment_lines(spark, folder)
+
+
 @register(
     "run_comparison",
     *GAPS,

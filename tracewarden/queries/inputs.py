@@ -60,6 +60,24 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     return lines_from_table(orders, line, source, "o_orderkey")
 
 
+def labelled_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as lines with level and service in brackets; one in 97 has neither stamp nor brackets."""
+    events = table(spark, folder, "events")
+    level = F.when(F.col("event_type") == "error", "ERROR").when(F.col("value") > 10, "WARN").otherwise("INFO")
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    text = F.concat(stamp, F.lit(" ["), level, F.lit("] ["), F.col("event_type"), F.lit("] "), F.col("props"))
+    line = F.when(F.col("event_id") % 97 == 0, "corrupted entry").otherwise(text)
+    source = F.concat(F.lit("host-"), F.col("user_id") % 5)
+    return lines_from_table(events, line, source, "event_id")
+
+
+def shipment_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as lines of three sources in the order of their orders: several rows tie in each order."""
+    line = F.concat_ws(" ", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"), "l_orderkey", "l_linenumber")
+    source = F.concat(F.lit("dock-"), F.col("l_orderkey") % 3)
+    return lines_from_table(table(spark, folder, "lineitem"), line, source, "l_orderkey")
+
+
 def custom_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Events in a layout that only a custom format reads."""
     events = table(spark, folder, "events")

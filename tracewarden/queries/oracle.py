@@ -28,6 +28,15 @@ lines AS (
          {EVENT_LINE} AS line
   FROM events)"""
 
+LABELLED_LINES = """
+lines AS (
+  SELECT 'host-' || (user_id % 5) AS source,
+         row_number() OVER (PARTITION BY user_id % 5 ORDER BY event_id) AS line_number,
+         CASE WHEN event_id % 97 = 0 THEN 'corrupted entry' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') || ' [' ||
+           CASE WHEN event_type = 'error' THEN 'ERROR' WHEN value > 10 THEN 'WARN' ELSE 'INFO' END
+           || '] [' || event_type || '] ' || props END AS line
+  FROM events)"""
+
 SINGLE_LINES = f"""
 lines AS (SELECT 'all' AS source, event_id + 1 AS line_number, {EVENT_LINE} AS line FROM events)"""
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tracewarden.operators.blocks import number_rows
 
+NO_ORDER = -(1 << 63)
+
 
 def lines_from_table(
     rows: DataFrame,
@@ -19,14 +21,15 @@ def lines_from_table(
 
     Numbers are dense per source in ``order_by`` order; they are found inside buckets of the
     order column and shifted by the buckets before, so a source may be larger than a task.
-    ``bucket_width`` is in units of the order column.
+    ``bucket_width`` is in units of the order column. Rows that tie in it follow each other by their text, so the
+    numbers do not depend on how the table is read; rows without an order come first.
     """
     line = F.col(line) if isinstance(line, str) else line
     source = F.col(source) if isinstance(source, str) else source
     picked = rows.select(
         source.alias("source"),
         F.col(order_by).alias("__order"),
-        F.floor(F.col(order_by) / F.lit(bucket_width)).cast("bigint").alias("block"),
+        F.coalesce(F.floor(F.col(order_by) / F.lit(bucket_width)).cast("bigint"), F.lit(NO_ORDER)).alias("block"),
         line.alias("line"),
     )
-    return number_rows(picked, "__order", "line_number").select("source", "line_number", "line")
+    return number_rows(picked, ["__order", "line"], "line_number").select("source", "line_number", "line")
