@@ -134,3 +134,18 @@ def test_strict_pattern_runs_once_per_line(spark):
     raw = spark.createDataFrame([(text,) for text in texts], "raw string")
     got = [r.us is not None for r in raw.select(wild.micros(wild.fields(F.col("raw"))).alias("us")).collect()]
     assert got == [False, True, False, False, False]
+
+
+def test_iso_text_of_any_year(spark):
+    """Years of five digits, as sticky years may reach, keep them all and have no sign."""
+    from tracewarden.functions.timestamps import iso_text
+
+    stamps = {
+        "0001-01-01 00:00:00": "0001-01-01T00:00:00",
+        "1969-12-31 23:59:59.5": "1969-12-31T23:59:59.500000",
+        "9999-12-31 23:59:59.999999": "9999-12-31T23:59:59.999999",
+        "+10000-01-04 00:00:00": "10000-01-04T00:00:00",
+        "+10932-02-29 01:02:03.000001": "10932-02-29T01:02:03.000001",
+    }
+    rows = spark.createDataFrame([(s,) for s in stamps], "s string").selectExpr("s", "unix_micros(CAST(s || 'Z' AS TIMESTAMP)) AS us")
+    assert dict(map(tuple, rows.selectExpr("s", f"{iso_text('us')} AS text").collect())) == stamps

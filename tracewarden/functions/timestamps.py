@@ -94,10 +94,11 @@ def to_ntz(us: str) -> str:
 
 
 def iso_text(us: str) -> str:
-    """``yyyy-MM-ddTHH:mm:ss`` with six fraction digits only when they are not all zero."""
+    """``yyyy-MM-ddTHH:mm:ss`` with six fraction digits only when they are not all zero; years above 9999 have all their digits."""
     text = f"CAST({to_ntz(us)} AS STRING)"
     fraction = f"if({us} % 1000000 = 0, '', concat('.', lpad(pmod({us}, 1000000), 6, '0')))"
-    return f"concat(replace(substring({text}, 1, 19), ' ', 'T'), {fraction})"
+    # the cast puts a plus sign before years of more than four digits
+    return f"concat(replace(ltrim('+', substring_index({text}, '.', 1)), ' ', 'T'), {fraction})"
 
 
 def hour_of(us: str) -> str:
