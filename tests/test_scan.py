@@ -266,3 +266,27 @@ def test_line_numbers_with_holes_are_refused(spark, numbers):
     rows = [("a", n, "error") for n in numbers]
     with pytest.raises(ValueError, match="numbered"):
         scan_lines(spark.createDataFrame(rows, "source string, line_number bigint, line string"), CONFIG)
+
+
+def test_rounds_of_the_chain_are_few(spark, monkeypatch):
+    """Rounds of one line at first: a job for each line would be 300 of them."""
+    import hashlib
+
+    staged = []
+    write = chain.stage
+    monkeypatch.setattr(chain, "stage", lambda rows, name: staged.append(name) or write(rows, name))
+    rows = [("a", n, f"line {n}", 1) for n in range(1, 301)] + [("b", 1, "one", 1)]
+    parsed = spark.createDataFrame(rows, "source string, line_number bigint, line string, ts_us bigint")
+    found = dict(map(tuple, chain.sequential_chain(parsed, ScanConfig(chain_chunk_lines=1)).collect()))
+    digest = "0" * 64
+    for n in range(1, 301):
+        digest = hashlib.sha256(f"line {n}{digest}".encode()).hexdigest()
+    assert found == {"a": digest, "b": hashlib.sha256(("one" + "0" * 64).encode()).hexdigest()}
+    assert len(staged) < 15
+
+
+def test_rounds_stop_growing(monkeypatch):
+    monkeypatch.setattr(chain, "ROUND_LINES", 10)
+    assert chain.round_ends(3, 40) == [3, 9, 19, 29, 39, 49]
+    assert chain.round_ends(25, 60) == [25, 50, 75]
+    assert chain.round_ends(4, 0) == [4]

@@ -3,9 +3,10 @@
 A chain is serial by definition: each digest needs the one before it. Two forms are given.
 
 * ``sequential_chain``: the exact chain of a whole source. Lines are taken in rounds of a
-  fixed number of lines per source; a round hands its digests to the next through a written
-  table, so no task holds more than one chunk of a source and a lost executor costs one
-  round. Sources run side by side; a single source is as serial as its chain.
+  bounded number of lines per source; a round hands its digests to the next through a written
+  table, so no task sorts more than one round of a source and a lost executor costs one
+  round. Short rounds double, since each costs a job however few lines it has. Sources run side by
+  side; a single source is as serial as its chain.
 * ``segment_digests`` / ``segmented_chain``: one chain per fixed-size segment, all in
   parallel, then a chain over the segment digests. Another value that reveals the same changes,
   and a changed line is pinned to its segment.
@@ -27,6 +28,7 @@ from tracewarden.operators.blocks import block_of
 from tracewarden.sources.staging import stage
 
 START = "0" * 64
+ROUND_LINES = 5_000_000  # of a source, to which shorter rounds grow
 
 
 def _fold(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -94,6 +96,19 @@ def _payload(parsed: DataFrame) -> DataFrame:
     )
 
 
+def round_ends(first: int, longest: int) -> list[int]:
+    """The last line number of every round: ``first`` lines, then twice as many as the round before, at most ``ROUND_LINES``.
+
+    Rounds of more than that from the start stay as long as they are.
+    """
+    ends, at, size = [], 0, first
+    while at < longest or not ends:
+        at += size
+        ends.append(at)
+        size = max(first, min(2 * size, ROUND_LINES))
+    return ends
+
+
 def sequential_chain(
     parsed: DataFrame, config: ScanConfig, staged: bool = False, before: DataFrame | None = None
 ) -> DataFrame:
@@ -101,15 +116,16 @@ def sequential_chain(
 
     Malformed lines are not covered; a source without parsed lines has no row here (its
     hash is 64 zeros, which ``operators.stats`` fills in). Each round reads only its range of
-    line numbers, so lines that are not ``staged`` yet are written once first. The number of rounds is
+    line numbers, so lines that are not ``staged`` yet are written once first. The first round has ``chain_chunk_lines``
+    lines of each source, later ones up to ``ROUND_LINES`` or as many as the first. The number of rounds is
     that of the longest source: for sources of billions of lines use ``segment_digests``. With ``before``
     (``source, digest``) the chains of these sources go on from those digests.
     """
     rows = _payload(parsed) if staged else stage(_payload(parsed), "payload")
-    size = config.chain_chunk_lines
     longest = rows.agg(F.max("position")).first()[0] or 0  # one number, not rows
+    rounds = round_ends(config.chain_chunk_lines, longest)
     ends = stage(rows.groupBy("source").agg(F.max("position").alias("end")), "chain_ends")
-    first = rows.filter(F.col("position") <= size)
+    first = rows.filter(F.col("position") <= rounds[0])
     if before is not None:
         begun = before.join(ends.select("source"), "source", "left_semi").select(
             "source",
@@ -120,7 +136,7 @@ def sequential_chain(
         first = first.withColumn("carried", F.lit(False)).unionByName(begun)
     digests = _fold(first, ["source"])
     finished = []
-    for start in range(size, longest, size):
+    for start, end in zip(rounds, rounds[1:]):
         # sources that end here leave; only the others are read and carried on
         carried = stage(digests.join(ends, "source"), f"chain_{start}")
         finished.append(carried.filter(F.col("end") <= start).select("source", "digest"))
@@ -130,7 +146,7 @@ def sequential_chain(
             F.col("digest").cast("binary").alias("payload"),
             F.lit(True).alias("carried"),
         )
-        chunk = rows.filter((F.col("position") > start) & (F.col("position") <= start + size))
+        chunk = rows.filter((F.col("position") > start) & (F.col("position") <= end))
         digests = _fold(chunk.withColumn("carried", F.lit(False)).unionByName(live), ["source"])
     for part in finished:
         digests = digests.unionByName(part)

@@ -1302,7 +1302,7 @@ def gap_context_sizes(spark, folder):
 
 @register("hash_chain_rounds", *LINES, oracle.CHAIN, select="SELECT source, final_hash FROM chains")
 def hash_chain_rounds(spark, folder):
-    """The exact chain handed on every 400 lines; sources end in different rounds."""
+    """The exact chain handed on after 400 lines, 800 more and so on; sources end in different rounds."""
     config = replace(CONFIG, chain_chunk_lines=400)
     return chain.sequential_chain(services(spark, folder, config), config)
 
