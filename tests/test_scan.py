@@ -290,3 +290,31 @@ def test_rounds_stop_growing(monkeypatch):
     assert chain.round_ends(3, 40) == [3, 9, 19, 29, 39, 49]
     assert chain.round_ends(25, 60) == [25, 50, 75]
     assert chain.round_ends(4, 0) == [4]
+
+
+def test_sources_without_a_placed_gap_have_dots(spark):
+    """A quiet source, one that ends before it starts, one that ends as it starts, and one with a gap."""
+    stamps = {
+        "quiet": ["2024-01-01 00:00:00", "2024-01-01 00:00:10"],
+        "back": ["2024-01-02 00:00:00", "2024-01-02 01:00:00", "2024-01-01 00:00:00"],
+        "same": ["2024-01-01 00:00:00", "2024-01-01 01:00:00", "2024-01-01 00:00:00"],
+        "gap": ["2024-01-01 00:00:00", "2024-01-01 01:00:00"],
+        "none": ["x"],
+    }
+    rows = [(s, n, t) for s, own in stamps.items() for n, t in enumerate(own, 1)]
+    lines = spark.createDataFrame(rows, "source string, line_number bigint, line string")
+    result = scan_lines(lines, CONFIG, exact_chain=False)
+    drawn = dict(map(tuple, stats.timelines(result._profile, lines.select("source").distinct()).collect()))
+    assert drawn == {s: ("#" if s == "gap" else ".") * 78 for s in stamps}
+
+
+def test_timelines_of_a_table_with_quiet_sources(spark, tmp_path):
+    """The registered query: events of two users, of whom one has no gap."""
+    from tracewarden.queries.catalog import QUERIES
+
+    at = [("2024-01-01 00:00:00", 0), ("2024-01-01 00:00:01", 1), ("2024-01-01 00:00:02", 1), ("2024-01-01 02:00:00", 0)]
+    rows = [(n + 1, t, user, "view", 1.0, "{}") for n, (t, user) in enumerate(at)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string")
+    events.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(str(tmp_path / "events.parquet"))
+    drawn = dict(map(tuple, QUERIES["timelines"](spark, str(tmp_path)).collect()))
+    assert drawn == {"svc-0": "#" * 78, "svc-1": "." * 78}

@@ -113,11 +113,18 @@ def timeline_cells(profile: DataFrame) -> DataFrame:
     return cells.groupBy("source", "cell").agg(F.max("level").alias("level"))
 
 
-def timelines(profile: DataFrame) -> DataFrame:
-    """``source, timeline``: one character per cell, '#' where a gap lies."""
+def timelines(profile: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """``source, timeline``: one character per cell, '#' where a gap lies.
+
+    Only sources with a gap that has a place are in the profile; with ``sources`` (``source``, one row each) all of these
+    have a row, dots alone where nothing is painted.
+    """
     painted = timeline_cells(profile).groupBy("source").agg(F.collect_list("cell").alias("__cells"))
     marks = f"transform(sequence(0, {scoring.TIMELINE_WIDTH - 1}), i -> if(array_contains(__cells, i), '#', '.'))"
-    return painted.selectExpr("source", f"array_join({marks}, '') AS timeline")
+    drawn = painted.selectExpr("source", f"array_join({marks}, '') AS timeline")
+    if sources is None:
+        return drawn
+    return sources.select("source").join(drawn, "source", "left").na.fill("." * scoring.TIMELINE_WIDTH, ["timeline"])
 
 
 def scan_stats(

@@ -531,7 +531,10 @@ def most_critical_gaps(spark, folder):
 
 
 def _profile(spark, folder) -> DataFrame:
-    parsed = services(spark, folder)
+    return _profile_of(services(spark, folder))
+
+
+def _profile_of(parsed: DataFrame) -> DataFrame:
     marks = stage(gaps.gap_marks(parsed, CONFIG), "marks")
     found = stage(gaps.number_gaps(gaps.raw_gaps(marks, CONFIG), CONFIG), "gaps")
     return stats.placement_profile(found, gaps.source_spans(marks), stats.gap_totals(found, CONFIG), CONFIG)
@@ -556,7 +559,9 @@ def timeline_cells(spark, folder):
 
 @register("timelines", *PLACED, oracle.TIMELINE, select="SELECT source, timeline FROM timelines")
 def timelines(spark, folder):
-    return stats.timelines(_profile(spark, folder))
+    """Quiet sources, and those whose gaps have no place since the last stamp is not after the first, have dots alone."""
+    parsed = stage(services(spark, folder), "parsed")
+    return stats.timelines(_profile_of(parsed), parsed.select("source").distinct())
 
 
 @register(
