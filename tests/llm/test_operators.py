@@ -446,3 +446,19 @@ def test_word_hashes_do_not_depend_on_slices(monkeypatch, slice_bytes):
         assert len(own) == b - a
         assert all(named.setdefault(w, h) == h for w, h in zip(own, hashes[a:b].tolist()))
     assert len(set(named.values())) == len(named)
+
+
+def test_warc_bodies_are_digested_where_they_are_read(spark, tmp_path):
+    """Captures are assembled without their payloads, and the facts are those of the payloads read."""
+    import hashlib
+
+    html = ["<p>ä" * 500, "<p>ä" * 500, "", None, "x"]
+    pages = spark.createDataFrame([(n, f"http://a/{n}", h) for n, h in enumerate(html)], "page_id bigint, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "archives"))
+    records = warc.payload_facts(warc.read_records(spark, str(tmp_path / "archives"))).collect()
+    main = [r for r in records if r["warc_type"] in warc.MAIN]
+    assert len(main) == 5 and all(r["payload"] is None for r in main)
+    assert all(r["payload"] for r in records if r["warc_type"] == "metadata")
+    wanted = sorted(hashlib.sha1(x.encode()).hexdigest() for x in (html[0], "", "", "x"))
+    assert sorted(r["payload_sha1"] for r in main if r["warc_type"] == "response") == wanted
+    assert max(r["payload_bytes"] for r in main) == len(html[0].encode())

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import table
+from tracewarden.llm.common import stage, table
 from tracewarden.sources.staging import new_folder
 
 LEAST_REVISIT = 1_000
@@ -284,6 +284,9 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(work, RECORDS)
 
 
+MAIN = ("response", "revisit", "resource")  # records that are a capture
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture_id, response, requests, metadata``.
 
@@ -292,7 +295,7 @@ def assemble(records: DataFrame) -> DataFrame:
     without requests, or under their own id without a response. A record written twice counts once.
     ``records`` is evaluated several times: it should be a stored table, or archives that are read again.
     """
-    is_main = F.col("warc_type").isin("response", "revisit", "resource")
+    is_main = F.col("warc_type").isin(*MAIN)
     main, other = records.filter(is_main), records.filter(~is_main)
     body = F.struct(*[F.col(c) for c in records.columns])
     own = other.withColumn("capture_id", F.explode("concurrent_to"))
@@ -314,19 +317,32 @@ def assemble(records: DataFrame) -> DataFrame:
     return responses.join(sides, "capture_id", "full_outer")
 
 
+def payload_facts(records: DataFrame) -> DataFrame:
+    """``records`` with ``payload_bytes`` and ``payload_sha1`` of what was read; captures then drop the payload itself.
+
+    Who wants facts of bodies and not the bodies need not move them to assemble them.
+    """
+    is_main = F.coalesce(F.col("warc_type").isin(*MAIN), F.lit(False))
+    facts = records.withColumn("payload_bytes", F.length("payload").cast("bigint"))
+    facts = facts.withColumn("payload_sha1", F.sha1("payload"))
+    return facts.withColumn("payload", F.when(~is_main, F.col("payload")))
+
+
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """Archives of all pages, read back and assembled; payload facts of revisits come from their headers."""
+    """Archives of all pages, read back and assembled; payload facts of revisits come from their headers.
+
+    Bodies are digested where they are read, once; the records without them are stored and assembled.
+    """
     path = new_folder(spark, "archives")
     write_archives(table(spark, folder, "pages"), path)
-    whole = assemble(read_records(spark, path))
+    whole = assemble(stage(payload_facts(read_records(spark, path)), "records"))
     about = F.decode(F.col("metadata")[0]["payload"], "UTF-8")
     number = lambda name: F.expr(f"nullif(regexp_extract({{a}}, '{name}: ([-0-9]+)', 1), '')".replace("{a}", "__about"))
     revisit = F.col("response.warc_type") == "revisit"
-    payload = F.col("response.payload")
     return whole.withColumn("__about", about).select(
         number("page-id").cast("bigint").alias("page_id"),
-        F.when(revisit, F.col("response.declared_bytes")).otherwise(F.length(payload)).cast("bigint").alias("payload_bytes"),
-        F.when(revisit, F.regexp_replace("response.digest", "^sha1:", "")).otherwise(F.sha1(payload)).alias("payload_digest"),
+        F.when(revisit, F.col("response.declared_bytes")).otherwise(F.col("response.payload_bytes")).cast("bigint").alias("payload_bytes"),
+        F.when(revisit, F.regexp_replace("response.digest", "^sha1:", "")).otherwise(F.col("response.payload_sha1")).alias("payload_digest"),
         F.col("response.warc_type").alias("record_type"),
         number("refers-to-page").cast("bigint").alias("refers_to"),
     )
