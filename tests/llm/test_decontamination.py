@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
+from tracewarden.llm import decontamination
 from tracewarden.llm.decontamination import ANSWER, ITEM_WORDS, LEAST, SURE, contaminated, item_passages
 
 EDITS = (0, 15, 25, 35, 45)
@@ -78,3 +80,18 @@ def test_items_are_named_by_any_type(spark, kind):
     items = spark.createDataFrame([(text,)], "text string").selectExpr(f"CAST(7 AS {kind}) AS item_id", "text")
     docs = spark.createDataFrame([(1, f"before {text} after"), (2, "something else")], "doc_id int, text string")
     assert [(r["doc_id"], str(r["item_id"])) for r in contaminated(docs, items).collect()] == [(1, "7")]
+
+
+def test_space_comes_from_all_item_passages(spark, monkeypatch):
+    """As many passages as dimensions: each lies in the space whole, whatever the documents hold."""
+    monkeypatch.setattr(decontamination, "RANK", 12)
+    draw = random.Random(1)
+    shared = [f"s{n}" for n in range(20)]
+    items = [(k, " ".join(f"w{k}x{n}" if draw.random() < 0.6 else draw.choice(shared) for n in range(40)), None) for k in range(12)]
+    passages = item_passages(items)
+    docs = spark.createDataFrame([(" ".join(draw.choice(shared) for _ in range(60)),) for _ in range(200)], "text string")
+    every = decontamination.word_weights(docs)
+    index = decontamination.build_index(spark, passages, every)
+    for words in passages.words:
+        ids, values = decontamination._rows(decontamination._places(index.terms, np.array(words, np.uint64)), index.weights)
+        assert np.linalg.norm(values @ index.space[ids]) >= 0.999 * np.linalg.norm(values)

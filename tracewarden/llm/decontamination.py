@@ -2,9 +2,9 @@
 
 1. Benchmark items are cut into equal passages of at most ``ITEM_WORDS`` words. Their words are the terms;
    document frequencies of the terms are counted over all documents.
-2. A randomised SVD of the TF-IDF matrix of passages gives the latent space. Its rows, all item
-   passages and those of a bounded sample of documents, stay on the executors; only products of
-   terms times latent dimensions are added up.
+2. A randomised SVD of the TF-IDF matrix of all item passages of a block gives the latent space: what is sought
+   decides on its dimensions, documents are folded in. With at most ``RANK`` passages the space holds each of them whole
+   and the cosines are exact. The rows stay on the executors; only products of terms times latent dimensions are added up.
 3. Every document is read in overlapping windows a quarter apart, of several lengths; a passage is sought in those of the
    least length that holds it. A window whose cosine with it, estimated in the latent space, reaches ``gate()`` is a
    candidate: what the weakest match that step 4 accepts has, less a margin. Since latent vectors are
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tracewarden.llm.common import raw_bytes, stage, table
+from tracewarden.llm.common import raw_bytes, table
 from tracewarden.llm.words import word_hashes
 
 ITEM_WORDS = 72
@@ -36,14 +36,12 @@ LENGTHS = (8, 12, 16, 20, 24, 28, 32, 40, 48, 56, 64, 72)  # of windows, in word
 SURE, LEAST, ANSWER = 0.75, 0.5, 0.5
 MARGIN = 0.65  # of the gate: the words that a paraphrase keeps may be its lighter ones
 RANK, EXTRA, POWERS = 256, 16, 2
-ITEM_WEIGHT = 8.0  # of an item passage among the rows of the matrix; a document's passage has 1
 MAX_TERMS = 1 << 15
 BUCKETS = 1 << 17  # of words by hash, for document frequencies
 BLOCK = 20_000
 FOLD = 256  # passages whose cosines are taken at a time
 HELD_SCORES = 1_000_000  # of words times passages that a task holds at a time
 SUM_TERMS = 256  # of a product's rows that are added up together
-SAMPLE_DOCS = 2_000
 GROUP_BYTES = 1 << 20
 
 # A-Z to lower case, ASCII marks to blanks
@@ -173,31 +171,15 @@ def _rows(places: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return ids, np.sqrt(counts) * weights[ids]
 
 
-def latent_space(passages: Passages, docs: DataFrame, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Terms times latent dimensions, orthonormal columns: randomised SVD with power iterations.
+def latent_space(spark: SparkSession, passages: Passages, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Terms times latent dimensions, orthonormal columns: randomised SVD with power iterations over all ``passages``.
 
     The matrix is cut over the executors by rows; they return partial products of bounded size.
     """
-    spark = docs.sparkSession
     own = [np.array(p, np.uint64).tobytes() for p in passages.words]
-    items = spark.createDataFrame([(bytearray(x), ITEM_WEIGHT) for x in own], "words binary, scale double").repartition(4)
-    count = docs.count()
-    share = min(1.0, SAMPLE_DOCS / max(count, 1))
-    some = docs.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
-
-    def cut(batches):
-        for batch in batches:
-            rows = []
-            for _, texts in _groups(raw_bytes(batch.column(0))):
-                hashes, offsets = words_of(texts)
-                for a, b in zip(offsets[:-1], offsets[1:]):
-                    rows += [hashes[k : min(k + ITEM_WORDS, b)].tobytes() for k in range(a, b, ITEM_WORDS)]
-            columns = [pa.array(rows, pa.binary()), pa.array(np.ones(len(rows)))]
-            yield pa.RecordBatch.from_arrays(columns, ["words", "scale"])
-
-    sampled = stage(some.mapInArrow(cut, "words binary, scale double"), "sampled").coalesce(8)
-    matrix = items.unionByName(sampled)
-    width = min(RANK + EXTRA, len(terms))
+    matrix = spark.createDataFrame([(bytearray(x),) for x in own], "words binary").repartition(4)
+    # no more dimensions than rows: the product of that many random columns spans them all
+    width = min(RANK + EXTRA, len(terms), len(own))
     basis = np.random.default_rng(3).standard_normal((len(terms), width))
 
     def product(basis: np.ndarray) -> np.ndarray:
@@ -206,9 +188,9 @@ def latent_space(passages: Passages, docs: DataFrame, terms: np.ndarray, weights
         def work(batches):
             total = np.zeros(basis.shape)
             for batch in batches:
-                for blob, scale in zip(raw_bytes(batch.column(0)), batch.column(1).to_pylist()):
+                for blob in raw_bytes(batch.column(0)):
                     ids, values = _rows(_places(terms, np.frombuffer(blob, np.uint64)), weights)
-                    values = values * (scale / max(np.linalg.norm(values), 1e-12))
+                    values = values / max(np.linalg.norm(values), 1e-12)
                     total[ids] += np.outer(values, values @ basis[ids])
             for at in range(0, len(total), SUM_TERMS):
                 part = total[at : at + SUM_TERMS].tobytes()
@@ -327,10 +309,10 @@ class Index:
             best[item] = found
 
 
-def build_index(passages: Passages, docs: DataFrame, every: np.ndarray) -> Index:
+def build_index(spark: SparkSession, passages: Passages, every: np.ndarray) -> Index:
     terms = passages.terms()
     weights = every[_buckets(terms)]
-    space = latent_space(passages, docs, terms, weights)
+    space = latent_space(spark, passages, terms, weights)
     latent: dict[int, tuple] = {}
     for n, words in enumerate(passages.words):
         length = next(x for x in LENGTHS if len(words) <= x)
@@ -368,7 +350,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
         own = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block
         passages = item_passages(items.filter(own).orderBy("item_id", "text").collect())  # about BLOCK rows
         for part in passages.parts() if passages.items else ():
-            indices = [build_index(p, narrow, weights) for p in part]
+            indices = [build_index(spark, p, weights) for p in part]
             found = found.unionByName(_searched(narrow, indices, schema, to_arrow_type(benchmark.schema["item_id"].dataType)))
     return found
 
