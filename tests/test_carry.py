@@ -49,6 +49,24 @@ def test_slices_equal_batch(spark, tmp_path, context_lines, cuts):
     assert log.late().count() == 0
 
 
+def test_a_source_that_pauses_reports_no_gap_again(spark, tmp_path):
+    """Gaps between the kept lines of a source that is not in a micro-batch, or has nothing but late lines there."""
+    logs = {"on": 6, "pauses": 6, "ends": 3}
+    texts = [(name, n, f"2024-01-{n:02d} 00:00:00 x") for name, count in logs.items() for n in range(1, count + 1)]
+    slices = [
+        [r for r in texts if r[1] <= 3],
+        [r for r in texts if r[0] == "on" and r[1] == 4],
+        [r for r in texts if r[0] == "on" and r[1] == 5] + [("ends", 2, "late")],
+        [r for r in texts if r[1] == 6 or r[0] == "pauses" and r[1] in (4, 5)],
+    ]
+    log = CarryLog(spark, str(tmp_path), CONFIG)
+    for batch, rows in enumerate(slices):
+        log.run(spark.createDataFrame(rows, SCHEMA), batch)
+    found = sorted((r.source, r.gap_number, r.line_number_end, len(r.raw_context.before)) for r in log.gaps().collect())
+    assert found == sorted((name, n, n + 1, min(n, 2)) for name, count in logs.items() for n in range(1, count))
+    assert {r.source: r.gaps_detected for r in log.status().collect()} == {"on": 5, "pauses": 5, "ends": 2}
+
+
 def test_restart_after_a_failure_and_late_lines(spark, tmp_path):
     """The second micro-batch fails after it has written a part of its tables, and is run again."""
     feed, log = f"{tmp_path}/feed", CarryLog(spark, f"{tmp_path}/log", CONFIG)

@@ -163,7 +163,9 @@ def advance(lines: DataFrame, before: Carry, config: ScanConfig, exact_chain: bo
 
     both = stage(fresh.unionByName(before.lines), "both")
     marks = stage(gaps.gap_marks(both, config), "marks")
-    found = gaps.raw_gaps(marks, config).join(known.select("source", "last_number", "gap_count"), "source", "left")
+    # sources without new lines are among them: their kept lines show gaps that are reported already
+    seen = before.sources.select("source", "last_number", "gap_count")
+    found = gaps.raw_gaps(marks, config).join(seen, "source", "left")
     found = stage(found.filter("line_number_end > coalesce(last_number, 0)"), "found")
     numbered = number_rows(found, "line_number_end", "nth")
     numbered = numbered.withColumn("gap_number", F.expr("nth + coalesce(gap_count, 0)")).select(*GAP_NAMES)
