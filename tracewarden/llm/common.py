@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 from itertools import count
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +16,10 @@ from tracewarden.sources.staging import new_folder, stage
 # the blanks that separate words, as one character class; bytes.split() splits at exactly these
 BLANKS = "\\x20\\x09-\\x0D"
 
-__all__ = ["BLANKS", "bounded_batches", "fold", "free_names", "hold_out", "raw_bytes", "stage", "stage_small", "table", "utf8_size"]
+__all__ = [
+    "BLANKS", "bounded_batches", "drop_worker_tables", "fold", "free_names", "hold_out", "raw_bytes", "stage", "stage_small", "table",
+    "utf8_size", "worker_tables",
+]
 
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -65,6 +70,19 @@ def raw_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [v or b"" for v in column.cast(pa.large_binary() if large else pa.binary()).to_pylist()]
 
 
+_KEPT = "tracewarden_worker_tables"
+
+
+def worker_tables() -> dict:
+    """What this worker process keeps from task to task; this package travels by value, so a module made here holds it."""
+    return sys.modules.setdefault(_KEPT, ModuleType(_KEPT)).__dict__.setdefault("tables", {})
+
+
+def drop_worker_tables() -> None:
+    """Called by tasks that need the memory: workers go on to the tasks of other operators, and would hold tables to the end."""
+    worker_tables().clear()
+
+
 def free_names(df: DataFrame, names: Iterable[str]) -> Iterator[str]:
     """Column names built from ``names`` that ``df`` does not use yet."""
     taken = {c.lower() for c in df.columns}

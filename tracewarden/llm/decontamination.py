@@ -27,8 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
-from tracewarden.llm.common import raw_bytes, table
+from tracewarden.llm.common import drop_worker_tables, raw_bytes, table
 from tracewarden.llm.words import word_hashes
 
 ITEM_WORDS = 72
@@ -143,6 +144,7 @@ def word_weights(docs: DataFrame) -> np.ndarray:
     """Inverse document frequency of the words of every bucket, from all documents."""
 
     def work(batches):
+        drop_worker_tables()
         seen, rows = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
             rows += batch.num_rows
@@ -177,7 +179,8 @@ def latent_space(spark: SparkSession, passages: Passages, terms: np.ndarray, wei
     The matrix is cut over the executors by rows; they return partial products of bounded size.
     """
     own = [np.array(p, np.uint64).tobytes() for p in passages.words]
-    matrix = spark.createDataFrame([(bytearray(x),) for x in own], "words binary").repartition(4)
+    # as an Arrow table: Spark would send a list through Python workers of another kind, kept beside the usual ones
+    matrix = spark.createDataFrame(pa.table({"words": pa.array(own, pa.binary())})).repartition(4)
     # no more dimensions than rows: the product of that many random columns spans them all
     width = min(RANK + EXTRA, len(terms), len(own))
     basis = np.random.default_rng(3).standard_normal((len(terms), width))
@@ -329,6 +332,12 @@ def build_index(spark: SparkSession, passages: Passages, every: np.ndarray) -> I
     return Index(passages, terms, weights, every, space, arrays)
 
 
+def _empty(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows, made without a Python worker."""
+    fields = StructType.fromDDL(schema).fields
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, item_id, cosine, lcs, item_words, first_word`` for every document and item it holds.
 
@@ -342,7 +351,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_type}, cosine double, lcs int, item_words int, first_word int"
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
-    found = spark.createDataFrame([], schema)
+    found = _empty(spark, schema)
     items = benchmark.select("item_id", "text", answer.alias("answer"))
     blocks = -(-items.count() // BLOCK)
     weights = word_weights(narrow.select("text")) if blocks else None

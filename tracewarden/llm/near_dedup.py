@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import raw_bytes, stage, table
+from tracewarden.llm.common import drop_worker_tables, raw_bytes, stage, table
 from tracewarden.llm.components import components
 from tracewarden.llm.words import mix, windows, word_hashes
 
@@ -128,6 +128,7 @@ def sketches(docs: DataFrame, text: str) -> DataFrame:
     """``doc_id, n_shingles, class_key, bands`` of every row; empty sets have neither key nor bands."""
 
     def work(batches):
+        drop_worker_tables()
         for batch in batches:
             sizes, keys, bands = [], [], []
             for s in _sets_in_groups(raw_bytes(batch.column(1))):

@@ -11,7 +11,8 @@ A worker ends with some bins not full. In a second round the leftover pieces of
 sequence for so many workers.
 
 Ids are looked up by word. Learning a word costs as much as tokenizing it, so each worker process keeps its table from
-task to task: the words seen lately in two generations of bounded size, of which the older one goes.
+task to task: the words seen lately in two generations of bounded size, of which the older one goes. Tasks of other
+operators drop the table (``common.drop_worker_tables``).
 
 Scale: documents are not shuffled; only leftovers are, at most one open bin per class and
 worker, and a group of the second round is a fixed number of workers. The packed pieces are
@@ -27,7 +28,6 @@ from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import raw_bytes, stage, table
+from tracewarden.llm.common import raw_bytes, stage, table, worker_tables
 
 CAPACITY = 4096
 SMALL = 8  # what is left of a document is cut while it exceeds capacity / SMALL
@@ -65,7 +65,6 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.ids: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
         self.split_at = self._encode(["\x01"])[0]
         self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
@@ -99,7 +98,7 @@ class WordTokenizer:
                 plain += some
                 continue
             data, ends = ids.astype("<u4").tobytes(), ends.tolist()
-            self.parts.update(zip(some, [data[a:b] for a, b in zip([0, *ends], ends)]))
+            self.ids.update(zip(some, [data[a:b] for a, b in zip([0, *ends], ends)]))
         for at in range(0, len(plain), 500):
             some = plain[at : at + 500]
             (ids,) = self._encode([self.SEPARATOR.join(w.decode() for w in some)])
@@ -112,11 +111,11 @@ class WordTokenizer:
                     own.append(i)
             found.append(own)
             if len(self.split_at) == 1 and len(found) == len(some):
-                self.parts.update(zip(some, map(self._packed, found)))
+                self.ids.update(zip(some, map(self._packed, found)))
             else:
                 odd += some
         for word, ids in zip(odd, self._encode([w.decode() for w in odd])):
-            self.parts[word] = self._packed(ids)
+            self.ids[word] = self._packed(ids)
 
     def _add(self, words: set[bytes]) -> None:
         cut = []
@@ -132,10 +131,14 @@ class WordTokenizer:
                 if not (len(last) == 1 and last.isalpha()):
                     core = word
             cut.append((word, core, word[len(core) :]))
-        unseen = {x for _, core, tail in cut for x in (core, tail) if x and x not in self.parts}
-        self._learn(list(unseen))
+        # a word without its marks, and the marks, are words of the same table
+        unseen = {x for _, core, tail in cut for x in (core, tail) if x and x not in self.ids}
+        met = {x: self.older[x] for x in unseen if x in self.older}
+        self.ids.update(met)
+        self._learn(list(unseen.difference(met)))
         for word, core, tail in cut:
-            self.ids[word] = self.parts[core] + (self.parts[tail] if tail else b"")
+            if tail:
+                self.ids[word] = self.ids[core] + self.ids[tail]
 
     def encode(self, text: bytes) -> bytes:
         out = []
@@ -154,19 +157,15 @@ class WordTokenizer:
         words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if len(self.ids) > GENERATION:
             self.ids, self.older = {}, self.ids
-            self.parts.clear()
         unseen = set(chain.from_iterable(words)).difference(self.ids)
         if unseen:
             self._add(unseen)
         return [b"".join(map(self.ids.__getitem__, w)) for w in words]
 
 
-_KEPT = "tracewarden_worker_tables"
-
-
 def kept_tokenizer(path: str) -> WordTokenizer:
-    """The tokenizer of this process. This package travels by value, so a module made here holds it between tasks."""
-    tables = sys.modules.setdefault(_KEPT, ModuleType(_KEPT)).__dict__
+    """The tokenizer of this process."""
+    tables = worker_tables()
     if path not in tables:
         tables[path] = WordTokenizer(path)
     return tables[path]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import table
+from tracewarden.llm.common import drop_worker_tables, table
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -343,6 +343,7 @@ def detect_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     """
 
     def work(batches):
+        drop_worker_tables()
         for batch in batches:
             rows = [find_spans(t) for t in batch.column(1).to_pylist()]
             counts = [[sum(s[0] == kind for s in base) for base, _ in rows] for kind in KINDS]
@@ -364,6 +365,7 @@ def mask_personal_data(docs: DataFrame, text: str = "text", length: str = "n_cha
     """
 
     def work(batches):
+        drop_worker_tables()
         for batch in batches:
             at = batch.schema.names.index(text)
             old = batch.column(at).to_pylist()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewarden.llm.common import hold_out, raw_bytes, table
+from tracewarden.llm.common import drop_worker_tables, hold_out, raw_bytes, table
 
 MAX_POSITIVES = 10_000
 MAX_UNLABELLED = 20_000
@@ -110,6 +110,7 @@ def _measured(docs: DataFrame) -> np.ndarray:
     """Measures of a bounded number of texts, in the order of their ids."""
 
     def work(batches):
+        drop_worker_tables()
         for batch in batches:
             rows = [features(t).tobytes() for t in raw_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["doc_id", "row"])
@@ -148,6 +149,7 @@ def scored(docs: DataFrame, model: Model, text: str = "text", into: str = "score
     docs = docs.drop(*[c for c in docs.columns if c.lower() == into.lower()])
 
     def work(batches):
+        drop_worker_tables()
         for batch in batches:
             at = batch.schema.names.index(text)
             rows = np.array([features(t) for t in raw_bytes(batch.column(at))]).reshape(-1, WIDTH)
