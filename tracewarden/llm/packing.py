@@ -10,9 +10,10 @@ A worker ends with some bins not full. In a second round the leftover pieces of
 ``WORKERS`` workers are laid end to end and cut at the capacity, which leaves one open
 sequence for so many workers.
 
-Ids are looked up by word. Learning a word costs as much as tokenizing it, so each worker process keeps its table from
-task to task: the words seen lately in two generations of bounded size, of which the older one goes. Tasks of other
-operators drop the table (``common.drop_worker_tables``).
+Ids are looked up by word, once for each distinct word of a group of texts. Learning a word costs as much as tokenizing
+it, so each worker process keeps its table from task to task: the words seen lately, without their trailing marks, in two
+generations of bounded size, of which the older one goes. Tasks of other operators drop the table
+(``common.drop_worker_tables``).
 
 Scale: documents are not shuffled; only leftovers are, at most one open bin per class and
 worker, and a group of the second round is a fixed number of workers. The packed pieces are
@@ -23,14 +24,16 @@ A long text is tokenized in slices that end at a blank.
 from __future__ import annotations
 
 import os
+import re
 import sys
 from array import array
+from codecs import charmap_decode
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,22 +53,32 @@ PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids bin
 class WordTokenizer:
     """Ids of a text as little-endian unsigned 32-bit values.
 
-    The tokenizer drops white space and never joins across it, so ids are looked up word by word.
-    A word without its trailing marks is the key, with A-Z in lower case as the tokenizer does
+    The tokenizer drops white space and never joins across it, so ids are looked up by word, for a group of texts at
+    once: Arrow splits them and numbers their distinct words, and only those are looked up or learned.
+    A word's key is the word without its trailing marks, with A-Z in lower case as the tokenizer does
     itself; words that could hold a special token are looked up as they are.
     """
 
-    MARKS = b".,;:!?|%$#&*"
+    MARKS = ".,;:!?|%$#&*"
     SEPARATOR = " \x01 "  # a control character is a token of its own
+    # letters of Latin-1 in UTF-8: each is one character in the normal form, and so is its lower case
+    LATIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+    LETTER_OR_DIGIT_LAST = "[0-9a-z\u00df-\u00f6\u00f8-\u00ff]$"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        # the same model for words that need no normalizing and are one run of letters: only bytes become characters
+        self.latin = Tokenizer(self.tokenizer.model)
+        self.latin.pre_tokenizer = WhitespaceSplit()
+        byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        shown = byte_level.pre_tokenize_str("".join(map(chr, range(0xC0, 0x100))))[0][0]  # of bytes C3 80 to C3 BF
+        self.characters = "".join(map(chr, range(0x80))) + shown[1::2] + 64 * shown[0]
         self.ids: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
         self.split_at = self._encode(["\x01"])[0]
         self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
@@ -80,26 +93,38 @@ class WordTokenizer:
             found.byteswap()
         return found.tobytes()
 
+    def _learn_letters(self, words: list[bytes], ids: list[int]) -> bool:
+        """Takes the ids of words joined by blanks apart, each having one token that ends a word; false if that fails."""
+        ids = np.array(ids, np.uint32)
+        ends = 4 * (np.flatnonzero(self.is_end[ids]) + 1)
+        if len(ends) != len(words) or ends[-1] != 4 * len(ids):
+            return False
+        data, ends = ids.astype("<u4").tobytes(), ends.tolist()
+        self.ids.update(zip(words, [data[a:b] for a, b in zip([0, *ends], ends)]))
+        return True
+
     def _learn(self, words: list[bytes]) -> None:
         """Ids of unseen words; words are joined so that one call tokenizes many.
 
         A run of letters has one token that ends a word, so blanks between such words will do.
         """
-        letters, plain, odd = [], [], []
+        latin, letters, plain, odd = [], [], [], []
         for word in words:
-            if word.isalpha() or word.decode().isalpha() and word.decode().lower().isalpha():
+            if word.isalpha() or self.LATIN.fullmatch(word):
+                latin.append(word)
+            elif word.decode().isalpha() and word.decode().lower().isalpha():
                 letters.append(word)
             else:
                 (odd if b"\x01" in word or b"<|" in word else plain).append(word)
+        for at in range(0, len(latin), 2_000):
+            some = latin[at : at + 2_000]
+            shown = charmap_decode(b" ".join(some).decode().lower().encode(), "strict", self.characters)[0]
+            if not self._learn_letters(some, self.latin.encode_batch_fast([shown], add_special_tokens=False)[0].ids):
+                letters += some
         for at in range(0, len(letters), 500):
             some = letters[at : at + 500]
-            ids = np.array(self._encode([b" ".join(some).decode()])[0], np.uint32)
-            ends = 4 * (np.flatnonzero(self.is_end[ids]) + 1)
-            if len(ends) != len(some) or ends[-1] != 4 * len(ids):
+            if not self._learn_letters(some, self._encode([b" ".join(some).decode()])[0]):
                 plain += some
-                continue
-            data, ends = ids.astype("<u4").tobytes(), ends.tolist()
-            self.parts.update(zip(some, [data[a:b] for a, b in zip([0, *ends], ends)]))
         for at in range(0, len(plain), 500):
             some = plain[at : at + 500]
             (ids,) = self._encode([self.SEPARATOR.join(w.decode() for w in some)])
@@ -112,30 +137,49 @@ class WordTokenizer:
                     own.append(i)
             found.append(own)
             if len(self.split_at) == 1 and len(found) == len(some):
-                self.parts.update(zip(some, map(self._packed, found)))
+                self.ids.update(zip(some, map(self._packed, found)))
             else:
                 odd += some
         for word, ids in zip(odd, self._encode([w.decode() for w in odd])):
-            self.parts[word] = self._packed(ids)
-
-    def _add(self, words: set[bytes]) -> None:
-        cut = []
-        for word in words:
-            known = self.older.get(word)
-            if known is not None:
-                self.ids[word] = known
-                continue
-            core = word.rstrip(self.MARKS) if b"<|" not in word and b"'" not in word else word
-            # only a letter or digit surely ends a token; some letters gain a mark in lower case
-            if not core or not core[-1:].isalnum():
-                last = core[-4:].decode(errors="ignore")[-1:].lower()
-                if not (len(last) == 1 and last.isalpha()):
-                    core = word
-            cut.append((word, core, word[len(core) :]))
-        unseen = {x for _, core, tail in cut for x in (core, tail) if x and x not in self.parts}
-        self._learn(list(unseen))
-        for word, core, tail in cut:
-            self.ids[word] = self.parts[core] + (self.parts[tail] if tail else b"")
+            self.ids[word] = self._packed(ids)
+
+    def _core(self, word: bytes) -> bytes:
+        """A word without its trailing marks, if these are tokens of their own."""
+        core = word.rstrip(self.MARKS.encode()) if b"<|" not in word and b"'" not in word else word
+        # only a letter or digit surely ends a token; some letters gain a mark in lower case
+        if not core or not core[-1:].isalnum():
+            last = core[-4:].decode(errors="ignore")[-1:].lower()
+            if not (len(last) == 1 and last.isalpha()):
+                core = word
+        return core
+
+    def _distinct(self, words: pa.StringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct words."""
+        if len(self.ids) > GENERATION:
+            self.ids, self.older = {}, self.ids
+        cores = pc.ascii_rtrim(words, characters=self.MARKS)
+        marked = pc.less(pc.binary_length(cores), pc.binary_length(words))
+        sure = pc.and_not(pc.match_substring_regex(cores, self.LETTER_OR_DIGIT_LAST), pc.match_substring_regex(words, "<\\||'"))
+        keys = cores.cast(pa.binary()).to_numpy(zero_copy_only=False)
+        marked, sure = (x.to_numpy(zero_copy_only=False) for x in (marked, sure))
+        at = np.flatnonzero(marked).tolist()
+        whole = words.filter(pa.array(marked)).cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        for n, word in zip(at, whole):
+            if not sure[n]:
+                keys[n] = self._core(word)
+        keys = keys.tolist()
+        tails = [word[len(keys[n]) :] for n, word in zip(at, whole)]
+        found = list(map(self.ids.get, keys))
+        unseen = {key for key, ids in zip(keys, found) if ids is None}
+        unseen.update(set(tails).difference(self.ids))
+        if unseen:
+            known = {word: self.older[word] for word in unseen if word in self.older}
+            self.ids.update(known)
+            self._learn(list(unseen.difference(known)))
+            found = [self.ids[key] if ids is None else ids for key, ids in zip(keys, found)]
+        for n, tail in zip(at, tails):
+            found[n] += self.ids[tail]
+        return pa.array(found, pa.large_binary())
 
     def encode(self, text: bytes) -> bytes:
         out = []
@@ -151,14 +195,14 @@ class WordTokenizer:
 
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         """``encode`` of texts that are not long; their new words are learned together."""
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        if len(self.ids) > GENERATION:
-            self.ids, self.older = {}, self.ids
-            self.parts.clear()
-        unseen = set(chain.from_iterable(words)).difference(self.ids)
-        if unseen:
-            self._add(unseen)
-        return [b"".join(map(self.ids.__getitem__, w)) for w in words]
+        if not texts:
+            return []
+        lists = pc.ascii_split_whitespace(pa.array([t if b"<|" in t else t.lower() for t in texts], pa.string()))
+        words = lists.flatten().dictionary_encode()
+        ids = self._distinct(words.dictionary).take(words.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[: len(ids) + 1][lists.offsets.to_numpy()].tolist()
+        data = ids.buffers()[2].to_pybytes() if ends[-1] else b""
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
 
 def kept_tokenizer(path: str) -> WordTokenizer:
