@@ -4,6 +4,7 @@ import glob
 import json
 import os
 
+import duckdb
 import pytest
 from brute import random_log, scan
 from pyspark.sql import Observation
@@ -11,6 +12,7 @@ from pyspark.sql import Observation
 from tracewarden import ScanConfig, scan_lines
 from tracewarden.operators.gaps import REPORT_COLUMNS
 from tracewarden.plans import progress, reports
+from tracewarden.queries.catalog import ORACLE, QUERIES
 
 SCHEMA = "source string, line_number bigint, line string"
 LOGS = {
@@ -100,6 +102,48 @@ def test_tables_are_partitioned_by_scan_date(spark, result, tmp_path):
     assert spark.read.parquet(target + "/summary").count() == 2 * len(LOGS)
 
 
+QUIET = [("calm", n, text) for n, text in enumerate(LOGS["quiet"], 1)]
+TABLES = ("lines", "gaps", "bursts", "stats", "summary", "timeline", "segments")
+
+
+def test_tables_without_rows_can_be_read(spark, tmp_path):
+    target = str(tmp_path / "tables")
+    quiet = scan_lines(spark.createDataFrame(QUIET, SCHEMA), ScanConfig(reference_year=2024))
+    for mode, n in (("errorifexists", 1), ("append", 2), ("overwrite", 1)):
+        reports.write_tables(quiet, target, dt.date(2024, 5, 1), mode)
+        read = {name: spark.read.parquet(f"{target}/{name}") for name in TABLES}
+        rows = {name: table.filter("scan_date = DATE '2024-05-01'").count() for name, table in read.items()}
+        assert rows == {"lines": 2 * n, "gaps": 0, "bursts": 0, "stats": n, "summary": n, "timeline": 0, "segments": n}, mode
+    assert [*read["gaps"].dtypes] == [*quiet.gaps.drop("block").dtypes, ("scan_date", "date")]
+
+
+def test_a_second_run_without_gaps_replaces_the_first(spark, result, tmp_path):
+    target = str(tmp_path / "tables")
+    for day in (1, 2):
+        reports.write_tables(result, target, dt.date(2024, 5, day))
+    quiet = scan_lines(spark.createDataFrame(QUIET, SCHEMA), ScanConfig(reference_year=2024))
+    reports.write_tables(quiet, target, dt.date(2024, 5, 2))
+    wanted = {"gaps": result.gaps, "bursts": result.bursts, "timeline": result.timeline}
+    for name, table in wanted.items():
+        counts = {str(day): n for day, n in spark.read.parquet(f"{target}/{name}").groupBy("scan_date").count().collect()}
+        assert counts == {"2024-05-01": table.count()}, name
+
+
+@pytest.mark.parametrize("rows", [0, 1500])
+def test_result_tables_of_dense_events_equal_sql(spark, tmp_path, rows):
+    """Events a second apart: no source has a gap, so two of the tables have no rows (without events: all)."""
+    start = dt.datetime(2024, 1, 1)
+    events = [(n, start + dt.timedelta(seconds=n), n, "error" if n % 7 == 0 else "view", 1.5, '{"k": 1}') for n in range(rows)]
+    kinds = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    folder = str(tmp_path / "events.parquet")
+    spark.createDataFrame(events, kinds).coalesce(1).write.parquet(folder)
+    found = sorted(tuple(row) for row in QUERIES["result_tables"](spark, str(tmp_path)).collect())
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/*.parquet'")
+    assert found == sorted(database.execute(ORACLE["result_tables"]).fetchall())
+    assert {name for name, _, _ in found} == ({"lines", "bursts", "stats", "summary", "segments"} if rows else set())
+
+
 def test_switched_off_outputs_write_nothing(result, tmp_path):
     reports.write_reports(result, reports.Outputs(), dt.datetime(2024, 5, 1))
     assert os.listdir(tmp_path) == []

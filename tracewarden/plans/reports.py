@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tracewarden.config import ScanConfig
@@ -160,7 +160,8 @@ def write_json(pieces: DataFrame, path: str, mode: str = "errorifexists") -> Non
 def write_tables(result: ScanResult, path: str, scan_date: dt.date, mode: str = "overwrite") -> None:
     """Result tables as parquet, partitioned by scan date and clustered by source.
 
-    A second run of one date replaces that date's rows and leaves other dates alone.
+    A second run of one date replaces that date's rows and leaves other dates alone. A table without rows, such as the
+    gaps of dense logs, has a file without rows for its date: it can be read, and rows of an earlier run are gone.
     """
     tables = {
         "lines": result.parsed.select(*LINE_COLUMNS),
@@ -172,9 +173,12 @@ def write_tables(result: ScanResult, path: str, scan_date: dt.date, mode: str =
         "segments": result.segments,
     }
     for name, table in tables.items():
-        dated = table.withColumn("scan_date", F.lit(scan_date))
+        target, seen = f"{path.rstrip('/')}/{name}", Observation()
+        dated = table.withColumn("scan_date", F.lit(scan_date)).observe(seen, F.count(F.lit(1)).alias("rows"))
         writer = dated.sortWithinPartitions("source").write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("scan_date").parquet(f"{path.rstrip('/')}/{name}")
+        writer.partitionBy("scan_date").parquet(target)
+        if not seen.get["rows"]:  # without rows Spark makes no partition and touches none
+            table.limit(0).write.mode(mode).parquet(f"{target}/scan_date={scan_date.isoformat()}")
 
 
 def write_reports(
